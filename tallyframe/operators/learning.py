@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import (
@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_a
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tallyframe.operators.partition import combine_parts
 from tallyframe.sinks.files import append_metrics, save_checkpoint
@@ -63,8 +64,8 @@ def centroid_score(df: DataFrame, model: Column, features: str = "features") ->
         squares = F.zip_with(x, centroid, lambda a, b: (a - b) * (a - b))
         return F.aggregate(squares, F.lit(0.0), lambda s, v: s + v)
 
-    far = df.withColumn(
-        "_far", F.transform(model, lambda m: F.struct(distance(m.centroid).alias("d"), m.label))
+    far = df.withColumn("_model", model).withColumn(
+        "_far", F.transform("_model", lambda m: F.struct(distance(m.centroid).alias("d"), m.label))
     )
     nearest = F.array_min("_far")
     weights = F.transform("_far", lambda f: F.exp(nearest["d"] - f["d"]))
@@ -73,7 +74,7 @@ def centroid_score(df: DataFrame, model: Column, features: str = "features") ->
         far.withColumn("prediction", nearest["label"])
         .withColumn("_weights", weights)
         .withColumn("probability", F.transform("_weights", lambda w: w / total))
-        .drop("_far", "_weights")
+        .drop("_model", "_far", "_weights")
     )
 
 
@@ -87,13 +88,29 @@ def score(df: DataFrame, model: MultilayerPerceptronClassificationModel, feature
     )
 
 
-def batch_score(df: DataFrame, centroids: list[tuple[int, list[float]]], features: str = "features",
-                batch_size: int = 4096) -> DataFrame:
-    """Add ``prediction`` by a user model called on Arrow batches.
+def batch_score(
+    df: DataFrame,
+    make_predict: Callable,
+    width: int,
+    features: str = "features",
+    batch_size: int = 4096,
+) -> DataFrame:
+    """Add integer ``prediction`` by a user model called on Arrow batches.
 
-    The model here is a list of centroids; any function of a feature matrix
-    fits in its place.
+    ``make_predict`` runs once per Python worker and returns a function from a
+    feature matrix of ``width`` columns to a vector of labels.
     """
+    predict = predict_batch_udf(
+        make_predict,
+        return_type=IntegerType(),
+        batch_size=batch_size,
+        input_tensor_shapes=[[width]],
+    )
+    return df.withColumn("prediction", predict(F.col(features)))
+
+
+def nearest_centroid_predictor(centroids: Sequence[tuple[int, Sequence[float]]]) -> Callable:
+    """A model for ``batch_score``: the label of the nearest of a few centroids."""
 
     def make_predict():
         import numpy as np
@@ -101,18 +118,14 @@ def batch_score(df: DataFrame, centroids: list[tuple[int, list[float]]], feature
         labels = np.array([c[0] for c in centroids], dtype="int32")
         points = np.array([c[1] for c in centroids], dtype="float64")
 
-        def predict(inputs: np.ndarray) -> np.ndarray:
-            # |x - c|^2 without the |x|^2 term, which is the same for every label.
+        def predict(inputs):
+            # Squared distance without the term that is the same for every label.
             far = (points * points).sum(axis=1) - 2.0 * inputs.astype("float64") @ points.T
             return labels[far.argmin(axis=1)]
 
         return predict
 
-    width = len(centroids[0][1])
-    predict = predict_batch_udf(
-        make_predict, return_type="int", batch_size=batch_size, input_tensor_shapes=[[width]]
-    )
-    return df.withColumn("prediction", predict(F.col(features)))
+    return make_predict
 
 
 # --- checkpoints -------------------------------------------------------------

@@ -75,13 +75,10 @@ def with_blocks(
         F.array_sort(F.collect_list(position)), lambda _, i: i % OVERSAMPLE == OVERSAMPLE - 1
     )
     cuts = sample.groupBy(*keys).agg(every_nth.alias("_cuts")).where(F.size("_cuts") > 0)
-    if keys:
-        located = _attach(df, cuts, keys)
-        found = F.col("_cuts")
-    else:
-        located = df
-        found = cuts.scalar()
-    block = F.when(found.isNull(), F.lit(0)).otherwise(_cuts_passed(found, position) + 1)
+    located = _attach(df, cuts, keys) if keys else df.withColumn("_cuts", cuts.scalar())
+    block = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+        _cuts_passed(F.col("_cuts"), position) + 1
+    )
     return located.withColumn(BLOCK, block).drop("_cuts")
 
 

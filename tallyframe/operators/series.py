@@ -38,13 +38,8 @@ def _with_halo(grid: DataFrame, size: Column) -> DataFrame:
     at = F.col("idx") - 1
     home = F.floor(at / size)
     place = F.pmod(at, size)
-    owners = F.filter(
-        F.array(
-            home,
-            F.when(place == 0, home - 1),
-            F.when(place == size - 1, home + 1),
-        ),
-        lambda b: b.isNotNull(),
+    owners = F.array_compact(
+        F.array(home, F.when(place == 0, home - 1), F.when(place == size - 1, home + 1))
     )
     return grid.withColumn("_home", home).withColumn(ordered.BLOCK, F.explode(owners))
 

@@ -39,9 +39,8 @@ def rtt_truncated_mean(spark, sf):
 def rtt_elapsed(spark, sf):
     """Summary of the time between events of a user, per kind of event."""
     gaps = latency.elapsed(events(spark, sf), ["user_id"], "ts", "event_id")
-    return _rounded(
-        latency.rtt_summary(gaps.where("elapsed_us is not null"), ["event_type"], _ORDER, "elapsed_us")
-    )
+    timed = gaps.where("elapsed_us is not null").withColumn("elapsed_s", F.col("elapsed_us") / 1e6)
+    return _rounded(latency.rtt_summary(timed, ["event_type"], _ORDER, "elapsed_s"))
 
 
 def rtt_report(spark, sf):
@@ -102,7 +101,8 @@ k as (select * from (select *, row_number() over (partition by {group} order by
 _TRUNCATED = _kept("event_type") + """,
 m as (select event_type, count(value) n, floor(sum(value) / count(value))::bigint mean from k group by event_type),
 t as (select event_type, n, mean,
-  sqrt(sum((value - mean) * (value - mean)) / n) stddev from k join m using (event_type) group by all)
+  sqrt(sum((value - mean) * (value - mean)) / max(n)) stddev
+  from k join m using (event_type) group by event_type, n, mean)
 """
 _GAPS = """with g as (select *, epoch_us(ts) - lag(epoch_us(ts))
   over (partition by user_id order by ts, event_id) elapsed_us from events)
@@ -120,13 +120,14 @@ ORACLES = {
     "rtt_elapsed": _GAPS
     + """, k as (select *, row_number() over (partition by event_type order by ts, event_id) rk
   from g where elapsed_us is not null)
-select event_type, count(*) n, round(avg(elapsed_us), 6) mean, round(stddev_pop(elapsed_us), 6) stddev
+select event_type, count(*) n, round(avg(elapsed_us / 1e6), 6) mean,
+  round(stddev_pop(elapsed_us / 1e6), 6) stddev
 from k where rk > 1 group by event_type""",
     "rtt_report": _TRUNCATED
     + "select event_type || ' ' || mean::varchar || ' ' || printf('%.6f', stddev) line from t",
     "throughput": """select event_type, round(count(*) / sum(value), 9) per_second
 from events group by event_type""",
-    "speedup": """with t as (select user_id % 4 scenario, event_type, sum(value) seconds from events group by all)
+    "speedup": """with t as (select user_id % 4 scenario, event_type, sum(value) as seconds from events group by all)
 select t.scenario, t.event_type, round(b.seconds / t.seconds, 9) speedup
 from t join t b on b.scenario = t.scenario and b.event_type = 'view'""",
     "latest_checkpoint": """select user_id, arg_max('ckpt-' || event_id::varchar,

@@ -40,7 +40,8 @@ def batch_score(spark, sf):
     # Labels times dimensions numbers, whatever the number of rows.
     model = learning.centroid_model(table).first()["model"]
     centroids = [(m["label"], list(m["centroid"])) for m in model]
-    return learning.batch_score(table, centroids).select("vec_id", "prediction")
+    predictor = learning.nearest_centroid_predictor(centroids)
+    return learning.batch_score(table, predictor, len(centroids[0][1])).select("vec_id", "prediction")
 
 
 def accuracy(spark, sf):
