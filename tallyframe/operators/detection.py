@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.boxes import CORNERS, iou
@@ -20,6 +20,7 @@ from tallyframe.staging import stage
 GROUP = ["image_id", "class_id"]
 DETECTION = ["image_id", "det_id", "class_id", "score", *CORNERS]
 _TILES_PER_BOX = 16
+_TILE_TOP = 64
 
 
 def filter_confidence(detections: DataFrame, threshold: float = 0.01) -> DataFrame:
@@ -70,6 +71,10 @@ def _tiled(boxes: DataFrame) -> DataFrame:
 # --- suppression ------------------------------------------------------------
 
 
+def _overlaps(a: Column, b: Column, limit: float) -> Column:
+    return F.coalesce(iou(a.getField, b.getField), F.lit(0.0)) > limit
+
+
 def _fold(detections: DataFrame, limit: float) -> DataFrame:
     """Greedy suppression of groups small enough to be one array."""
     boxes = F.array_sort(
@@ -77,7 +82,7 @@ def _fold(detections: DataFrame, limit: float) -> DataFrame:
     )
 
     def overlaps(box: Column, kept: Column) -> Column:
-        return F.exists(kept, lambda k: F.coalesce(iou(k.getField, box.getField), F.lit(0.0)) > limit)
+        return F.exists(kept, lambda k: _overlaps(k, box, limit))
 
     kept = F.aggregate(
         F.col("_boxes"),
@@ -95,44 +100,54 @@ def _fold(detections: DataFrame, limit: float) -> DataFrame:
 def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: int) -> DataFrame:
     """Greedy suppression of groups too large for one array, tile by tile.
 
-    A box that ranks first in every tile it touches cannot be suppressed. Each
-    round keeps those boxes and removes what they suppress. A tile has at most
-    one such box, so a round passes over the rows once and never pairs the
-    boxes of a group with each other. What is left goes to the fold as soon as
-    it is small enough.
+    A box that no better box overlaps cannot be suppressed. Two overlapping
+    boxes share a tile, so the best ``_TILE_TOP`` boxes of every tile tell
+    which boxes are free in all their tiles. Each round keeps those and
+    removes what they suppress; the number of rounds follows the length of
+    overlap chains, not the number of boxes. No list is longer than
+    ``_TILE_TOP``, and the top of a tile is pruned before it is shuffled.
+    What is left goes to the fold as soon as it is small enough.
     """
     flat = (F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1"))
     kept = [detections.where(flat)]  # no area, no overlap
-    left = stage(detections.where(~flat).join(sizes, GROUP), "nms-left")
+    spots = F.size(_span("x1", "x2", "_tile_w")) * F.size(_span("y1", "y2", "_tile_h"))
+    solid = detections.where(~flat).join(sizes, GROUP).withColumn("_spots", spots)
+    left = stage(solid, "nms-left")
     tile = [*GROUP, "_tx", "_ty"]
+    by_score = [F.col("score").desc(), F.col("det_id").asc()]
+    box = F.struct((-F.col("score")).alias("order"), "det_id", "_spots", *CORNERS)
     while True:
-        # One round: winners, what they suppress, the rest.
+        # One round: free boxes, what they suppress, the rest.
         largest = left.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         if largest is None or largest <= fold_rows:
             break
-        spots = F.size(_span("x1", "x2", "_tile_w")) * F.size(_span("y1", "y2", "_tile_h"))
-        tiled = _tiled(left.withColumn("_spots", spots))
-        rank = F.struct(-F.col("score"), F.col("det_id"))
-        first = tiled.groupBy(*tile).agg(F.min_by(F.struct("det_id", "_spots"), rank).alias("_first"))
-        winners = (
-            first.select("_first.*")
+        tiled = _tiled(left)
+        best = (
+            tiled.withColumn("_rank", F.row_number().over(Window.partitionBy(*tile).orderBy(*by_score)))
+            .where(F.col("_rank") <= _TILE_TOP)
+            .groupBy(*tile)
+            .agg(F.array_sort(F.collect_list(box)).alias("_best"))
+        )
+        free = F.filter(
+            "_best",
+            lambda b, i: ~F.exists(F.slice("_best", 1, i), lambda a: _overlaps(a, b, limit)),
+        )
+        won = (
+            best.select(F.inline(free))
             .groupBy("det_id", "_spots")
             .agg(F.count(F.lit(1)).alias("_won"))
             .where(F.col("_won") == F.col("_spots"))
             .select("det_id")
         )
-        won = stage(left.join(winners, "det_id", "left_semi"), "nms-won")
-        over = _tiled(won).select(
-            *tile, F.struct("det_id", *CORNERS).alias("_by")
-        )
-        by = F.col("_by")
-        overlap = F.coalesce(iou(F.col, by.getField), F.lit(0.0)) > limit
-        settled = (
-            tiled.join(over, tile)
-            .where((F.col("det_id") == by["det_id"]) | overlap)
+        won = stage(left.join(won, "det_id", "left_semi"), "nms-won")
+        near = _tiled(won).groupBy(*tile).agg(F.collect_list(F.struct(*CORNERS)).alias("_near"))
+        me = F.struct(*CORNERS)
+        suppressed = (
+            tiled.join(near, tile)
+            .where(F.exists("_near", lambda w: _overlaps(w, me, limit)))
             .select("det_id")
-            .distinct()
         )
+        settled = suppressed.unionByName(won.select("det_id")).distinct()
         kept.append(won.select(*DETECTION))
         left = stage(left.join(settled, "det_id", "left_anti"), "nms-left")
     kept.append(_fold(left, limit))

@@ -37,12 +37,6 @@ def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(renamed), condition, "left").drop(*[f"_r_{n}" for n in names])
 
 
-def _block_rows(df: DataFrame, min_rows: int, max_blocks: int) -> Column:
-    """Rows per block: at least ``min_rows``, at most ``max_blocks`` blocks in all."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return F.greatest(F.lit(min_rows), F.ceil(total / F.lit(max_blocks))).cast("bigint")
-
-
 def _cuts_passed(cuts: Column, position: Column) -> Column:
     """How many of the sorted ``cuts`` are at or before ``position``."""
     steps = F.array(*[F.lit(s) for s in _SEARCH_STEPS])
@@ -62,14 +56,20 @@ def with_blocks(
     min_rows: int = MIN_BLOCK_ROWS,
     max_blocks: int | None = None,
 ) -> DataFrame:
-    """Add the block number: 0 for a key kept whole, 1, 2, ... along a long key."""
-    max_blocks = max_blocks or default_max_blocks(df)
-    stride = F.greatest(
-        F.lit(1), (_block_rows(df, min_rows, max_blocks) / F.lit(OVERSAMPLE)).cast("bigint")
-    )
+    """Add the block number: 0 for a key kept whole, 1, 2, ... along a long key.
+
+    Counts ``df`` first. Up to ``min_rows`` rows in all, no key can be long:
+    the block is the constant 0 and every carry table below folds away when
+    the plan is optimized.
+    """
+    rows = df.count()
+    if rows <= min_rows:
+        return df.withColumn(BLOCK, F.lit(0))
+    block_rows = max(min_rows, -(-rows // (max_blocks or default_max_blocks(df))))
+    stride = max(1, block_rows // OVERSAMPLE)
     position = F.struct(*order)
     sample = df.select(*keys, *[o for o in order if o not in keys]).where(
-        F.pmod(F.xxhash64(*keys, *order), stride) == 0
+        F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0
     )
     every_nth = F.filter(
         F.array_sort(F.collect_list(position)), lambda _, i: i % OVERSAMPLE == OVERSAMPLE - 1

@@ -14,7 +14,7 @@ _ORDER = ["ts", "event_id"]
 
 def elapsed_between_events(spark, sf):
     gaps = latency.elapsed(events(spark, sf), ["user_id"], "ts", "event_id")
-    return gaps.select("event_id", "elapsed_us")
+    return gaps.select("event_id", F.col("elapsed_us").cast("double").alias("elapsed_us"))
 
 
 def _rounded(df):
@@ -109,7 +109,7 @@ _GAPS = """with g as (select *, epoch_us(ts) - lag(epoch_us(ts))
 """
 
 ORACLES = {
-    "elapsed_between_events": _GAPS + "select event_id, elapsed_us from g",
+    "elapsed_between_events": _GAPS + "select event_id, elapsed_us::double elapsed_us from g",
     "rtt_summary": _kept("event_type")
     + """select event_type, count(value) n, round(avg(value), 6) mean,
   round(stddev_pop(value), 6) stddev from k group by event_type""",

@@ -69,7 +69,7 @@ def neighbour_values(spark, sf):
     """Neighbours over the whole table in time order, cut into many blocks."""
     points = events(spark, sf).select("event_id", micros("ts").alias("us"), "value")
     near = series.neighbour_values(points, [], "us", "value", **_SMALL_BLOCKS)
-    return near.select("event_id", "prev_value", "next_value", F.col("dx").alias("step_us"))
+    return near.select("event_id", "prev_value", "next_value", F.col("dx").cast("double").alias("step_us"))
 
 
 def exclusive_offsets(spark, sf):
@@ -177,7 +177,7 @@ ORACLES = {
     + """select event_id, round(sum(coalesce((y + py) / 2 * (x - px), 0.0::double))
   over (partition by user_id order by x rows unbounded preceding), 4) integral from l""",
     "neighbour_values": """select event_id, lag(value) over w prev_value, lead(value) over w next_value,
-  epoch_us(ts) - lag(epoch_us(ts)) over w step_us
+  (epoch_us(ts) - lag(epoch_us(ts)) over w)::double step_us
 from events window w as (order by epoch_us(ts))""",
     "exclusive_offsets": """select day, n, coalesce(sum(n) over (order by day
   rows between unbounded preceding and 1 preceding), 0)::bigint "offset"
