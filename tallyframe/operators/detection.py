@@ -174,32 +174,42 @@ def nms(detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000) -
 # --- matching ---------------------------------------------------------------
 
 
-def overlapping_pairs(
-    detections: DataFrame, targets: DataFrame, iou_limit: float = 0.5, dense_targets: int = 256
-) -> DataFrame:
-    """``(det_id, gt_id, score, iou)`` for pairs of one image and class at or above the limit.
+def _tile_join(
+    detections: DataFrame, targets: DataFrame, sizes: DataFrame, iou_limit: float
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with tile numbers, for groups with many targets.
 
-    A pair can appear once per tile both boxes touch. Groups of up to
-    ``dense_targets`` targets use a plain equality join; larger ones are joined
-    by tile, so only boxes near each other meet. Copies of one target are the
-    same partner, of which the lowest ``gt_id`` wins a tie: they are merged
-    first.
+    Copies of one target are the same partner, of which the lowest ``gt_id``
+    wins every tie: they are merged first.
     """
     distinct = targets.groupBy(*GROUP, *CORNERS).agg(F.min("gt_id").alias("gt_id"))
-    sizes = _tile_sizes(distinct, dense_targets)
     # Overlap at the limit needs similar sides, which bounds the tiles of a box.
     near = (F.col("x2") - F.col("x1") <= F.col("_max_w") / iou_limit) & (
         F.col("y2") - F.col("y1") <= F.col("_max_h") / iou_limit
     )
-    left = _tiled(
-        detections.select(*DETECTION).join(sizes, GROUP, "left").where(F.col("_max_w").isNull() | near)
-    )
-    box = F.struct(*CORNERS).alias("_target")
-    right = _tiled(distinct.join(sizes, GROUP, "left")).select(*GROUP, "_tx", "_ty", "gt_id", box)
-    target = F.col("_target")
+    left = detections.join(sizes, GROUP, "left").where(F.col("_max_w").isNull() | near)
+    right = distinct.join(sizes, GROUP, "left")
+    return _tiled(left), _tiled(right), ["_tx", "_ty"]
+
+
+def overlapping_pairs(
+    detections: DataFrame, targets: DataFrame, iou_limit: float = 0.5, dense_targets: int = 256
+) -> DataFrame:
+    """``(det_id, gt_id, score, iou)`` for pairs of one image and class at or above the limit.
+
+    When no image and class has more than ``dense_targets`` targets, which is
+    checked first, this is one equality join. Otherwise such groups are joined
+    by tile, so only boxes near each other meet; a pair then appears once per
+    tile both boxes touch.
+    """
+    left, right, tile = detections.select(*DETECTION), targets, []
+    sizes = _tile_sizes(targets, dense_targets)
+    if not sizes.isEmpty():
+        left, right, tile = _tile_join(left, targets, stage(sizes, "match-groups"), iou_limit)
+    right = right.select(*GROUP, *tile, "gt_id", F.struct(*CORNERS).alias("_target"))
     return (
-        left.join(right, [*GROUP, "_tx", "_ty"])
-        .withColumn("iou", iou(F.col, target.getField))
+        left.join(right, [*GROUP, *tile])
+        .withColumn("iou", iou(F.col, F.col("_target").getField))
         .where(F.col("iou") >= F.lit(iou_limit))
         .select("det_id", "gt_id", "score", "iou")
     )

@@ -45,9 +45,19 @@ def _token_arrays(
     )
 
 
+def _spread(docs: DataFrame) -> DataFrame:
+    """The rows over all cores when the scan has fewer splits than cores.
+
+    Tokenizing is bound by the processor; a large input has more splits than
+    cores and is left where it is.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+
+
 def token_rows(docs: DataFrame, mode: str = "legal", keep_leading_empty: bool = False) -> DataFrame:
-    """``(doc_id, word)``, one row per token. No shuffle."""
-    return docs.select(
+    """``(doc_id, word)``, one row per token."""
+    return _spread(docs.select("doc_id", "text")).select(
         "doc_id", F.explode(text.tokens("text", mode, keep_leading_empty)).alias("word")
     )
 
@@ -80,14 +90,15 @@ def word_counts(docs: DataFrame, mode: str = "legal", corpus_col: str | None = N
 
 
 def doc_sizes(docs: DataFrame, mode: str = "legal") -> DataFrame:
-    """``(doc_id, ds)``: tokens per document that has any. No shuffle."""
+    """``(doc_id, ds)``: tokens per document that has any."""
     size = F.size(text.tokens("text", mode)).cast("bigint")
-    return docs.select("doc_id", size.alias("ds")).where("ds > 0")
+    return _spread(docs.select("doc_id", "text")).select("doc_id", size.alias("ds")).where("ds > 0")
 
 
 def doc_frequency(docs: DataFrame, mode: str = "legal", corpus_col: str | None = None) -> DataFrame:
     """``(word, df)``: documents that hold the word, each counted once."""
-    arrays = docs.select(
+    source = _spread(docs.select(*_keys(corpus_col), "doc_id", "text"))
+    arrays = source.select(
         *_keys(corpus_col), F.explode(F.array(text.tokens("text", mode))).alias("tokens")
     )
     return _frequencies(arrays, corpus_col)
@@ -99,8 +110,7 @@ def corpus_size(docs: DataFrame, corpus_col: str | None = None) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, mode: str = "legal") -> DataFrame:
-    arrays = docs.select(F.explode(F.array(text.tokens("text", mode))).alias("tokens"))
-    return arrays.select(F.explode(F.array_distinct("tokens")).alias("word")).distinct()
+    return doc_frequency(docs, mode).select("word")
 
 
 def vocabulary_size(docs: DataFrame, mode: str = "legal") -> DataFrame:
@@ -114,14 +124,16 @@ def postings(docs: DataFrame, mode: str = "legal", segment_docs: int = 4096) ->
     list is cut into ``ceil(df / segment_docs)`` segments by a document hash.
     The segments of a word together hold every document exactly once.
     """
-    pairs = docs.select(
-        "doc_id", F.explode(F.array(text.tokens("text", mode))).alias("tokens")
-    ).select("doc_id", F.explode(F.array_distinct("tokens")).alias("word"))
+    arrays = _token_arrays(docs, mode)
+    pairs = arrays.select(
+        "doc_id",
+        document_hash("doc_id").alias("_hash"),
+        F.explode(F.array_distinct("tokens")).alias("word"),
+    )
     segments = F.ceil(F.col("df") / F.lit(segment_docs))
-    segment = document_hash("doc_id") % segments
     return (
-        pairs.join(doc_frequency(docs, mode), "word")
-        .withColumn("segment", segment)
+        pairs.join(_frequencies(arrays, None), "word")
+        .withColumn("segment", F.col("_hash") % segments)
         .repartition("word", "segment")
         .groupBy("word", "df", "segment")
         .agg(F.array_sort(F.collect_list("doc_id")).alias("docs"))

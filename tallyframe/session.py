@@ -14,7 +14,7 @@ TUNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _file_name() -> Column:
+    """Name of the file a row comes from; the metadata column holds it URL-encoded."""
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+
+
 def _named(files: DataFrame, doc_col: str | None, name_pattern: str | None) -> DataFrame:
-    name = F.col(doc_col) if doc_col else F.col("_metadata.file_name")
-    named = files.select(name.alias("doc_id"), F.col("value").alias("text"))
-    return named.where(F.col("doc_id").rlike(name_pattern)) if name_pattern else named
+    name = F.col(doc_col) if doc_col else _file_name()
+    return _matching(files.select(name.alias("doc_id"), F.col("value").alias("text")), name_pattern)
+
+
+def _matching(docs: DataFrame, name_pattern: str | None) -> DataFrame:
+    return docs.where(F.col("doc_id").rlike(name_pattern)) if name_pattern else docs
+
+
+def document_names(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id)`` of every listed file, empty ones included; no text is read."""
+    listed = {unquote(p.rsplit("/", 1)[1]) for p in spark.read.text(path).inputFiles()}
+    return spark.createDataFrame([(name,) for name in sorted(listed)], "doc_id string")
 
 
 def read_corpus(
@@ -18,15 +34,26 @@ def read_corpus(
     """``(doc_id, text)``, one row per file; the document is the file name.
 
     ``name_pattern`` keeps matching names only, such as ``^doc[0-9]+$``.
-    ``doc_col`` names a partition folder column to use instead.
+    ``doc_col`` names a partition folder column to use instead. A scan skips
+    files without content; they are documents too and come from the listing.
     """
-    return _named(spark.read.text(path, wholetext=True), doc_col, name_pattern)
+    docs = _named(spark.read.text(path, wholetext=True), doc_col, name_pattern)
+    if doc_col:
+        return docs
+    filled = spark.read.format("binaryFile").load(path).select(
+        F.substring_index("path", "/", -1).alias("doc_id")
+    )
+    empty = document_names(spark, path).join(filled, "doc_id", "left_anti")
+    return docs.unionByName(_matching(empty, name_pattern).withColumn("text", F.lit("")))
 
 
 def read_corpus_lines(
     spark: SparkSession, path: str, name_pattern: str | None = None, doc_col: str | None = None
 ) -> DataFrame:
-    """``(doc_id, text)``, one row per line; large files are split between tasks."""
+    """``(doc_id, text)``, one row per line; large files are split between tasks.
+
+    A file without content has no line: count ``document_names`` for N.
+    """
     return _named(spark.read.text(path), doc_col, name_pattern)
 
 
