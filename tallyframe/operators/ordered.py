@@ -18,10 +18,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.staging import stage
+
 BLOCK = "_block"
+LONG = "_long"
 OVERSAMPLE = 8
 MIN_BLOCK_ROWS = 1_000_000
-_SEARCH_STEPS = [2**k for k in range(20, -1, -1)]
 
 
 def default_max_blocks(df: DataFrame) -> int:
@@ -37,16 +39,37 @@ def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(renamed), condition, "left").drop(*[f"_r_{n}" for n in names])
 
 
-def _cuts_passed(cuts: Column, position: Column) -> Column:
-    """How many of the sorted ``cuts`` are at or before ``position``."""
-    steps = F.array(*[F.lit(s) for s in _SEARCH_STEPS])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(
-            F.try_element_at(cuts, at + step) <= position, at + step
-        ).otherwise(at),
+def _position(order: Sequence[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def _find_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], stride: int) -> DataFrame:
+    """Sorted cut positions of every key long enough to have some."""
+    sample = df.select(*keys, *[o for o in order if o not in keys]).where(
+        F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0
     )
+    every_nth = F.filter(
+        F.array_sort(F.collect_list(_position(order))),
+        lambda _, i: i % OVERSAMPLE == OVERSAMPLE - 1,
+    )
+    cuts = sample.groupBy(*keys).agg(every_nth.alias("_cuts")).where(F.size("_cuts") > 0)
+    return stage(cuts, "cuts")
+
+
+def _with_cuts_passed(df: DataFrame, position: Column, most: int) -> DataFrame:
+    """Add ``_at``: how many of the sorted ``_cuts`` are at or before ``position``.
+
+    A binary search, one projection per halving. Unlike a lambda over the
+    array it is compiled with the rest of the stage, and the array of a key is
+    never copied into its rows.
+    """
+    searched = df.withColumn("_at", F.lit(0))
+    for step in (2**k for k in range(most.bit_length() - 1, -1, -1)):
+        further = F.col("_at") + step
+        searched = searched.withColumn(
+            "_at", F.when(F.get("_cuts", further - 1) <= position, further).otherwise(F.col("_at"))
+        )
+    return searched
 
 
 def with_blocks(
@@ -58,28 +81,30 @@ def with_blocks(
 ) -> DataFrame:
     """Add the block number: 0 for a key kept whole, 1, 2, ... along a long key.
 
-    Counts ``df`` first. Up to ``min_rows`` rows in all, no key can be long:
-    the block is the constant 0 and every carry table below folds away when
-    the plan is optimized.
+    The size decides first. Up to ``min_rows`` rows in all, or when the sample
+    finds no long key, the block is a constant: every carry table below folds
+    away when the plan is optimized, and plain windows remain.
     """
+    whole = df.withColumns({BLOCK: F.lit(0), LONG: F.lit(False)})
     rows = df.count()
     if rows <= min_rows:
-        return df.withColumn(BLOCK, F.lit(0))
+        return whole
     block_rows = max(min_rows, -(-rows // (max_blocks or default_max_blocks(df))))
-    stride = max(1, block_rows // OVERSAMPLE)
-    position = F.struct(*order)
-    sample = df.select(*keys, *[o for o in order if o not in keys]).where(
-        F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0
-    )
-    every_nth = F.filter(
-        F.array_sort(F.collect_list(position)), lambda _, i: i % OVERSAMPLE == OVERSAMPLE - 1
-    )
-    cuts = sample.groupBy(*keys).agg(every_nth.alias("_cuts")).where(F.size("_cuts") > 0)
+    cuts = _find_cuts(df, keys, order, max(1, block_rows // OVERSAMPLE))
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
+    if most is None:
+        return whole
     located = _attach(df, cuts, keys) if keys else df.withColumn("_cuts", cuts.scalar())
-    block = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-        _cuts_passed(F.col("_cuts"), position) + 1
+    long = F.col("_cuts").isNotNull()
+    return (
+        _with_cuts_passed(located, _position(order), most)
+        .withColumns({BLOCK: F.when(long, F.col("_at") + 1).otherwise(0), LONG: long})
+        .drop("_cuts", "_at")
     )
-    return located.withColumn(BLOCK, block).drop("_cuts")
+
+
+def without_blocks(df: DataFrame) -> DataFrame:
+    return df.drop(BLOCK, LONG)
 
 
 def _within(keys: Sequence[str], order: Sequence[str], reverse: bool = False):
@@ -98,16 +123,21 @@ def with_neighbours(
 ) -> DataFrame:
     """Add ``prev_<c>`` and ``next_<c>`` for a frame that has blocks."""
     row = F.struct(*columns)
-    position = F.struct(*order)
+    position = _position(order)
+    ends = [F.min_by(c, position).alias(f"_first_{c}") for c in columns] + [
+        F.max_by(c, position).alias(f"_last_{c}") for c in columns
+    ]
+    first = F.struct(*[F.col(f"_first_{c}").alias(c) for c in columns])
+    last = F.struct(*[F.col(f"_last_{c}").alias(c) for c in columns])
     edges = (
-        df.where(F.col(BLOCK) > 0)
+        df.where(LONG)
         .groupBy(*keys, BLOCK)
-        .agg(F.min_by(row, position).alias("_first"), F.max_by(row, position).alias("_last"))
+        .agg(*ends)
         .select(
             *keys,
             BLOCK,
-            F.lag("_last").over(_across(keys)).alias("_before"),
-            F.lead("_first").over(_across(keys)).alias("_after"),
+            F.lag(last).over(_across(keys)).alias("_before"),
+            F.lead(first).over(_across(keys)).alias("_after"),
         )
     )
     within = _within(keys, order)
@@ -150,7 +180,7 @@ def with_running(
     )
     earlier = _across(keys, reverse).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        df.where(F.col(BLOCK) > 0)
+        df.where(LONG)
         .groupBy(*keys, BLOCK)
         .agg(*[a.alias(n) for n, a in aggregates.items()])
         .select(
@@ -179,4 +209,4 @@ def dense_index(
 ) -> DataFrame:
     """Consecutive numbers from 1 in the given order, without one global sort task."""
     blocked = with_blocks(df, keys, order, **blocking)
-    return with_running(blocked, keys, order, counts=[name]).drop(BLOCK)
+    return without_blocks(with_running(blocked, keys, order, counts=[name]))

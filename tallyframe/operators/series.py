@@ -89,10 +89,12 @@ def grid_integral(
         _with_halo(grid, _block_size(n, grid, min_rows))
         .withColumn("area", F.when(F.col("idx") == 1, starts[first]).otherwise(cell))
         .where(F.col("_home") == F.col(ordered.BLOCK))
-        .withColumn(ordered.BLOCK, (F.col("_home") + 1).cast("int"))
-        .select("idx", "x", "y", "area", ordered.BLOCK)
+        .withColumn(ordered.LONG, F.lit(True))
+        .select("idx", "x", "y", "area", ordered.BLOCK, ordered.LONG)
+    )
+    return ordered.without_blocks(
+        ordered.with_running(cells, [], ["idx"], sums={"integral": "area"})
     )
-    return ordered.with_running(cells, [], ["idx"], sums={"integral": "area"}).drop(ordered.BLOCK)
 
 
 def central_difference(
@@ -171,6 +173,6 @@ def exclusive_offsets(
 ) -> DataFrame:
     """Add ``offset``: the sum of ``count`` over all earlier rows."""
     blocked = ordered.with_blocks(df, keys, order, **blocking)
-    return ordered.with_running(
-        blocked, keys, order, sums={"offset": count}, exclusive=True
-    ).drop(ordered.BLOCK)
+    return ordered.without_blocks(
+        ordered.with_running(blocked, keys, order, sums={"offset": count}, exclusive=True)
+    )
