@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.boxes import CORNERS, iou
 from tallyframe.operators import ordered
 from tallyframe.operators.partition import combine_parts
-from tallyframe.staging import stage
+from tallyframe.staging import MAX_BROADCAST_ROWS, stage, stage_side
 
 GROUP = ["image_id", "class_id"]
 DETECTION = ["image_id", "det_id", "class_id", "score", *CORNERS]
@@ -165,7 +165,7 @@ def nms(detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000) -
     sizes = _tile_sizes(boxes, fold_rows).drop("_max_w", "_max_h")
     if sizes.isEmpty():
         return _fold(boxes, iou_limit)
-    sizes = stage(sizes, "nms-groups")
+    sizes = stage_side(sizes, "nms-groups")
     small = _fold(boxes.join(sizes, GROUP, "left_anti"), iou_limit)
     large = _rounds(boxes.join(sizes, GROUP, "left_semi"), sizes, iou_limit, fold_rows)
     return small.unionByName(large)
@@ -174,42 +174,53 @@ def nms(detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000) -
 # --- matching ---------------------------------------------------------------
 
 
-def _tile_join(
-    detections: DataFrame, targets: DataFrame, sizes: DataFrame, iou_limit: float
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with tile numbers, for groups with many targets.
-
-    Copies of one target are the same partner, of which the lowest ``gt_id``
-    wins every tie: they are merged first.
-    """
-    distinct = targets.groupBy(*GROUP, *CORNERS).agg(F.min("gt_id").alias("gt_id"))
-    # Overlap at the limit needs similar sides, which bounds the tiles of a box.
-    near = (F.col("x2") - F.col("x1") <= F.col("_max_w") / iou_limit) & (
-        F.col("y2") - F.col("y1") <= F.col("_max_h") / iou_limit
-    )
-    left = detections.join(sizes, GROUP, "left").where(F.col("_max_w").isNull() | near)
-    right = distinct.join(sizes, GROUP, "left")
-    return _tiled(left), _tiled(right), ["_tx", "_ty"]
+def _with_tiles(boxes: DataFrame) -> DataFrame:
+    """Rows per touched tile, with the first tile of the box."""
+    first = {
+        "_tx0": F.element_at(_span("x1", "x2", "_tile_w"), 1),
+        "_ty0": F.element_at(_span("y1", "y2", "_tile_h"), 1),
+    }
+    return _tiled(boxes.withColumns(first))
 
 
 def overlapping_pairs(
-    detections: DataFrame, targets: DataFrame, iou_limit: float = 0.5, dense_targets: int = 256
+    detections: DataFrame,
+    targets: DataFrame,
+    iou_limit: float = 0.5,
+    dense_targets: int = 256,
+    merge_copies: bool = False,
 ) -> DataFrame:
     """``(det_id, gt_id, score, iou)`` for pairs of one image and class at or above the limit.
 
     When no image and class has more than ``dense_targets`` targets, which is
     checked first, this is one equality join. Otherwise such groups are joined
-    by tile, so only boxes near each other meet; a pair then appears once per
-    tile both boxes touch.
+    by tile, so only boxes near each other meet, and a pair counts in the
+    first tile both boxes touch. ``merge_copies`` then stands the lowest
+    ``gt_id`` in for all targets with the same box.
     """
-    left, right, tile = detections.select(*DETECTION), targets, []
+    box = F.struct(*CORNERS).alias("_target")
     sizes = _tile_sizes(targets, dense_targets)
-    if not sizes.isEmpty():
-        left, right, tile = _tile_join(left, targets, stage(sizes, "match-groups"), iou_limit)
-    right = right.select(*GROUP, *tile, "gt_id", F.struct(*CORNERS).alias("_target"))
+    if sizes.isEmpty():
+        right = targets.select(*GROUP, "gt_id", box)
+        met = detections.select(*DETECTION).join(right, GROUP)
+    else:
+        sizes = stage_side(sizes, "match-groups")
+        # Overlap at the limit needs similar sides, which bounds the tiles of a box.
+        near = (F.col("x2") - F.col("x1") <= F.col("_max_w") / iou_limit) & (
+            F.col("y2") - F.col("y1") <= F.col("_max_h") / iou_limit
+        )
+        if merge_copies:
+            targets = targets.groupBy(*GROUP, *CORNERS).agg(F.min("gt_id").alias("gt_id"))
+        left = detections.select(*DETECTION).join(sizes, GROUP, "left")
+        left = _with_tiles(left.where(F.col("_max_w").isNull() | near))
+        right = _with_tiles(targets.join(sizes, GROUP, "left")).select(
+            *GROUP, "_tx", "_ty", F.col("_tx0").alias("_gx0"), F.col("_ty0").alias("_gy0"), "gt_id", box
+        )
+        met = left.join(right, [*GROUP, "_tx", "_ty"]).where(
+            (F.col("_tx") == F.greatest("_tx0", "_gx0")) & (F.col("_ty") == F.greatest("_ty0", "_gy0"))
+        )
     return (
-        left.join(right, [*GROUP, *tile])
-        .withColumn("iou", iou(F.col, F.col("_target").getField))
+        met.withColumn("iou", iou(F.col, F.col("_target").getField))
         .where(F.col("iou") >= F.lit(iou_limit))
         .select("det_id", "gt_id", "score", "iou")
     )
@@ -223,7 +234,7 @@ def match_detections(
     A detection aims at the target it overlaps most (lowest id on a tie); a
     target goes to the best-scored detection that aims at it.
     """
-    pairs = overlapping_pairs(detections, targets, iou_limit, dense_targets)
+    pairs = overlapping_pairs(detections, targets, iou_limit, dense_targets, merge_copies=True)
     best = pairs.groupBy("det_id", "score").agg(
         F.min_by("gt_id", F.struct(-F.col("iou"), F.col("gt_id"))).alias("gt_id")
     )
@@ -263,7 +274,7 @@ def _enveloped(ranked: DataFrame) -> DataFrame:
 def precision_recall_curve(scored: DataFrame, counts: DataFrame, **blocking) -> DataFrame:
     """Every point of the per-class curve."""
     points = _enveloped(_ranked(stage(scored, "scored"), **blocking))
-    return points.join(counts, "class_id").select(
+    return points.join(stage_side(counts, "target-counts"), "class_id").select(
         "class_id",
         "det_id",
         "rk",
@@ -334,7 +345,8 @@ def evaluate_parts(
 
 def with_class_name(df: DataFrame, names: DataFrame) -> DataFrame:
     """Add ``class_name`` from ``(class_id, class_name)``."""
-    return df.join(names, "class_id", "left")
+    few = names.count() <= MAX_BROADCAST_ROWS
+    return df.join(F.broadcast(names) if few else names, "class_id", "left")
 
 
 def ap_report(ap: DataFrame, names: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators import ordered
+from tallyframe.staging import stage_side
 
 
 def micros(ts: Column | str) -> Column:
@@ -48,7 +49,8 @@ def without_warmup(
         .groupBy(*group)
         .agg(F.max(position).alias("_cut"))
     )
-    return df.join(last_warmup, list(group)).where(position > F.col("_cut")).drop("_cut")
+    cuts = stage_side(last_warmup, "warmup")
+    return df.join(cuts, list(group)).where(position > F.col("_cut")).drop("_cut")
 
 
 def rtt_summary(

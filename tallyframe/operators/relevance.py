@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import scores, text
-from tallyframe.staging import stage
+from tallyframe.staging import stage, stage_side
 
 
 def _keys(corpus_col: str | None) -> list[str]:
@@ -151,7 +151,7 @@ def _weights(frequencies: DataFrame, docs: DataFrame, corpus_col: str | None) ->
     if corpus_col is None:
         n = corpus_size(docs).select("n_docs").scalar()
         return frequencies.select("word", scores.icf(n, F.col("df")).alias("icf"))
-    sizes = corpus_size(docs, corpus_col)
+    sizes = stage_side(corpus_size(docs, corpus_col), "corpus-sizes")
     return frequencies.join(sizes, corpus_col).select(
         corpus_col, "word", scores.icf(F.col("n_docs"), F.col("df")).alias("icf")
     )

@@ -104,15 +104,17 @@ def central_difference(
     y: str = "y",
     boundary: str = "one_sided",
     f: Function | None = None,
+    tie: Sequence[str] = (),
     **blocking,
 ) -> DataFrame:
-    """Add ``dy`` per key in the order of ``x``.
+    """Add ``dy`` per key in the order of ``x``, then of the ``tie`` columns.
 
     ``boundary='one_sided'`` uses the one neighbour an end has;
     ``boundary='ghost'`` evaluates ``f`` one step beyond it.
     """
-    blocked = ordered.with_blocks(df, keys, [x], **blocking)
-    near = ordered.with_neighbours(blocked, keys, [x], [x, y])
+    order = [x, *tie]
+    blocked = ordered.with_blocks(df, keys, order, **blocking)
+    near = ordered.with_neighbours(blocked, keys, order, [x, y])
     px, py, nx, ny = (F.col(f"{side}_{c}") for side in ("prev", "next") for c in (x, y))
     cx, cy = F.col(x), F.col(y)
     if boundary == "ghost":
@@ -139,27 +141,32 @@ def cumulative_integral(
     x: str = "x",
     y: str = "y",
     first: Column | None = None,
+    tie: Sequence[str] = (),
     **blocking,
 ) -> DataFrame:
     """Add ``integral`` per key: cumulative trapezoids in the order of ``x``.
 
     ``first`` is the area credited to the first point of a key, 0 by default.
     """
-    blocked = ordered.with_blocks(df, keys, [x], **blocking)
-    near = ordered.with_neighbours(blocked, keys, [x], [x, y])
+    order = [x, *tie]
+    blocked = ordered.with_blocks(df, keys, order, **blocking)
+    near = ordered.with_neighbours(blocked, keys, order, [x, y])
     cell = (F.col(y) + F.col(f"prev_{y}")) / 2 * (F.col(x) - F.col(f"prev_{x}"))
     start = F.lit(0.0) if first is None else first
     cells = near.withColumn(
         "_area", F.when(F.col(f"prev_{x}").isNull(), start).otherwise(cell)
     )
-    total = ordered.with_running(cells, keys, [x], sums={"integral": "_area"})
+    total = ordered.with_running(cells, keys, order, sums={"integral": "_area"})
     return total.select(*df.columns, "integral")
 
 
-def neighbour_values(df: DataFrame, keys: Sequence[str], x: str, y: str, **blocking) -> DataFrame:
+def neighbour_values(
+    df: DataFrame, keys: Sequence[str], x: str, y: str, tie: Sequence[str] = (), **blocking
+) -> DataFrame:
     """Add the values and the steps to both neighbours."""
-    blocked = ordered.with_blocks(df, keys, [x], **blocking)
-    near = ordered.with_neighbours(blocked, keys, [x], [x, y])
+    order = [x, *tie]
+    blocked = ordered.with_blocks(df, keys, order, **blocking)
+    near = ordered.with_neighbours(blocked, keys, order, [x, y])
     return near.select(
         *df.columns,
         f"prev_{y}",

@@ -56,19 +56,19 @@ def _user_series(spark, sf):
 
 
 def event_derivative(spark, sf):
-    slopes = series.central_difference(_user_series(spark, sf), ["user_id"])
+    slopes = series.central_difference(_user_series(spark, sf), ["user_id"], tie=["event_id"])
     return slopes.select("event_id", F.round("dy", 6).alias("dy"))
 
 
 def event_integral(spark, sf):
-    areas = series.cumulative_integral(_user_series(spark, sf), ["user_id"])
+    areas = series.cumulative_integral(_user_series(spark, sf), ["user_id"], tie=["event_id"])
     return areas.select("event_id", F.round("integral", 4).alias("integral"))
 
 
 def neighbour_values(spark, sf):
     """Neighbours over the whole table in time order, cut into many blocks."""
     points = events(spark, sf).select("event_id", micros("ts").alias("us"), "value")
-    near = series.neighbour_values(points, [], "us", "value", **_SMALL_BLOCKS)
+    near = series.neighbour_values(points, [], "us", "value", tie=["event_id"], **_SMALL_BLOCKS)
     return near.select("event_id", "prev_value", "next_value", F.col("dx").cast("double").alias("step_us"))
 
 
@@ -161,7 +161,7 @@ select idx, round(x, 6) x, round(y, 6) y,
 _WHOLE_CELL = "(cos(x) + cos(0.0::double)) / 2 * (pi() / (n - 1))"
 _SERIES = """with s as (select user_id, event_id, epoch_us(ts) / 3600000000.0::double x, value y from events),
 l as (select *, lag(x) over w px, lag(y) over w py, lead(x) over w nx, lead(y) over w ny
-  from s window w as (partition by user_id order by x))
+  from s window w as (partition by user_id order by x, event_id))
 """
 
 ORACLES = {
@@ -175,10 +175,10 @@ ORACLES = {
   nullif(coalesce(nx, x) - coalesce(px, x), 0), 6) dy from l""",
     "event_integral": _SERIES
     + """select event_id, round(sum(coalesce((y + py) / 2 * (x - px), 0.0::double))
-  over (partition by user_id order by x rows unbounded preceding), 4) integral from l""",
+  over (partition by user_id order by x, event_id rows unbounded preceding), 4) integral from l""",
     "neighbour_values": """select event_id, lag(value) over w prev_value, lead(value) over w next_value,
   (epoch_us(ts) - lag(epoch_us(ts)) over w)::double step_us
-from events window w as (order by epoch_us(ts))""",
+from events window w as (order by ts, event_id)""",
     "exclusive_offsets": """select day, n, coalesce(sum(n) over (order by day
   rows between unbounded preceding and 1 preceding), 0)::bigint "offset"
 from (select strftime(ts, '%Y-%m-%d') as day, count(*) n from events group by 1)""",

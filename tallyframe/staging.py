@@ -6,6 +6,7 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -35,3 +36,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+MAX_BROADCAST_ROWS = 200_000
+
+
+def stage_side(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A staged join side, marked for broadcast only when its counted rows are few.
+
+    Without the mark the join shuffles both sides, however few keys there are.
+    """
+    staged = stage(df, label)
+    return F.broadcast(staged) if staged.count() <= max_rows else staged
