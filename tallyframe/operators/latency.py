@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.functions.joins import null_safe_join
 from tallyframe.operators import ordered
 from tallyframe.staging import stage_side
 
@@ -50,7 +51,7 @@ def without_warmup(
         .agg(F.max(position).alias("_cut"))
     )
     cuts = stage_side(last_warmup, "warmup")
-    return df.join(cuts, list(group)).where(position > F.col("_cut")).drop("_cut")
+    return null_safe_join(df, cuts, group).where(position > F.col("_cut")).drop("_cut")
 
 
 def rtt_summary(
@@ -99,7 +100,7 @@ def speedup(
     """Add ``speedup``: baseline seconds over own seconds, within a group."""
     base = df.where(F.col(variant) == baseline).groupBy(*group).agg(F.sum(seconds).alias("_base"))
     return (
-        df.join(base, list(group), "left")
+        null_safe_join(df, base, group, "left")
         .withColumn("speedup", F.try_divide(F.col("_base"), F.col(seconds)))
         .drop("_base")
     )

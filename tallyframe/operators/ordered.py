@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.functions.joins import null_safe_join
 from tallyframe.staging import stage
 
 BLOCK = "_block"
@@ -30,13 +31,9 @@ def default_max_blocks(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Left join of a bounded table, null keys included, key columns kept once."""
-    renamed = small.withColumnsRenamed({n: f"_r_{n}" for n in names})
-    condition = F.lit(True)
-    for n in names:
-        condition = condition & F.col(n).eqNullSafe(F.col(f"_r_{n}"))
-    return df.join(F.broadcast(renamed), condition, "left").drop(*[f"_r_{n}" for n in names])
+def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a bounded table."""
+    return null_safe_join(df, F.broadcast(small), keys, "left")
 
 
 def _position(order: Sequence[str]) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import scores, text
+from tallyframe.functions.joins import null_safe_join
 from tallyframe.staging import stage, stage_side
 
 
@@ -152,7 +153,7 @@ def _weights(frequencies: DataFrame, docs: DataFrame, corpus_col: str | None) ->
         n = corpus_size(docs).select("n_docs").scalar()
         return frequencies.select("word", scores.icf(n, F.col("df")).alias("icf"))
     sizes = stage_side(corpus_size(docs, corpus_col), "corpus-sizes")
-    return frequencies.join(sizes, corpus_col).select(
+    return null_safe_join(frequencies, sizes, [corpus_col]).select(
         corpus_col, "word", scores.icf(F.col("n_docs"), F.col("df")).alias("icf")
     )
 
@@ -185,15 +186,12 @@ def tficf(
     arrays = _token_arrays(docs, mode, corpus_col, keep_leading_empty)
     keys = _keys(corpus_col)
     weights = _weights(_frequencies(arrays, corpus_col), docs, corpus_col)
-    return (
-        _counts(arrays, corpus_col)
-        .join(weights, [*keys, "word"])
-        .select(
-            *keys,
-            "doc_id",
-            "word",
-            (scores.tf(F.col("wc"), F.col("ds")) * F.col("icf")).alias("tficf"),
-        )
+    counts = _counts(arrays, corpus_col)
+    return null_safe_join(counts, weights, [*keys, "word"]).select(
+        *keys,
+        "doc_id",
+        "word",
+        (scores.tf(F.col("wc"), F.col("ds")) * F.col("icf")).alias("tficf"),
     )
 
 

@@ -109,7 +109,7 @@ p as (select vec_id, label, max(case when rk = 1 then mlabel end) prediction,
 
 ORACLES = {
     "scale_features": """select vec_id, generate_subscripts(embedding, 1) - 1 as position,
-  round((unnest(embedding)::double / 255.0::double)::float::double, 6) as value from embeddings""",
+  round((unnest(embedding)::double / 255.0::double)::float::double, 6) + 0.0::double as value from embeddings""",
     "centroid_score": _CENTROIDS
     + "select vec_id, label, prediction, round(p, 6) label_probability from p",
     "batch_score": _CENTROIDS + "select vec_id, prediction from p",

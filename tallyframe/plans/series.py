@@ -154,8 +154,8 @@ def _integral_sql(start: str) -> str:
     return _COS_GRID + f""",
 a as (select idx, x, cos(x) y, case when idx = 1 then {start}
   else (cos(x) + lag(cos(x)) over (order by idx)) / 2 * (pi() / (n - 1)) end area from g)
-select idx, round(x, 6) x, round(y, 6) y,
-  round(sum(area) over (order by idx rows unbounded preceding), 6) integral from a"""
+select idx, round(x, 6) x, round(y, 6) + 0.0::double y,
+  round(sum(area) over (order by idx rows unbounded preceding), 6) + 0.0::double integral from a"""
 
 
 _WHOLE_CELL = "(cos(x) + cos(0.0::double)) / 2 * (pi() / (n - 1))"
@@ -166,13 +166,13 @@ l as (select *, lag(x) over w px, lag(y) over w py, lead(x) over w nx, lead(y) o
 
 ORACLES = {
     "grid_derivative": _DIFFERENCE
-    + "select idx, round(x, 6) x, round(y, 6) y, round(dy, 6) dy from d",
+    + "select idx, round(x, 6) x, round(y, 6) + 0.0::double y, round(dy, 6) + 0.0::double dy from d",
     "grid_integral": _integral_sql(_WHOLE_CELL),
     "grid_integral_zero": _integral_sql("0.0::double"),
     "grid_integral_blocks": _integral_sql(_WHOLE_CELL),
     "event_derivative": _SERIES
     + """select event_id, round((coalesce(ny, y) - coalesce(py, y)) /
-  nullif(coalesce(nx, x) - coalesce(px, x), 0), 6) dy from l""",
+  nullif(coalesce(nx, x) - coalesce(px, x), 0), 6) + 0.0::double dy from l""",
     "event_integral": _SERIES
     + """select event_id, round(sum(coalesce((y + py) / 2 * (x - px), 0.0::double))
   over (partition by user_id order by x, event_id rows unbounded preceding), 4) integral from l""",
@@ -183,7 +183,7 @@ from events window w as (order by ts, event_id)""",
   rows between unbounded preceding and 1 preceding), 0)::bigint "offset"
 from (select strftime(ts, '%Y-%m-%d') as day, count(*) n from events group by 1)""",
     "series_sink_roundtrip": _DIFFERENCE
-    + "select round(x, 6) x, round(y, 6) y, round(dy, 6) dy from d",
+    + "select round(x, 6) x, round(y, 6) + 0.0::double y, round(dy, 6) + 0.0::double dy from d",
     "seeded_split_exact": """with r as (select event_id, count(*) over () n,
   row_number() over (order by md5('1234:' || event_id::varchar), event_id) rn from events),
 p as (select event_id, rn, floor(0.7::double * n) a, floor(0.2::double * n) b, floor(0.1::double * n) c from r)

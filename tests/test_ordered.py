@@ -163,10 +163,10 @@ def test_blocks_and_round_robin(spark):
 
 
 def test_latency_by_hand(spark):
-    samples = [(size, i, v) for size in (32, 64) for i, v in enumerate((100.0, 10.0, 20.0, 30.0))]
+    samples = [(size, i, v) for size in (32, 64, None) for i, v in enumerate((100.0, 10.0, 20.0, 30.0))]
     df = spark.createDataFrame(samples, "size int, iter int, us double")
     got = latency.rtt_summary(df, ["size"], ["iter"], "us").orderBy("size").collect()
-    assert [(r["size"], r["n"], r["mean"]) for r in got] == [(32, 3, 20.0), (64, 3, 20.0)]
+    assert [(r["size"], r["n"], r["mean"]) for r in got] == [(None, 3, 20.0), (32, 3, 20.0), (64, 3, 20.0)]
     assert got[0]["stddev"] == pytest.approx(8.164966, abs=1e-6)
 
 

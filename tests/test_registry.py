@@ -27,7 +27,8 @@ def duck():
 
 def canonical(frame):
     frame = frame[sorted(frame.columns)]
-    return sorted(tuple(None if v != v else v for v in row) for row in frame.itertuples(index=False))
+    rows = (tuple((v == v, v if v == v else None) for v in row) for row in frame.itertuples(index=False))
+    return sorted(rows, key=repr)
 
 
 def test_every_twin_has_a_query():

@@ -119,12 +119,14 @@ def test_leading_empty_token_counts_when_kept(spark):
 
 
 def test_corpora_are_scored_apart(spark):
-    rows = [(c, d, t) for c, part in (("0", CORPUS), ("1", CORPUS[:2])) for d, t in part]
+    rows = [(c, d, t) for c, part in (("0", CORPUS), ("1", CORPUS[:2]), (None, CORPUS)) for d, t in part]
     got = relevance.tficf(
         spark.createDataFrame(rows, "corpus_id string, doc_id string, text string"), corpus_col="corpus_id"
     )
     alone = collected(relevance.tficf(spark.createDataFrame(CORPUS[:2], SCHEMA)))
     assert collected(got.where("corpus_id = '1'")) == pytest.approx(alone)
+    unnamed = collected(got.where("corpus_id is null"))
+    assert unnamed == pytest.approx(collected(relevance.tficf(spark.createDataFrame(CORPUS, SCHEMA))))
 
 
 def test_counts_and_invariants(spark):
