@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -16,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     created = tempfile.mkdtemp(prefix="tallyframe-")
     spark.sparkContext.setCheckpointDir(created)
@@ -27,14 +28,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and continue from the files.
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` once and continue from the files; runs a job when called.
 
     Later branches read columnar files with known sizes instead of repeating
     the upstream work, and a lost executor costs one re-read.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
