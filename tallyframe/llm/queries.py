@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat_format, host_rules, license_index, packing, token_files
+from tallyframe.llm import (
+    chat_format,
+    host_rules,
+    license_index,
+    packing,
+    string_tiling,
+    token_files,
+    unit_dedup,
+)
 from tallyframe.plans.tables import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -57,6 +65,12 @@ from grouped
 """
 
 
+def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = string_tiling.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    words = F.aggregate("tiles", F.lit(0), lambda n, t: n + t["length"]).cast("long").alias("tiled_words")
+    return leaks.select("doc_id", "item_id", F.size("tiles").alias("n_tiles"), words, "coverage")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.token_file_path(spark)
     docs = load(spark, sf_dir, "documents")
@@ -65,6 +79,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = unit_dedup.remove_repeats(docs)
+    chars = F.aggregate("removed", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long")
+    return cut.select("doc_id", "text", "removed", "kept", F.size("removed").alias("n_removed"), chars.alias("removed_chars"))
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(load(spark, sf_dir, "documents"))
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -137,7 +158,9 @@ def op9_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
+    "op3_string_tiling": op3_string_tiling,
     "op4_token_files": op4_token_files,
+    "op5_unit_dedup": op5_unit_dedup,
     "op8_host_rules": op8_host_rules,
     "op9_license_index": op9_license_index,
 }
