@@ -1,9 +1,12 @@
 """Token ids of whole texts, computed in Arrow batches.
 
-A byte-level tokenizer never merges across a single blank between two visible
-characters, so a text is the sequence of its blank-led chunks and each distinct
-chunk is encoded once. Texts with any other white space layout (and control
-characters) are encoded whole. Both give the ids of ``Tokenizer.encode``.
+A byte-level tokenizer never merges across the words its pattern cuts, nor
+across a single blank between two visible characters. So a batch of texts is
+cut at such blanks, every distinct chunk is cut into words once, and every
+distinct word is given to the tokenizer's model once while it stays in a bounded
+table. Texts with another layout of white space, with control characters, with
+letters beyond Latin or with a special token's string are encoded whole. Both
+ways give the ids of ``Tokenizer.encode``.
 """
 
 from __future__ import annotations
@@ -14,81 +17,105 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Characters other than a lone blank or line feed that may be white space.
-_SPACES = (
-    "\\x00-\\x09\\x0b-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}"
-    "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}"
+# Printable ASCII, Latin letters, lone blanks and lone line feeds.
+_IRREGULAR = "[^ \\n!-~\\x{a1}-\\x{24f}]|[ \\n][ \\n]|^[ \\n]|[ \\n]$"
+# Fixed value: the word pattern of this kind of byte-level tokenizer.
+_WORDS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-_IRREGULAR = f"[{_SPACES}]|[ \\n][ \\n]|^[ \\n]|[ \\n]$"
 
 SLICE_BYTES = 8 << 20
-MAX_CACHED_CHUNKS = 400_000
-_NEW_CHUNKS_PER_CALL = 20_000
+MAX_CACHED_WORDS = 400_000
 
 
-class ChunkEncoder:
-    """A tokenizer with a bounded table of chunks it has already encoded."""
+def _byte_alphabet() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
-    def __init__(self, path: str, max_cached: int = MAX_CACHED_CHUNKS):
+
+class _Slots(dict):
+    """Places of words in the id table; new words are noted and numbered."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = slot = len(self)
+        self.new.append(word)
+        return slot
+
+
+class WordEncoder:
+    """A tokenizer with a bounded table of words it has already encoded."""
+
+    def __init__(self, path: str, max_cached: int = MAX_CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self._max_cached = max_cached
-        separator = self._tokenizer.encode("\t", add_special_tokens=False).ids
-        a, b = (self._tokenizer.encode(x, add_special_tokens=False).ids for x in (" a", " b"))
-        joined = self._tokenizer.encode(" a\t b", add_special_tokens=False).ids
+        self._alphabet = dict(enumerate(_byte_alphabet()))
+        self._special = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         # Any other kind of tokenizer encodes every text whole.
-        self._chunked = len(separator) == 1 and joined == a + separator + b
-        self._separator = separator[0] if separator else None
+        sample = "It's 12 gr\u00fcne Wege.\n(Ends) ***"
+        words = [i for w in _WORDS.findall(sample) for i in self._model_ids(w)]
+        self._by_word = words == self._tokenizer.encode(sample, add_special_tokens=False).ids
         self._clear()
 
+    def _model_ids(self, word: str) -> list[int]:
+        if word.isascii():
+            shown = word.replace(" ", self._alphabet[32]).replace("\n", self._alphabet[10])
+        else:
+            shown = word.encode().decode("latin-1").translate(self._alphabet)
+        return [token.id for token in self._model.tokenize(shown)]
+
     def _clear(self) -> None:
-        self._slots: dict[str, int] = {}
-        self._starts = np.zeros(0, np.int64)
-        self._lengths = np.zeros(0, np.int64)
+        self._slots = _Slots()
+        self._separator = self._slots["\t"]
+        self._slots.new.clear()
+        self._starts = np.zeros(1, np.int64)
+        self._lengths = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint32)
 
-    def _learn(self, chunks: list[str]) -> None:
-        lengths, ids, base = [self._lengths], [self._ids], len(self._slots)
-        for at in range(0, len(chunks), _NEW_CHUNKS_PER_CALL):
-            part = chunks[at : at + _NEW_CHUNKS_PER_CALL]
-            joined = np.array(
-                self._tokenizer.encode("\t".join(part) + "\t", add_special_tokens=False).ids, np.uint32
-            )
-            ends = np.flatnonzero(joined == self._separator)
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer merged a separator")
-            lengths.append(np.diff(ends, prepend=-1) - 1)
-            ids.append(np.delete(joined, ends))
-        self._slots.update((chunk, base + i) for i, chunk in enumerate(chunks))
-        self._lengths = np.concatenate(lengths)
-        self._ids = np.concatenate(ids)
+    def _learn(self) -> None:
+        encoded = [self._model_ids(w) for w in self._slots.new]
+        self._slots.new.clear()
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        ids = np.fromiter((i for e in encoded for i in e), np.uint32, int(lengths.sum()))
+        self._lengths = np.concatenate([self._lengths, lengths])
+        self._ids = np.concatenate([self._ids, ids])
         self._starts = np.cumsum(self._lengths) - self._lengths
 
     def _encode_regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         chunks = pc.split_pattern(pc.replace_substring(texts, " ", "\x00 "), "\x00")
         rows = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
         coded = chunks.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self._slots) + len(words) > self._max_cached:
+        # A tab stands between two chunks; it is a word of its own and in no regular text.
+        words = _WORDS.findall("\t".join(coded.dictionary.to_pylist()) + "\t")
+        if len(self._slots) > self._max_cached:
             self._clear()
-        self._learn([w for w in words if w not in self._slots])
-        slots = np.fromiter((self._slots[w] for w in words), np.int64, len(words))
-        slots = slots[coded.indices.to_numpy()]
-        lengths = self._lengths[slots]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        shift = np.repeat(self._starts[slots] - ends[:-1], lengths)
-        return self._ids[np.arange(ends[-1]) + shift], ends[rows]
+        slots = np.fromiter(map(self._slots.__getitem__, words), np.int64, len(words))
+        self._learn()
+        closing = np.flatnonzero(slots == self._separator)
+        chunk_ids, bounds = _gather(self._ids, self._starts[slots], self._lengths[slots])
+        chunk_bounds = np.concatenate([[0], bounds[closing + 1]])
+        taken = coded.indices.to_numpy()
+        ids, bounds = _gather(chunk_ids, chunk_bounds[taken], np.diff(chunk_bounds)[taken])
+        return ids, bounds[rows]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the place where each text starts (and the end)."""
-        if not self._chunked:
-            odd = np.ones(len(texts), bool)
-        else:
-            odd = pc.match_substring_regex(texts, _IRREGULAR).to_numpy(zero_copy_only=False)
+        odd = np.full(len(texts), not self._by_word)
+        odd |= pc.match_substring_regex(texts, _IRREGULAR).to_numpy(zero_copy_only=False)
+        for special in self._special:
+            odd |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
         if not odd.any():
             return self._encode_regular(texts)
         lengths = np.zeros(len(texts), np.int64)
@@ -108,9 +135,17 @@ class ChunkEncoder:
         return ids, starts
 
 
+def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``values[start:start + length]`` one after the other, and their bounds."""
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    places = np.repeat(starts - bounds[:-1], lengths)
+    places += np.arange(bounds[-1])
+    return values[places], bounds
+
+
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+def _encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def by_size(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -156,26 +191,51 @@ def encoded_batches(
             yield part[id_col], ids, starts
 
 
+def values_of(column: pa.Array, dtype: str) -> np.ndarray:
+    """The numbers in all rows of a binary column, one row after the other, without a copy."""
+    first, last = column.offset, column.offset + len(column)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[first : last + 1]
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    return raw.view(dtype) if raw.ctypes.data % np.dtype(dtype).itemsize == 0 else np.frombuffer(raw.tobytes(), dtype)
+
+
 def encode_documents(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = None
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    end_id: int | None = None,
+    with_counts: bool = False,
 ) -> DataFrame:
     """``(id_col, n_tokens, ids)``; ``ids`` are little-endian unsigned 32-bit numbers.
 
     One row per row of ``docs``, repeated rows included; a null text counts as
-    empty; other columns are left out. ``end_id`` closes every document.
+    empty; other columns are left out. ``end_id`` closes every document. With
+    ``with_counts`` each task adds one more row, in whose ``counts`` (null in
+    all other rows) is how often it met each id.
     """
 
     def run(batches):
+        total = np.zeros(0, np.int64)
         for keys, ids, starts in encoded_batches(batches, path, id_col, text_col, end_id):
-            yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(np.diff(starts)), binary_rows(ids, starts)], names=[id_col, "n_tokens", "ids"]
-            )
-
-    schema = T.StructType(
-        [
-            T.StructField(id_col, docs.schema[id_col].dataType),
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids", T.BinaryType()),
-        ]
-    )
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+            columns = [keys, pa.array(np.diff(starts)), binary_rows(ids, starts)]
+            if with_counts:
+                found = np.bincount(ids, minlength=len(total))
+                found[: len(total)] += total
+                total = found
+                columns.append(pa.nulls(len(keys), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        if with_counts and len(total):
+            row = [pa.nulls(1, keys.type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*row, pa.array([total.tobytes()])], names=names)
+
+    fields = [
+        T.StructField(id_col, docs.schema[id_col].dataType),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids", T.BinaryType()),
+    ]
+    if with_counts:
+        fields.append(T.StructField("counts", T.BinaryType()))
+    names = [field.name for field in fields]
+    return docs.select(id_col, text_col).mapInArrow(run, T.StructType(fields))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.encoding import binary_rows, encode_documents
+from tallyframe.llm.encoding import binary_rows, encode_documents, values_of
 from tallyframe.staging import fresh_path, stage
 
 _HEADER = struct.Struct("<4sIQ")
@@ -34,19 +34,28 @@ LENGTHS = ((np.arange(256)[:, None] >> _SHIFTS) & 3).astype(np.uint8) + 1
 BLOCK_TOKENS = 1 << 20
 
 
-def encode_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Control and data bytes of unsigned 32-bit values; their number is a multiple of four."""
-    values = values.astype("<u4", copy=False)
-    codes = (values >= 1 << 8).astype(np.uint8) + (values >= 1 << 16) + (values >= 1 << 24)
-    control = np.bitwise_or.reduce(codes.reshape(-1, 4) << _SHIFTS, axis=1).astype(np.uint8)
-    used = np.arange(4)[None, :] <= codes[:, None]
-    return control, values.view(np.uint8).reshape(-1, 4)[used]
+def encode_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes, data bytes and the bounds of each value's bytes; a multiple of four values."""
+    lengths = np.ones(len(values), np.uint8)
+    longer = {byte: np.flatnonzero(values >> np.uint32(8 * byte)) for byte in (1, 2, 3)}
+    for places in longer.values():
+        lengths[places] += 1
+    quads = (lengths - 1).reshape(-1, 4)
+    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+    bounds = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(lengths, out=bounds[1:])
+    data = np.empty(bounds[-1], np.uint8)
+    data[bounds[:-1]] = values.astype(np.uint8)
+    for byte, places in longer.items():
+        data[bounds[places] + byte] = (values[places] >> np.uint32(8 * byte)).astype(np.uint8)
+    return control, data, bounds
 
 
 def decode_values(control: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Values of all slots under the control bytes."""
     lengths = LENGTHS[control].reshape(-1)
-    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    starts = np.cumsum(lengths, dtype=np.int64)
+    starts -= lengths
     values = data[starts].astype(np.uint32)
     for byte in (1, 2, 3):
         longer = np.flatnonzero(lengths > byte)
@@ -56,20 +65,17 @@ def decode_values(control: np.ndarray, data: np.ndarray) -> np.ndarray:
     return values
 
 
-def id_counts(encoded: DataFrame, column: str = "ids") -> DataFrame:
-    """``(id, n)`` over all documents, counted per task before the shuffle."""
+def id_counts(encoded: DataFrame) -> DataFrame:
+    """``(id, n)`` over all documents, from the counts of the tasks that encoded them."""
 
-    def count(batches):
-        total = np.zeros(0, np.int64)
+    def spread(batches):
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch[column].to_pylist()), "<u4")
-            found = np.bincount(ids, minlength=len(total))
-            found[: len(total)] += total
-            total = found
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
-
-    counted = encoded.select(column).mapInArrow(count, "id long, n long")
+            for row in batch["counts"].to_pylist():
+                total = np.frombuffer(row, np.int64)
+                used = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+
+    counted = encoded.where("counts is not null").select("counts").mapInArrow(spread, "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -97,18 +103,17 @@ def _coded(encoded: DataFrame, ids_by_rank: np.ndarray, id_col: str) -> DataFram
             slots = _slots(counts)
             ends = np.cumsum(slots)
             values = np.zeros(int(slots.sum()), np.uint32)
-            ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), "<u4")
-            shift = np.repeat(ends - slots - (np.cumsum(counts) - counts), counts)
-            values[np.arange(len(ids)) + shift] = ranks[ids]
-            control, data = encode_values(values)
-            bytes_before = np.concatenate([[0], np.cumsum(LENGTHS[control].sum(axis=1, dtype=np.int64))])
-            rows = np.concatenate([[0], ends // 4])
+            values[np.arange(len(values)) < np.repeat(ends - slots + counts, slots)] = ranks[
+                values_of(batch["ids"], "<u4")
+            ]
+            control, data, bounds = encode_values(values)
+            rows = np.concatenate([[0], ends])
             yield pa.RecordBatch.from_arrays(
-                [batch[id_col], batch["n_tokens"], binary_rows(control, rows), binary_rows(data, bytes_before[rows])],
+                [batch[id_col], batch["n_tokens"], binary_rows(control, rows // 4), binary_rows(data, bounds[rows])],
                 names=[id_col, "n_tokens", "control", "data"],
             )
 
-    return encoded.select(id_col, "n_tokens", "ids").mapInArrow(
+    return encoded.where("counts is null").select(id_col, "n_tokens", "ids").mapInArrow(
         run, f"`{id_col}` long, n_tokens long, control binary, data binary"
     )
 
@@ -165,7 +170,9 @@ def write_token_files(
     """
     spark = docs.sparkSession
     encoded = stage(
-        encode_documents(docs, tokenizer_path, id_col, text_col, end_id), "token-ids", compression="zstd"
+        encode_documents(docs, tokenizer_path, id_col, text_col, end_id, with_counts=True),
+        "token-ids",
+        compression="zstd",
     )
     ids_by_rank = frequency_ranks(encoded)
     coded = _coded(encoded, ids_by_rank, id_col)
