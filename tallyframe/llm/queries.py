@@ -7,17 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import (
+    boosted_toxicity,
     chat_format,
     host_rules,
     license_index,
+    neighbour_quality,
     packing,
+    shingle_join,
     string_tiling,
     token_files,
     unit_dedup,
 )
+from tallyframe.llm.labelled import id_fold
 from tallyframe.plans.tables import load
 
 TOKENIZER = "byte_bpe_50k.json"
+ACCEPTED = 0.3
 TEST_TURN = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -86,6 +91,25 @@ def op5_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", "removed", "kept", F.size("removed").alias("n_removed"), chars.alias("removed_chars"))
 
 
+def _predicted(scored: DataFrame, held_out) -> DataFrame:
+    predicted = (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted)
+
+
+def op6_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = load(spark, sf_dir, "documents"), id_fold("doc_id", 5) == 0
+    labels = load(spark, sf_dir, "labels").where(~held_out).select("doc_id", "quality")
+    model = neighbour_quality.fit_quality(docs, labels)
+    return _predicted(neighbour_quality.score_quality(docs, model), held_out)
+
+
+def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = load(spark, sf_dir, "documents"), id_fold("doc_id", 4) == 2
+    labels = load(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    model = boosted_toxicity.fit_toxicity(docs, labels)
+    return _predicted(boosted_toxicity.score_toxicity(docs, model), held_out)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(load(spark, sf_dir, "documents"))
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -155,14 +179,21 @@ def op9_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.jaccard_components(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
     "op3_string_tiling": op3_string_tiling,
     "op4_token_files": op4_token_files,
     "op5_unit_dedup": op5_unit_dedup,
+    "op6_neighbour_quality": op6_neighbour_quality,
+    "op7_boosted_toxicity": op7_boosted_toxicity,
     "op8_host_rules": op8_host_rules,
     "op9_license_index": op9_license_index,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES = {

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,10 +238,24 @@ def _fragments(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, o
     return stage(made, "shingle-fragments").dropDuplicates(["node", "fragment"])
 
 
-def _long_enough(a: str, b: str, like: Similarity):
+def _long_enough(a: str, b: str, like: Similarity) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * like.percent
 
 
+def _needed(a: Column, b: Column, like: Similarity) -> Column:
+    """Prefix shingles that two sets of these sizes must share to be similar enough.
+
+    Of the two, take the set whose prefix ends first in the order: all its
+    prefix shingles that the other has lie in the other's prefix, and the rest
+    of the overlap lies behind its prefix.
+    """
+    p, both = like.percent, 100 + like.percent
+    overlap = F.floor((a + b) * p / both)
+    overlap = F.when((a + b) * p > overlap * both, overlap + 1).otherwise(overlap)
+    behind = F.greatest(*(F.floor((n * p + 99) / 100) - like.shared for n in (a, b)), F.lit(0))
+    return F.greatest(overlap - behind, F.lit(like.shared)).cast("long")
+
+
 def verified_links(pairs: DataFrame, fragments: DataFrame, like: Similarity) -> DataFrame:
     """Of ``pairs(a, b, na, nb)`` those similar enough: partial overlaps per fragment, summed per pair."""
     left = fragments.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("sa"))
@@ -264,23 +278,38 @@ class _Buckets:
 
     def __init__(self, postings: DataFrame, like: Similarity):
         shared = postings.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1")
-        self._postings = stage(postings.join(shared.select("shingle"), "shingle"), "shared-shingles")
+        rows = postings.join(shared.select("shingle"), "shingle").withColumn("component", F.col("node"))
         self._like = like
-        self._round = 0
-        self.rows = self._postings.withColumn("component", F.col("node"))
+        self.rows = self._pruned(stage(rows, "shared-shingles"))
+
+    def _pruned(self, rows: DataFrame) -> DataFrame:
+        """Without buckets of one component, and nodes with too few shared shingles for any partner in a bucket.
+
+        ``shared`` counts a node's open buckets. How many a partner asks for is
+        least at one end of the sizes that the bucket holds and the limit allows.
+        """
+        like, n = self._like, F.col("n")
+        for _ in range(2):
+            buckets = rows.groupBy("shingle").agg(
+                *(f(c).alias(f"{k}_{c}") for c in ("component", "n") for k, f in (("low", F.min), ("high", F.max)))
+            )
+            shared = rows.groupBy("node").agg(F.count("*").alias("shared"))
+            smallest = F.greatest("low_n", F.floor((n * like.percent + 99) / 100))
+            largest = F.least("high_n", F.floor(n * 100 / like.percent))
+            needed = F.least(_needed(n, smallest, like), _needed(n, largest, like))
+            kept = (
+                rows.drop("shared")
+                .join(buckets.where("low_component < high_component"), "shingle")
+                .join(shared, "node")
+                .where((smallest <= largest) & (F.col("shared") >= needed))
+            )
+            rows = stage(kept.select("shingle", "node", "n", "component", "shared"), "open-buckets")
+        return rows
 
     def relabel(self, components: DataFrame) -> None:
-        """Take the components in; buckets that lie in one component are done."""
-        known = self._postings.join(components, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
-        open_ = (
-            known.groupBy("shingle")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low < high")
-            .select("shingle")
-        )
-        self.rows = stage(known.join(open_, "shingle"), "open-buckets")
+        """Take the components in."""
+        known = self.rows.drop("component").join(components, "node", "left")
+        self.rows = self._pruned(known.withColumn("component", F.coalesce("component", "node")))
 
     def crossing(self) -> int:
         """Pairs in one bucket and two components."""
@@ -289,31 +318,35 @@ class _Buckets:
         return int(total.agg(F.sum("p")).first()[0] or 0)
 
     def star(self) -> DataFrame:
-        """Each node with the pivot it shares most prefix shingles with; pivots change per round."""
-        self._round += 1
-        rank = F.struct(F.xxhash64("node", F.lit(self._round)), "node", "n", "component")
-        names = ("_rank", "pivot", "np", "pivot_component")
-        pivots = self.rows.groupBy("shingle").agg(F.min(rank).cast(_struct(names)).alias("p")).select("shingle", "p.*")
-        met = self.rows.join(pivots, "shingle").where(F.col("component") != F.col("pivot_component"))
-        counted = (
-            met.where(_long_enough("n", "np", self._like))
-            .groupBy("node", "n", "pivot", "np")
-            .agg(F.count("*").alias("shared"))
-            .where(F.col("shared") >= self._like.shared)
+        """Each node with the pivot it shares most prefix shingles with.
+
+        The pivot of a bucket is the node with most shared shingles: of a group
+        of copies the one with the fewest changes, which is like most others.
+        """
+        rank = F.struct("shared", F.xxhash64("node"), "node", "n", "component")
+        names = ("_shared", "_hash", "pivot", "np", "pivot_component")
+        pivots = self.rows.groupBy("shingle").agg(F.max(rank).cast(_struct(names)).alias("p")).select("shingle", "p.*")
+        met = self.rows.join(pivots, "shingle").where(
+            (F.col("component") != F.col("pivot_component")) & _long_enough("n", "np", self._like)
         )
-        best = counted.groupBy("node", "n").agg(F.max(F.struct("shared", "pivot", "np")).alias("m"))
+        counted = met.groupBy("node", "n", "pivot", "np").agg(F.count("*").alias("met"))
+        best = counted.groupBy("node", "n").agg(F.max(F.struct("met", "pivot", "np")).alias("m"))
         return best.select(
             F.col("node").alias("a"), F.col("m.pivot").alias("b"), F.col("n").alias("na"), F.col("m.np").alias("nb")
         )
 
     def pairs(self) -> DataFrame:
         """All candidate pairs across components."""
-        left = self.rows.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        right = self.rows.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+
+        def side(name: str) -> DataFrame:
+            renamed = {"node": name, "n": f"n{name}", "component": f"c{name}", "shared": f"s{name}"}
+            return self.rows.withColumnsRenamed(renamed)
+
+        needed = _needed(F.col("na"), F.col("nb"), self._like)
         crossing = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _long_enough("na", "nb", self._like)
-        met = left.join(right, "shingle").where(crossing)
-        counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
-        return counted.where(F.col("shared") >= self._like.shared).drop("shared")
+        met = side("a").join(side("b"), "shingle").where(crossing & (F.least("sa", "sb") >= needed))
+        counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
+        return counted.where(F.col("met") >= needed).drop("met")
 
 
 def _struct(names) -> str:
@@ -326,15 +359,15 @@ def jaccard_components(
     text_col: str = "text",
     like: Similarity = Similarity(),
     pairs_per_row: int = 4,
-    max_stars: int = 6,
+    max_stars: int = 2,
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` of every row of ``docs``.
 
     Two documents link when their sets' intersection is at least ``percent`` of
     their union; ``component_id`` is the least id reachable by links. Stars are
     drawn while the pairs left to compare are more than ``pairs_per_row`` per
-    bucket row, ``max_stars`` times at most; then all pairs left are compared.
-    That bounds the number of rounds only: no pair is left out.
+    bucket row and stars find links, ``max_stars`` times at most; then all pairs
+    left are compared. That bounds the number of rounds only: no pair is left out.
 
     One row per row of ``docs``; repeated rows have one set and one component.
     Of several texts under one id each row keeps its own set. A null, empty or
@@ -354,11 +387,10 @@ def jaccard_components(
     links, components = None, None
     stars = 0
     while True:
-        rows = buckets.rows.count()
         left = buckets.crossing()
         if not left:
             break
-        last = stars >= max_stars or left <= pairs_per_row * rows
+        last = stars >= max_stars or left <= pairs_per_row * buckets.rows.count()
         pairs = stage(buckets.pairs() if last else buckets.star(), "shingle-pairs")
         wanted = owners.join(
             pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node"
@@ -369,7 +401,7 @@ def jaccard_components(
         components = connected_components(links)
         if last:
             break
-        stars += 1
+        stars = max_stars if found.isEmpty() else stars + 1
         buckets.relabel(components)
     return _named(sets, nodes, components, id_col)
 
