@@ -1,13 +1,73 @@
-"""The training-text pipeline: its stages in order, each over all its predecessor kept."""
+"""The training-text pipeline: its stages in order, each over all its predecessor kept.
+
+Rows are told apart by ``doc_id``; rows under one id stay or go together, but for
+repeated ids in the near-copy stage, of which one row stays. Null ids stay
+wherever an id decides; null texts count as empty and stay.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyframe.llm import boosted_toxicity, packing, shingle_join, string_tiling, unit_dedup
 from tallyframe.plans.tables import load
-from tallyframe.staging import stage
+from tallyframe.staging import stage, stage_side
+
+TOKENIZER = "byte_bpe_50k.json"
+TOXIC_FROM = 0.3
+
+
+def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """``docs`` without the rows of some ids; the ids are broadcast when counted to be few."""
+    gone = stage_side(ids.select(F.col("doc_id").alias("_gone")).distinct(), label)
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = boosted_toxicity.fit_toxicity(docs, load(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return boosted_toxicity.accepted(docs, model, TOXIC_FROM)
+
+
+def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least id of every group of near copies stays."""
+    found = stage(shingle_join.jaccard_components(docs), "near-copies")
+    kept = _without(docs, found.where("component_id <> doc_id"), "copies")
+    repeated = stage(
+        found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated-ids"
+    )
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return _without(kept, repeated, "repeated").unionByName(once)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of earlier documents are cut out; documents that were nothing else go."""
+    cut = unit_dedup.remove_repeats(docs)
+    emptied = (F.size("removed") > 0) & (F.trim(F.regexp_replace("text", "\\s+", "")) == "")
+    return cut.where(~F.coalesce(emptied, F.lit(False))).select(
+        *(F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns)
+    )
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    leaks = string_tiling.find_leaks(docs, load(spark, sf_dir, "benchmark"))
+    return _without(docs, leaks.where("doc_id is not null"), "leaks")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", keep_one_of_group),
+    ("repeated_passages", drop_repeated_passages),
+    ("benchmark_leaks", drop_benchmark_leaks),
+    ("packing", pack),
+]
 
 # Token ids, trained trees and greedy tiles have no SQL form; tests hold the
 # stages against brute force.

@@ -231,11 +231,19 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     names; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    made = with_features(rows, "_id", "_text", model.lexicon)
+    return _scored(rows, model, "_id").select(F.col("_id").alias(id_col), "features", "score")
+
+
+def accepted(docs: DataFrame, model: ToxicityModel, below: float, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose score is below a limit, with all their columns and whatever names those have."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"))
+    return _scored(rows, model, "_row").where(F.col("score") < below).select("_row.*")
+
+
+def _scored(rows: DataFrame, model: ToxicityModel, kept: str) -> DataFrame:
+    made = with_features(rows, kept, "_text", model.lexicon)
     if model.trees is None:
-        scored = made.withColumn("score", F.lit(float(model.base_rate)))
-    else:
-        margins = _margins(model.trees, made.withColumn("_kept", F.col("features")))
-        scored = model.calibration.transform(margins).withColumn("features", F.col("_kept"))
-    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score"))
-    return scored.select(F.col("_id").alias(id_col), "features", score.alias("score"))
+        return made.withColumn("score", F.lit(float(model.base_rate)))
+    margins = _margins(model.trees, made.withColumn("_kept", F.col("features")))
+    scored = model.calibration.transform(margins).withColumn("features", F.col("_kept"))
+    return scored.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")))

@@ -34,7 +34,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    added = spark.createDataFrame([(-1, 0, "user", TEST_TURN), (-1, 1, "assistant", TEST_TURN)], given.schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(TEST_TURN).alias("text")
+    )
     messages = given.unionByName(added).withColumn("parts", chat_format.text_part(F.col("text")))
     read = chat_format.read_chat(chat_format.format_chat(messages))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
