@@ -114,6 +114,7 @@ class WordEncoder:
         """Ids of all texts in one array, and the place where each text starts (and the end)."""
         odd = np.full(len(texts), not self._by_word)
         odd |= pc.match_substring_regex(texts, _IRREGULAR).to_numpy(zero_copy_only=False)
+        odd |= pc.equal(texts, "").to_numpy(zero_copy_only=False)  # no chunk at all
         for special in self._special:
             odd |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
         if not odd.any():

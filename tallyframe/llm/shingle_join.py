@@ -210,7 +210,8 @@ def _fragments(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, o
     side = wanted.select(F.col("id").alias("_wanted"), "node")
     if side.count() <= MAX_BROADCAST_ROWS:
         side = F.broadcast(side)
-    texts = docs.join(side, docs[id_col] == side["_wanted"]).select("node", F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    texts = rows.join(side, F.col("_id") == F.col("_wanted")).select("node", "text")
 
     def run(batches):
         for batch in batches:
