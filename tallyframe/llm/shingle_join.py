@@ -38,21 +38,30 @@ _LEVELS = 256
 
 @dataclass(frozen=True)
 class Similarity:
-    """Linked from ``percent`` of the union on; ``shared`` prefix shingles make a candidate."""
+    """Linked from ``percent`` of the union on.
+
+    A prefix is as long as it takes that linked sets share at least ``shared``
+    of its shingles, and one in ``shared_of`` of the smaller set's: sets that
+    meet in a few frequent shingles by chance are no candidates.
+    """
 
     size: int = 4
     percent: int = 85
     shared: int = 3
+    shared_of: int = 16
     fragments: int = 8
 
     def __post_init__(self):
         # Unequal linked sets overlap in at least percent / (100 - percent)
         # shingles, which the number of shared prefix shingles must not pass.
-        if self.shared > 1 and self.shared * (100 - self.percent) > self.percent:
+        if self.shared > 1 and self.shared * (100 - self.percent) > self.percent or self.shared_of < 2:
             raise ValueError("too many shared prefix shingles for this similarity")
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
-        return np.minimum(n, n + n * -self.percent // 100 + self.shared)
+        return np.minimum(n, n + n * -self.percent // 100 + np.maximum(self.shared, n // self.shared_of))
+
+    def least_shared(self, n: Column) -> Column:
+        return F.greatest(F.lit(self.shared), F.floor(n / self.shared_of))
 
 
 def shingle_hashes(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -251,10 +260,9 @@ def _needed(a: Column, b: Column, like: Similarity) -> Column:
     of the overlap lies behind its prefix.
     """
     p, both = like.percent, 100 + like.percent
-    overlap = F.floor((a + b) * p / both)
-    overlap = F.when((a + b) * p > overlap * both, overlap + 1).otherwise(overlap)
-    behind = F.greatest(*(F.floor((n * p + 99) / 100) - like.shared for n in (a, b)), F.lit(0))
-    return F.greatest(overlap - behind, F.lit(like.shared)).cast("long")
+    overlap = F.ceil((a + b) * p / both - 1e-6)
+    behind = F.greatest(*(F.ceil(n * p / 100 - 1e-6) - like.least_shared(n) for n in (a, b)), F.lit(0))
+    return F.greatest(overlap - behind, F.least(like.least_shared(a), like.least_shared(b))).cast("long")
 
 
 def verified_links(pairs: DataFrame, fragments: DataFrame, like: Similarity) -> DataFrame:
@@ -287,7 +295,8 @@ class _Buckets:
         """Without buckets of one component, and nodes with too few shared shingles for any partner in a bucket.
 
         ``shared`` counts a node's open buckets. How many a partner asks for is
-        least at one end of the sizes that the bucket holds and the limit allows.
+        least at one end of the sizes that the bucket holds and the limit allows,
+        but for one that rounding may take off in between.
         """
         like, n = self._like, F.col("n")
         for _ in range(2):
@@ -295,9 +304,9 @@ class _Buckets:
                 *(f(c).alias(f"{k}_{c}") for c in ("component", "n") for k, f in (("low", F.min), ("high", F.max)))
             )
             shared = rows.groupBy("node").agg(F.count("*").alias("shared"))
-            smallest = F.greatest("low_n", F.floor((n * like.percent + 99) / 100))
-            largest = F.least("high_n", F.floor(n * 100 / like.percent))
-            needed = F.least(_needed(n, smallest, like), _needed(n, largest, like))
+            smallest = F.greatest("low_n", F.ceil(n * like.percent / 100 - 1e-6))
+            largest = F.least("high_n", F.floor(n * 100 / like.percent + 1e-6))
+            needed = F.least(_needed(n, smallest, like), _needed(n, largest, like)) - 1
             kept = (
                 rows.drop("shared")
                 .join(buckets.where("low_component < high_component"), "shingle")
