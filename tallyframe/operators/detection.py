@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.boxes import CORNERS, iou
+from tallyframe.functions.joins import null_safe_join
 from tallyframe.operators import ordered
 from tallyframe.operators.partition import combine_parts
 from tallyframe.staging import MAX_BROADCAST_ROWS, stage, stage_side
@@ -108,10 +109,11 @@ def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: in
     ``_TILE_TOP``, and the top of a tile is pruned before it is shuffled.
     What is left goes to the fold as soon as it is small enough.
     """
-    flat = (F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1"))
-    kept = [detections.where(flat)]  # no area, no overlap
+    # Without an area, or with an unknown corner, a box overlaps nothing.
+    flat = F.coalesce((F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1")), F.lit(True))
+    kept = [detections.where(flat)]
     spots = F.size(_span("x1", "x2", "_tile_w")) * F.size(_span("y1", "y2", "_tile_h"))
-    solid = detections.where(~flat).join(sizes, GROUP).withColumn("_spots", spots)
+    solid = null_safe_join(detections.where(~flat), sizes, GROUP).withColumn("_spots", spots)
     left = stage(solid, "nms-left")
     tile = [*GROUP, "_tx", "_ty"]
     by_score = [F.col("score").desc(), F.col("det_id").asc()]
@@ -143,7 +145,7 @@ def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: in
         near = _tiled(won).groupBy(*tile).agg(F.collect_list(F.struct(*CORNERS)).alias("_near"))
         me = F.struct(*CORNERS)
         suppressed = (
-            tiled.join(near, tile)
+            null_safe_join(tiled, near, GROUP, never_null=["_tx", "_ty"])
             .where(F.exists("_near", lambda w: _overlaps(w, me, limit)))
             .select("det_id")
         )
@@ -159,15 +161,17 @@ def nms(detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000) -
 
     By falling score, a box is dropped when it overlaps a kept box by more than
     ``iou_limit``. Groups of at most ``fold_rows`` boxes are folded as arrays
-    inside the JVM; larger ones are resolved in tiles, to the same result.
+    inside the JVM; larger ones are resolved in tiles, to the same result. A box
+    without an area, or with a null corner, overlaps nothing and is kept. Runs
+    jobs when called.
     """
     boxes = detections.select(*DETECTION)
     sizes = _tile_sizes(boxes, fold_rows).drop("_max_w", "_max_h")
     if sizes.isEmpty():
         return _fold(boxes, iou_limit)
     sizes = stage_side(sizes, "nms-groups")
-    small = _fold(boxes.join(sizes, GROUP, "left_anti"), iou_limit)
-    large = _rounds(boxes.join(sizes, GROUP, "left_semi"), sizes, iou_limit, fold_rows)
+    small = _fold(null_safe_join(boxes, sizes, GROUP, "left_anti"), iou_limit)
+    large = _rounds(null_safe_join(boxes, sizes, GROUP, "left_semi"), sizes, iou_limit, fold_rows)
     return small.unionByName(large)
 
 
@@ -196,18 +200,21 @@ def overlapping_pairs(
     checked first, this is one equality join. Otherwise such groups are joined
     by tile, so only boxes near each other meet, and a pair counts in the
     first tile both boxes touch. ``merge_copies`` then stands the lowest
-    ``gt_id`` in for all targets with the same box.
+    ``gt_id`` in for all targets with the same box. At a limit of 0 every pair
+    counts, so no tile can leave one out. Runs jobs when called.
     """
     box = F.struct(*CORNERS).alias("_target")
     sizes = _tile_sizes(targets, dense_targets)
-    if sizes.isEmpty():
+    if iou_limit <= 0 or sizes.isEmpty():
         right = targets.select(*GROUP, "gt_id", box)
         met = detections.select(*DETECTION).join(right, GROUP)
     else:
         sizes = stage_side(sizes, "match-groups")
-        # Overlap at the limit needs similar sides, which bounds the tiles of a box.
-        near = (F.col("x2") - F.col("x1") <= F.col("_max_w") / iou_limit) & (
-            F.col("y2") - F.col("y1") <= F.col("_max_h") / iou_limit
+        # Overlap at the limit needs similar sides, which bounds the tiles of a
+        # box; the margin is far above the rounding of the overlap itself.
+        wide = iou_limit * (1 - 1e-6)
+        near = ((F.col("x2") - F.col("x1")) * wide <= F.col("_max_w")) & (
+            (F.col("y2") - F.col("y1")) * wide <= F.col("_max_h")
         )
         if merge_copies:
             targets = targets.groupBy(*GROUP, *CORNERS).agg(F.min("gt_id").alias("gt_id"))
@@ -333,6 +340,19 @@ def evaluate(
     return average_precision(scored, target_counts(targets), **blocking)
 
 
+def evaluate_detector(
+    detections: DataFrame,
+    targets: DataFrame,
+    confidence: float = 0.01,
+    suppression: float = 0.4,
+    matching: float = 0.5,
+    **blocking,
+) -> DataFrame:
+    """Average precision of raw detector output: confidence filter, suppression, matching, AP."""
+    kept = nms(filter_confidence(detections, confidence), suppression)
+    return evaluate(stage(kept, "suppressed"), targets, matching, **blocking)
+
+
 def evaluate_parts(
     parts: list[tuple[DataFrame, DataFrame]], iou_limit: float = 0.5, **blocking
 ) -> DataFrame:

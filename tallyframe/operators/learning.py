@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from tallyframe.operators.partition import combine_parts
-from tallyframe.sinks.files import append_metrics, save_checkpoint
+from tallyframe.sinks.files import write_epoch_metrics, save_checkpoint
 
 _SMALLEST_PROBABILITY = 1e-15
 
@@ -155,8 +155,13 @@ def checkpoint_listing(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def latest_checkpoint(listing: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Path of the newest entry, per key; the later path wins a tie."""
-    newest = F.max_by("path", F.struct("modificationTime", "path")).alias("path")
+    """Path of the newest entry, per key; of equal times the highest epoch wins, then the later path.
+
+    The epoch is the number at the end of the path, compared as a number.
+    """
+    epoch = F.try_to_number(F.regexp_extract("path", r"(\d+)/*$", 1), F.lit("9" * 18))
+    order = F.struct("modificationTime", epoch.alias("epoch"), "path")
+    newest = F.max_by("path", order).alias("path")
     return listing.groupBy(*keys).agg(newest).where(F.col("path").isNotNull())
 
 
@@ -224,9 +229,11 @@ def train_epochs(
         if model is not None:
             trainer = trainer.setInitialWeights(model.weights)
         model = trainer.fit(vectors)
-        save_checkpoint(model, directory, epoch)
+        # The log comes first and an epoch replaces its own part of it: a crash
+        # between the two repeats the epoch and leaves no gap and no double row.
         if metrics_path:
-            append_metrics(model_metrics(model, df, "train", epoch, features), metrics_path)
+            write_epoch_metrics(model_metrics(model, df, "train", epoch, features), metrics_path, epoch)
+        save_checkpoint(model, directory, epoch)
     return model
 
 

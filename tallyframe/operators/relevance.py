@@ -6,7 +6,9 @@ optionally a corpus column when several collections are scored in one run.
 The text is moved once, hashed on the document key, before it is split. Every
 token of a document is then in one partition, so counting (document, word)
 pairs needs no further shuffle; moving the pairs instead would move several
-times the bytes. Both branches of a score hang off that same exchange.
+times the bytes. A score stages its pair counts, with the document's size beside
+them: a text is split once, and all that a score needs comes from that table.
+Scores, posting lists and per-corpus weights therefore run a job when called.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import scores, text
 from tallyframe.functions.joins import null_safe_join
-from tallyframe.staging import stage, stage_side
+from tallyframe.staging import stage
 
 
 def _keys(corpus_col: str | None) -> list[str]:
@@ -76,6 +78,17 @@ def _counts(arrays: DataFrame, corpus_col: str | None) -> DataFrame:
     )
 
 
+def _staged_counts(
+    docs: DataFrame, mode: str, corpus_col: str | None = None, keep_leading_empty: bool = False
+) -> DataFrame:
+    """``(doc_id, ds, word, wc)``, written once; the only place where a score splits its texts."""
+    return stage(_counts(_token_arrays(docs, mode, corpus_col, keep_leading_empty), corpus_col), "word-counts")
+
+
+def _pair_frequencies(counts: DataFrame, corpus_col: str | None) -> DataFrame:
+    return counts.groupBy(*_keys(corpus_col), "word").agg(F.count(F.lit(1)).alias("df"))
+
+
 def _frequencies(arrays: DataFrame, corpus_col: str | None) -> DataFrame:
     keys = _keys(corpus_col)
     return (
@@ -123,17 +136,14 @@ def postings(docs: DataFrame, mode: str = "legal", segment_docs: int = 4096) ->
 
     A frequent word would put its whole list into one task and one row, so a
     list is cut into ``ceil(df / segment_docs)`` segments by a document hash.
-    The segments of a word together hold every document exactly once.
+    The segments of a word together hold every document exactly once. Their
+    number is part of the result: it follows ``segment_docs``.
     """
-    arrays = _token_arrays(docs, mode)
-    pairs = arrays.select(
-        "doc_id",
-        document_hash("doc_id").alias("_hash"),
-        F.explode(F.array_distinct("tokens")).alias("word"),
-    )
+    counts = _staged_counts(docs, mode)
+    pairs = counts.select("doc_id", document_hash("doc_id").alias("_hash"), "word")
     segments = F.ceil(F.col("df") / F.lit(segment_docs))
     return (
-        pairs.join(_frequencies(arrays, None), "word")
+        pairs.join(_pair_frequencies(counts, None), "word")
         .withColumn("segment", F.col("_hash") % segments)
         .repartition("word", "segment")
         .groupBy("word", "df", "segment")
@@ -152,8 +162,7 @@ def _weights(frequencies: DataFrame, docs: DataFrame, corpus_col: str | None) ->
     if corpus_col is None:
         n = corpus_size(docs).select("n_docs").scalar()
         return frequencies.select("word", scores.icf(n, F.col("df")).alias("icf"))
-    sizes = stage_side(corpus_size(docs, corpus_col), "corpus-sizes")
-    return null_safe_join(frequencies, sizes, [corpus_col]).select(
+    return null_safe_join(frequencies, corpus_size(docs, corpus_col), [corpus_col]).select(
         corpus_col, "word", scores.icf(F.col("n_docs"), F.col("df")).alias("icf")
     )
 
@@ -183,11 +192,10 @@ def tficf(
     word is skewed by frequent words; its small side has one row per word, so
     adaptive execution can split the large side freely.
     """
-    arrays = _token_arrays(docs, mode, corpus_col, keep_leading_empty)
+    counts = _staged_counts(docs, mode, corpus_col, keep_leading_empty)
     keys = _keys(corpus_col)
-    weights = _weights(_frequencies(arrays, corpus_col), docs, corpus_col)
-    counts = _counts(arrays, corpus_col)
-    return null_safe_join(counts, weights, [*keys, "word"]).select(
+    weights = _weights(_pair_frequencies(counts, corpus_col), docs, corpus_col)
+    return null_safe_join(counts, weights, keys, never_null=["word"]).select(
         *keys,
         "doc_id",
         "word",
@@ -202,9 +210,8 @@ def tficf_sorted(docs: DataFrame, mode: str = "legal") -> DataFrame:
 
 def tficf_via_union(docs: DataFrame, mode: str = "legal") -> DataFrame:
     """The same score as a union of TF rows and ICF rows, multiplied per pair."""
-    arrays = _token_arrays(docs, mode)
-    counts = _counts(arrays, None)
-    weights = _weights(_frequencies(arrays, None), docs, None)
+    counts = _staged_counts(docs, mode)
+    weights = _weights(_pair_frequencies(counts, None), docs, None)
     tf_rows = counts.select("doc_id", "word", scores.tf(F.col("wc"), F.col("ds")).alias("factor"))
     icf_rows = counts.join(weights, "word").select("doc_id", "word", F.col("icf").alias("factor"))
     return (
@@ -216,12 +223,11 @@ def tficf_via_union(docs: DataFrame, mode: str = "legal") -> DataFrame:
 
 def tf_icf_join(docs: DataFrame, mode: str = "legal") -> DataFrame:
     """TF and ICF as separate per-pair frames, joined on document and word."""
-    pairs = word_counts(docs, mode)
-    tf_rows = pairs.join(doc_sizes(docs, mode), "doc_id").select(
-        "doc_id", "word", scores.tf(F.col("wc"), F.col("ds")).alias("tf")
-    )
-    icf_rows = pairs.join(inverse_corpus_frequency(docs, mode), "word").select("doc_id", "word", "icf")
-    return tf_rows.join(icf_rows, ["doc_id", "word"]).select(
+    counts = _staged_counts(docs, mode)
+    weights = _weights(_pair_frequencies(counts, None), docs, None)
+    tf_rows = counts.select("doc_id", "word", scores.tf(F.col("wc"), F.col("ds")).alias("tf"))
+    icf_rows = counts.select("doc_id", "word").join(weights, "word")
+    return null_safe_join(tf_rows, icf_rows, ["doc_id"], never_null=["word"]).select(
         "doc_id", "word", "tf", "icf", (F.col("tf") * F.col("icf")).alias("tficf")
     )
 
@@ -255,7 +261,7 @@ def tficf_from_counts(counts: DataFrame, n: Column) -> DataFrame:
     frequencies = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     weights = frequencies.select("word", scores.icf(n, F.col("df")).alias("icf"))
     return (
-        counts.join(sizes, "doc_id")
+        null_safe_join(counts, sizes, ["doc_id"])
         .join(weights, "word")
         .select(
             "doc_id",

@@ -97,6 +97,49 @@ def nms_tiles(spark, sf):
     return detection.nms(merged, 0.4, fold_rows=500).select("image_id", "class_id", "det_id")
 
 
+def _odd(boxes):
+    """Some boxes with an unknown corner, and all boxes of one class without a class."""
+    return boxes.withColumn("x2", F.when(F.col("det_id") % 50 != 0, F.col("x2"))).withColumn(
+        "class_id", F.when(F.col("class_id") != 1, F.col("class_id"))
+    )
+
+
+def _named_class(kept):
+    return kept.select("image_id", F.coalesce("class_id", F.lit(-1)).cast("bigint").alias("class_id"), "det_id")
+
+
+def nms_null_boxes(spark, sf):
+    """Unknown corners and classes, in groups folded as arrays."""
+    return _named_class(detection.nms(_odd(detections(spark, sf)), 0.4))
+
+
+def nms_tiles_null_boxes(spark, sf):
+    """Unknown corners and classes, in groups resolved by tile."""
+    merged = _odd(detections(spark, sf)).withColumn("image_id", F.col("image_id") % 2)
+    return _named_class(detection.nms(merged, 0.4, fold_rows=500))
+
+
+def match_limit_edge(spark, sf):
+    """Targets inside boxes whose sides are exactly twice theirs: overlaps at the limit, by tile."""
+    det = detections(spark, sf).withColumn("image_id", F.col("image_id") % 2)
+    wide = det.withColumn("x2", F.col("x1") + 4 * (F.col("x2") - F.col("x1")))
+    gt = det.where("det_id % 3 = 0").withColumnRenamed("det_id", "gt_id")
+    pairs = detection.overlapping_pairs(wide, gt, 0.25, dense_targets=64)
+    return pairs.select("det_id", "gt_id", F.round("iou", 9).alias("iou"))
+
+
+def detection_pipeline(spark, sf):
+    """Raw scores through confidence filter, suppression, matching and AP, with the usual limits."""
+    raw = detections(spark, sf).withColumn("score", F.col("score") / 500.0)
+    ap = detection.evaluate_detector(raw, targets(spark, sf))
+    return _rounded(ap.select("class_id", "ap", "tp", "n_gt", "n_det"), "ap")
+
+
+def detection_pipeline_map(spark, sf):
+    raw = detections(spark, sf).withColumn("score", F.col("score") / 500.0)
+    return _rounded(detection.mean_ap(detection.evaluate_detector(raw, targets(spark, sf))), "map")
+
+
 def iou_pairs(spark, sf):
     pairs = detection.overlapping_pairs(detections(spark, sf), targets(spark, sf))
     return pairs.select("det_id", "gt_id", F.round("iou", 9).alias("iou"))
@@ -169,6 +212,11 @@ QUERIES = {
     "confidence_filter": confidence_filter,
     "nms": nms,
     "nms_tiles": nms_tiles,
+    "nms_null_boxes": nms_null_boxes,
+    "nms_tiles_null_boxes": nms_tiles_null_boxes,
+    "match_limit_edge": match_limit_edge,
+    "detection_pipeline": detection_pipeline,
+    "detection_pipeline_map": detection_pipeline_map,
     "iou_pairs": iou_pairs,
     "match_detections": match_detections,
     "match_detections_tiles": match_detections_tiles,
@@ -225,22 +273,42 @@ prf as (select cls, case when n_det = 0 then 0.0 else tp::double / n_det end p,
 _EVALUATE = "with " + _fixture() + _PAIRS + _CURVE
 
 
-def _nms_sql(image: str, columns: str) -> str:
+def _nms_steps(image: str, fixture: str) -> str:
     overlap = (
         "greatest(least(b.x2, rest[1].x2) - greatest(b.x1, rest[1].x1), 0) * "
         "greatest(least(b.y2, rest[1].y2) - greatest(b.y1, rest[1].y1), 0)"
     )
     area = "(b.x2 - b.x1) * (b.y2 - b.y1) + (rest[1].x2 - rest[1].x1) * (rest[1].y2 - rest[1].y1)"
-    return f"""with recursive {_fixture(image)},
+    return f"""with recursive {fixture},
 grp as (select img, cls, list({{'d': det_id, 's': score, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}}
   order by score desc, det_id) boxes from pred group by img, cls),
 steps as (
   select img, cls, null::bigint d, null::double s, boxes rest from grp
   union all
   select img, cls, rest[1].d, rest[1].s,
-    list_filter(rest[2:], lambda b: {overlap} / ({area} - {overlap}) <= 0.4)
-  from steps where len(rest) > 0)
-select {columns} from steps where d is not null"""
+    list_filter(rest[2:], lambda b: coalesce({overlap} / ({area} - {overlap}) <= 0.4, true))
+  from steps where len(rest) > 0)"""
+
+
+def _nms_sql(image: str, columns: str, fixture: str | None = None) -> str:
+    return _nms_steps(image, fixture or _fixture(image)) + f" select {columns} from steps where d is not null"
+
+
+def _odd_sql(image: str) -> str:
+    """A box with an unknown corner overlaps nothing, whatever least() and greatest() make of a null."""
+    apart = "x1 + 1e6 * det_id"
+    return (
+        _fixture(image).replace("pred as (select * from base where true)", "pred as (select det_id, img, "
+        "case when cls <> 1 then cls end cls, score, "
+        f"case when det_id % 50 = 0 then {apart} else x1 end x1, y1, "
+        f"case when det_id % 50 = 0 then {apart} + 1 else x2 end x2, y2 from base)")
+    )
+
+
+def _detector_sql() -> str:
+    kept = ", kept as (select pred.* from pred join (select d from steps where d is not null) s on pred.det_id = s.d)"
+    rest = (_PAIRS + _CURVE).replace("from pred", "from kept").replace("pred.", "kept.")
+    return _nms_steps("user_id", _fixture(where="score / 500.0::double >= 0.01::double")) + kept + rest
 
 
 _TWO_IMAGES = "with " + _fixture("user_id % 2") + _PAIRS
@@ -255,6 +323,20 @@ select event_id, round((x - w / 2) * 416, 6) x1, round((y - h / 2) * 416, 6) y1,
 from events where value / 500.0::double >= 0.01::double""",
     "nms": _nms_sql("user_id", "img image_id, cls class_id, d det_id, s score"),
     "nms_tiles": _nms_sql("user_id % 2", "img image_id, cls class_id, d det_id"),
+    "nms_null_boxes": _nms_sql(
+        "user_id", "img image_id, coalesce(cls, -1)::bigint class_id, d det_id", _odd_sql("user_id")
+    ),
+    "nms_tiles_null_boxes": _nms_sql(
+        "user_id % 2", "img image_id, coalesce(cls, -1)::bigint class_id, d det_id", _odd_sql("user_id % 2")
+    ),
+    "match_limit_edge": "with "
+    + _fixture("user_id % 2").replace("pred as (select * from base where true)",
+      "pred as (select det_id, img, cls, score, x1, y1, x1 + 4 * (x2 - x1) as x2, y2 from base)")
+    .replace("x1 + det_id % 9 gx1, y1 + det_id % 5 gy1", "x1 gx1, y1 gy1")
+    .replace("x2 + det_id % 9 gx2, y2 + det_id % 5 gy2", "x2 gx2, y2 gy2")
+    + _PAIRS + " select det_id, gid gt_id, round(iou, 9) iou from pr where iou >= 0.25",
+    "detection_pipeline": _detector_sql() + "select cls class_id, round(ap, 9) ap, tp, n_gt, n_det from ap",
+    "detection_pipeline_map": _detector_sql() + 'select round(avg(ap), 9) "map" from ap',
     "iou_pairs": "with " + _fixture() + _PAIRS
     + " select det_id, gid gt_id, round(iou, 9) iou from pr where iou >= 0.5",
     "match_detections": "with " + _fixture() + _PAIRS + " select cls class_id, det_id, tp from lab",

@@ -143,6 +143,19 @@ def corpus_files_roundtrip(spark, sf):
     return relevance.line_word_counts(lines)
 
 
+def corpus_whole_files(spark, sf):
+    """Documents as whole files, one folder each, and two empty files."""
+    path = fresh_path(spark, "whole-files")
+    docs = documents(spark, sf).select(F.col("doc_id").alias("folder"), "text")
+    docs.repartition("folder").write.partitionBy("folder").text(path)
+    for empty in (-1, -2):
+        spark.range(0, 0, 1, 1).select(F.col("id").cast("string")).write.text(f"{path}/folder={empty}")
+    read = sources.read_corpus(spark, path, doc_col="folder")
+    # The writer ends a record with a line feed.
+    written = F.regexp_replace("text", "\\n\\z", "")
+    return read.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5(written).alias("digest"))
+
+
 def tficf_lines(spark, sf):
     """Scores of the sources as documents, from lines."""
     lines = documents(spark, sf, "source").select(F.col("source").alias("doc_id"), "text")
@@ -189,6 +202,7 @@ QUERIES = {
     "raw_tokens_leading_empty": raw_tokens_leading_empty,
     "legal_words": legal_words,
     "corpus_files_roundtrip": corpus_files_roundtrip,
+    "corpus_whole_files": corpus_whole_files,
     "score_sinks_roundtrip": score_sinks_roundtrip,
 }
 
@@ -209,6 +223,8 @@ wc as (select source doc_id, word, count(*) wc from tok group by all)
 """
 
 ORACLES = {
+    "corpus_whole_files": """select doc_id, md5(text) digest from documents
+union all select -1, md5('') union all select -2, md5('')""",
     "tficf_legal": _LEGAL_CTE + _SCORE,
     "tficf_raw": _RAW_CTE + _SCORE,
     "tficf_by_corpus": _LANG,

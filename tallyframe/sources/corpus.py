@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _file_name() -> Column:
+def file_name() -> Column:
     """Name of the file a row comes from; the metadata column holds it URL-encoded."""
     return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
 
 
 def _named(files: DataFrame, doc_col: str | None, name_pattern: str | None) -> DataFrame:
-    name = F.col(doc_col) if doc_col else _file_name()
+    name = F.col(doc_col) if doc_col else file_name()
     return _matching(files.select(name.alias("doc_id"), F.col("value").alias("text")), name_pattern)
 
 
@@ -22,10 +20,25 @@ def _matching(docs: DataFrame, name_pattern: str | None) -> DataFrame:
     return docs.where(F.col("doc_id").rlike(name_pattern)) if name_pattern else docs
 
 
+def _plain_path(encoded: Column) -> Column:
+    """A decoded path with one slash after its scheme, as listings and scans spell them differently."""
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """``(path)`` of every file, empty ones included.
+
+    Scans skip empty files, so this takes the file index of a scan, which the
+    driver holds for any read of the folder.
+    """
+    files = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "file string")
+    return files.select(_plain_path(F.col("file")).alias("path"))
+
+
 def document_names(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id)`` of every listed file, empty ones included; no text is read."""
-    listed = {unquote(p.rsplit("/", 1)[1]) for p in spark.read.text(path).inputFiles()}
-    return spark.createDataFrame([(name,) for name in sorted(listed)], "doc_id string")
+    """``(doc_id)``, one row per listed file, empty ones included; no text is read."""
+    return _listed(spark, path).select(F.substring_index("path", "/", -1).alias("doc_id"))
 
 
 def read_corpus(
@@ -34,17 +47,20 @@ def read_corpus(
     """``(doc_id, text)``, one row per file; the document is the file name.
 
     ``name_pattern`` keeps matching names only, such as ``^doc[0-9]+$``.
-    ``doc_col`` names a partition folder column to use instead. A scan skips
-    files without content; they are documents too and come from the listing.
+    ``doc_col`` names a partition folder column to use instead. A text scan
+    skips files without content; they are documents too and come from the
+    listing by their whole path, so files of one name in two folders are two
+    rows.
     """
     docs = _named(spark.read.text(path, wholetext=True), doc_col, name_pattern)
+    filled = spark.read.format("binaryFile").load(path).select(_plain_path(F.col("_metadata.file_path")).alias("path"))
+    empty = _listed(spark, path).join(filled, "path", "left_anti")
     if doc_col:
-        return docs
-    filled = spark.read.format("binaryFile").load(path).select(
-        F.substring_index("path", "/", -1).alias("doc_id")
-    )
-    empty = document_names(spark, path).join(filled, "doc_id", "left_anti")
-    return docs.unionByName(_matching(empty, name_pattern).withColumn("text", F.lit("")))
+        name = F.url_decode(F.regexp_extract("path", f"/{doc_col}=([^/]*)/", 1)).cast(docs.schema["doc_id"].dataType)
+    else:
+        name = F.substring_index("path", "/", -1)
+    named = empty.select(name.alias("doc_id"), F.lit("").alias("text"))
+    return docs.unionByName(_matching(named, name_pattern))
 
 
 def read_corpus_lines(

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.functions.boxes import scale_boxes, xywh_to_xyxy
+from tallyframe.sources.corpus import file_name
+
 
 def read_data_config(spark: SparkSession, path: str) -> dict[str, str]:
     """``key = value`` lines of a small configuration file."""
@@ -43,13 +46,23 @@ def read_targets(spark: SparkSession, path: str) -> DataFrame:
         spark.read.text(path)
         .where(F.trim("value") != "")
         .select(
-            F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("image_id"),
+            F.regexp_replace(file_name(), r"\.[^.]*$", "").alias("image_id"),
             fields[0].cast("int").alias("class_id"),
             *numbers,
         )
     )
 
 
+def read_detection_targets(spark: SparkSession, path: str, size: float = 416) -> DataFrame:
+    """``(image_id, gt_id, class_id, x1, y1, x2, y2)`` in pixels, as matching takes them.
+
+    ``gt_id`` is unique and the same in every run over the same files.
+    """
+    numbered = read_targets(spark, path).withColumn("gt_id", F.monotonically_increasing_id())
+    corners = scale_boxes(xywh_to_xyxy(numbered), size)
+    return corners.select("image_id", "gt_id", "class_id", "x1", "y1", "x2", "y2")
+
+
 def read_labelled(spark: SparkSession, path: str, features: str, label: str = "label") -> DataFrame:
     """A parquet feature table as ``features array<float>`` and ``label``, other columns kept."""
     table = spark.read.parquet(path)

@@ -159,3 +159,35 @@ def test_report(spark):
     names = spark.createDataFrame([(0, "cat")], "class_id int, class_name string")
     got = detection.ap_report(ap, names).orderBy("class_id").collect()
     assert [tuple(r) for r in got] == [(0, "cat", 0.12346), (1, None, 0.5)]
+
+
+def _boxes(spark, rows, kind="det_id"):
+    names = f"image_id long, {kind} long, class_id long, score double, x1 double, y1 double, x2 double, y2 double"
+    return spark.createDataFrame(rows, names)
+
+
+def test_unknown_corners_and_classes_stay_on_both_paths(spark):
+    rows = [(1, i, None if i % 2 else 1, float(i), 0.0, 0.0, 10.0, 10.0 + i % 3) for i in range(60)]
+    rows += [(1, 900, 1, 5.0, None, 0.0, 9.0, 9.0), (1, 901, None, 5.0, 1.0, 0.0, 9.0, None)]
+    boxes = _boxes(spark, rows)
+    folded, tiled = (
+        {r.det_id for r in detection.nms(boxes, 0.4, fold_rows=n).collect()} for n in (2_000, 4)
+    )
+    assert folded == tiled == {58, 59, 900, 901}
+
+
+@pytest.mark.parametrize("limit", [0.0, 0.1, 0.3, 0.6])
+def test_pairs_at_the_limit_are_the_same_on_both_paths(spark, limit):
+    width = 7.0
+    targets = _boxes(spark, [(1, i, 1, 1.0, 20.0 * i, 0.0, 20.0 * i + width, 3.0) for i in range(40)], "gt_id")
+    wide = width / limit if limit else width
+    rows = []
+    for i in range(40):
+        for k, stretch in enumerate((1.0, 1 + 2**-52, 1 - 2**-52)):
+            rows.append((1, 3 * i + k, 1, 1.0, 20.0 * i, 0.0, 20.0 * i + wide * stretch, 3.0))
+    boxes = _boxes(spark, rows)
+    pairs = [
+        {(r.det_id, r.gt_id) for r in detection.overlapping_pairs(boxes, targets, limit, dense_targets=n).collect()}
+        for n in (256, 4)
+    ]
+    assert pairs[0] == pairs[1] and len(pairs[0]) >= 40

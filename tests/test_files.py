@@ -104,3 +104,24 @@ def test_stage_uses_the_shared_folder(spark):
     staged = stage(spark.range(10), "numbers")
     assert staged.inputFiles()[0].removeprefix("file://").startswith(shared_dir(spark).removeprefix("file:"))
     assert staged.count() == 10
+
+
+def test_empty_files_of_one_name_are_documents_each(spark, tmp_path):
+    for folder, content in (("lang=a b", "text\n"), ("lang=b%2Bc", ""), ("lang=d", "")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "doc1").write_text(content)
+    rows = sorted((r["doc_id"], r["text"]) for r in corpus.read_corpus(spark, str(tmp_path)).collect())
+    assert rows == [("doc1", ""), ("doc1", ""), ("doc1", "text\n")]
+    rows = sorted((r["doc_id"], r["text"]) for r in corpus.read_corpus(spark, str(tmp_path), doc_col="lang").collect())
+    assert rows == [("a b", "text\n"), ("b+c", ""), ("d", "")]
+
+
+def test_label_files_join_the_image_list(spark, tmp_path):
+    (tmp_path / "labels").mkdir()
+    (tmp_path / "labels" / "my img 1.txt").write_text("2 0.5 0.5 0.25 0.5\n\n0 0.25 0.25 0.5 0.5\n")
+    (tmp_path / "list").write_text("/data/my img 1.jpg\n")
+    targets = images.read_detection_targets(spark, str(tmp_path / "labels"), size=100)
+    joined = targets.join(images.read_image_index(spark, str(tmp_path / "list")), "image_id")
+    rows = sorted((r.class_id, r.x1, r.y1, r.x2, r.y2) for r in joined.collect())
+    assert rows == [(0, 0.0, 0.0, 50.0, 50.0), (2, 37.5, 25.0, 62.5, 75.0)]
+    assert joined.select("gt_id").distinct().count() == 2

@@ -76,3 +76,26 @@ def test_stream_takes_each_checkpoint_once(spark, table, tmp_path):
     watch_checkpoints(table, folder, out, state).awaitTermination()
     seen = spark.read.parquet(out).where("metric = 'accuracy'").orderBy("epoch").collect()
     assert [r["epoch"] for r in seen] == [1, 2]
+
+
+def test_of_equal_times_the_highest_epoch_is_newest(spark):
+    rows = [(f"/m/ckpt-{n}", 5) for n in (1, 9, 10)] + [("/m/ckpt-99", 4)]
+    listing = spark.createDataFrame(rows, "path string, modificationTime long")
+    assert learning.latest_checkpoint(listing).first()["path"] == "/m/ckpt-10"
+
+
+def test_a_crash_between_log_and_checkpoint_leaves_no_gap(spark, tmp_path, monkeypatch):
+    rows = [(float(i % 3), [float(i % 3), float(i)]) for i in range(30)]
+    table = spark.createDataFrame(rows, "label double, features array<double>")
+    folder, log = str(tmp_path / "models"), str(tmp_path / "log")
+
+    def crash(*_):
+        raise RuntimeError("stopped")
+
+    learning.train_epochs(table, folder, 1, [2, 3], iterations=2, metrics_path=log)
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(learning, "save_checkpoint", crash)
+        learning.train_epochs(table, folder, 2, [2, 3], iterations=2, metrics_path=log)
+    learning.train_epochs(table, folder, 3, [2, 3], iterations=2, metrics_path=log)
+    epochs = [r["epoch"] for r in spark.read.parquet(log).where("metric = 'accuracy'").collect()]
+    assert sorted(epochs) == [1, 2, 3]

@@ -152,11 +152,32 @@ def test_posting_segments_hold_every_document_once(spark):
     assert [(r["segment"], r["docs"]) for r in rows if r["word"] == "rare"] == [(0, [7])]
 
 
-def test_text_moves_once_and_is_reused(spark):
-    docs = spark.range(50).select("id", F.lit("some words here").alias("text")).withColumnRenamed("id", "doc_id")
-    score = relevance.tficf(docs)
-    score.write.format("noop").mode("overwrite").save()
-    plan = score._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-    )
-    assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+def test_text_is_split_once(spark, monkeypatch):
+    words = F.concat(F.lit("some words here "), F.col("id"))
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), words.alias("text"))
+    staged = []
+
+    def record(df, label):
+        staged.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return original(df, label)
+
+    original = relevance.stage
+    monkeypatch.setattr(relevance, "stage", record)
+    for score in (relevance.tficf, relevance.tf_icf_join, relevance.tficf_via_union, relevance.postings):
+        staged.clear()
+        frame = score(docs)
+        frame.write.format("noop").mode("overwrite").save()
+        plan = frame._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+        )
+        assert len(staged) == 1 and staged[0].count("split(") == 1
+        assert "split(" not in plan
+        assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_null_documents_score_alike(spark):
+    docs = spark.createDataFrame([(None, "a b"), (1, "a"), (2, None)], "doc_id long, text string")
+    expected = {(r.doc_id, r.word, round(r.tficf, 9)) for r in relevance.tficf(docs).collect()}
+    assert len(expected) == 3
+    for score in (relevance.tf_icf_join, relevance.tficf_via_union):
+        assert {(r.doc_id, r.word, round(r.tficf, 9)) for r in score(docs).collect()} == expected
