@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +54,6 @@ def _tile_sizes(boxes: DataFrame, more_than: int) -> DataFrame:
             F.max(height).alias("_max_h"),
         )
         .where(F.col("_n") > more_than)
-        .drop("_n")
     )
 
 
@@ -98,6 +99,51 @@ def _fold(detections: DataFrame, limit: float) -> DataFrame:
     )
 
 
+def _greedy(boxes: np.ndarray, limit: float) -> np.ndarray:
+    """Places of the kept boxes of one group, whose rows ``(x1, y1, x2, y2)`` are in order of rank.
+
+    A grid of about one cell per average box tells which kept boxes a box can
+    overlap, so the work follows the boxes near each other, and a chain of
+    overlaps is one pass however long it is.
+    """
+    x1, y1, x2, y2 = boxes.T
+    areas = (x2 - x1) * (y2 - y1)
+    solid = (x2 > x1) & (y2 > y1)  # False for an unknown corner
+    cells: dict[tuple[int, int], list[int]] = {}
+    extents = [e[solid] for e in (x2 - x1, y2 - y1)]
+    side = [max(e.mean(), e.max() / _TILES_PER_BOX) if len(e) else 1.0 for e in extents]
+    kept = []
+    for i in range(len(boxes)):
+        if not solid[i]:
+            kept.append(i)
+            continue
+        columns = range(int(x1[i] // side[0]), int(x2[i] // side[0]) + 1)
+        rows = range(int(y1[i] // side[1]), int(y2[i] // side[1]) + 1)
+        touched = [(c, r) for c in columns for r in rows]
+        near = np.array(sorted({k for cell in touched for k in cells.get(cell, ())}), np.int64)
+        if len(near):
+            width = np.maximum(np.minimum(x2[near], x2[i]) - np.maximum(x1[near], x1[i]), 0.0)
+            height = np.maximum(np.minimum(y2[near], y2[i]) - np.maximum(y1[near], y1[i]), 0.0)
+            inter = width * height
+            if (inter / (areas[near] + areas[i] - inter) > limit).any():
+                continue
+        kept.append(i)
+        for cell in touched:
+            cells.setdefault(cell, []).append(i)
+    return np.array(kept, np.int64)
+
+
+def _by_group(detections: DataFrame, limit: float) -> DataFrame:
+    """Greedy suppression of groups that fit into one Arrow table."""
+
+    def suppress(table: pa.Table) -> pa.Table:
+        ranked = table.sort_by([("score", "descending"), ("det_id", "ascending")])
+        corners = [ranked[c].to_numpy(zero_copy_only=False).astype(float) for c in CORNERS]
+        return ranked.take(pa.array(_greedy(np.column_stack(corners), limit)))
+
+    return detections.groupBy(*GROUP).applyInArrow(suppress, detections.schema)
+
+
 def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: int) -> DataFrame:
     """Greedy suppression of groups too large for one array, tile by tile.
 
@@ -156,12 +202,16 @@ def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: in
     return reduce(DataFrame.unionByName, [k.select(*DETECTION) for k in kept])
 
 
-def nms(detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000) -> DataFrame:
+def nms(
+    detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000, group_rows: int = 500_000
+) -> DataFrame:
     """Non-maximum suppression per image and class.
 
     By falling score, a box is dropped when it overlaps a kept box by more than
     ``iou_limit``. Groups of at most ``fold_rows`` boxes are folded as arrays
-    inside the JVM; larger ones are resolved in tiles, to the same result. A box
+    inside the JVM; groups of at most ``group_rows`` pass through one Arrow table
+    each (tens of MB), where a chain of overlaps of any length is one pass;
+    larger ones are resolved in tiles. All three give the same result. A box
     without an area, or with a null corner, overlaps nothing and is kept. Runs
     jobs when called.
     """
@@ -171,8 +221,13 @@ def nms(detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000) -
         return _fold(boxes, iou_limit)
     sizes = stage_side(sizes, "nms-groups")
     small = _fold(null_safe_join(boxes, sizes, GROUP, "left_anti"), iou_limit)
-    large = _rounds(null_safe_join(boxes, sizes, GROUP, "left_semi"), sizes, iou_limit, fold_rows)
-    return small.unionByName(large)
+    few = sizes.where(F.col("_n") <= group_rows)
+    kept = small.unionByName(_by_group(null_safe_join(boxes, few, GROUP, "left_semi"), iou_limit))
+    many = sizes.where(F.col("_n") > group_rows).drop("_n")
+    if many.isEmpty():
+        return kept
+    large = _rounds(null_safe_join(boxes, many, GROUP, "left_semi"), many, iou_limit, fold_rows)
+    return kept.unionByName(large)
 
 
 # --- matching ---------------------------------------------------------------
@@ -204,7 +259,7 @@ def overlapping_pairs(
     counts, so no tile can leave one out. Runs jobs when called.
     """
     box = F.struct(*CORNERS).alias("_target")
-    sizes = _tile_sizes(targets, dense_targets)
+    sizes = _tile_sizes(targets, dense_targets).drop("_n")
     if iou_limit <= 0 or sizes.isEmpty():
         right = targets.select(*GROUP, "gt_id", box)
         met = detections.select(*DETECTION).join(right, GROUP)

@@ -94,7 +94,7 @@ def nms(spark, sf):
 def nms_tiles(spark, sf):
     """The same boxes with all classes but one image per class: large groups."""
     merged = detections(spark, sf).withColumn("image_id", F.col("image_id") % 2)
-    return detection.nms(merged, 0.4, fold_rows=500).select("image_id", "class_id", "det_id")
+    return detection.nms(merged, 0.4, fold_rows=200, group_rows=500).select("image_id", "class_id", "det_id")
 
 
 def _odd(boxes):
@@ -116,7 +116,29 @@ def nms_null_boxes(spark, sf):
 def nms_tiles_null_boxes(spark, sf):
     """Unknown corners and classes, in groups resolved by tile."""
     merged = _odd(detections(spark, sf)).withColumn("image_id", F.col("image_id") % 2)
-    return _named_class(detection.nms(merged, 0.4, fold_rows=500))
+    return _named_class(detection.nms(merged, 0.4, fold_rows=200, group_rows=500))
+
+
+def nms_arrow_groups(spark, sf):
+    """The same boxes in groups that pass through one Arrow table each."""
+    merged = _odd(detections(spark, sf)).withColumn("image_id", F.col("image_id") % 2)
+    return _named_class(detection.nms(merged, 0.4, fold_rows=20))
+
+
+def nms_chain(spark, sf):
+    """All events as one falling chain of boxes, each of which overlaps the next: every other one stays."""
+    x1 = F.col("event_id").cast("double")
+    chain = events(spark, sf).select(
+        F.lit(1).cast("bigint").alias("image_id"),
+        F.col("event_id").alias("det_id"),
+        F.lit(0).cast("bigint").alias("class_id"),
+        (-x1).alias("score"),
+        x1.alias("x1"),
+        F.lit(0.0).alias("y1"),
+        (x1 + 1.9).alias("x2"),
+        F.lit(1.0).alias("y2"),
+    )
+    return detection.nms(chain, 0.3, fold_rows=500).select("det_id")
 
 
 def match_limit_edge(spark, sf):
@@ -214,6 +236,8 @@ QUERIES = {
     "nms_tiles": nms_tiles,
     "nms_null_boxes": nms_null_boxes,
     "nms_tiles_null_boxes": nms_tiles_null_boxes,
+    "nms_arrow_groups": nms_arrow_groups,
+    "nms_chain": nms_chain,
     "match_limit_edge": match_limit_edge,
     "detection_pipeline": detection_pipeline,
     "detection_pipeline_map": detection_pipeline_map,
@@ -329,6 +353,12 @@ from events where value / 500.0::double >= 0.01::double""",
     "nms_tiles_null_boxes": _nms_sql(
         "user_id % 2", "img image_id, coalesce(cls, -1)::bigint class_id, d det_id", _odd_sql("user_id % 2")
     ),
+    "nms_arrow_groups": _nms_sql(
+        "user_id % 2", "img image_id, coalesce(cls, -1)::bigint class_id, d det_id", _odd_sql("user_id % 2")
+    ),
+    # 0.9 / 2.9 is more than 0.3, and event ids follow each other.
+    "nms_chain": "select event_id det_id from (select event_id, min(event_id) over () low from events) "
+    "where (event_id - low) % 2 = 0",
     "match_limit_edge": "with "
     + _fixture("user_id % 2").replace("pred as (select * from base where true)",
       "pred as (select det_id, img, cls, score, x1, y1, x1 + 4 * (x2 - x1) as x2, y2 from base)")

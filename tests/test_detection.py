@@ -68,7 +68,7 @@ def test_nms_folds(spark, limit):
 def test_nms_of_large_groups_by_tile(spark, copies):
     rows = sample(2, 700, 2, copies=copies)
     rows += [(9, 1000 + i, 0, 0.5, 0.0, 0.0, 5.0, 5.0) for i in range(3)]
-    got = detection.nms(spark.createDataFrame(rows, DET), 0.4, fold_rows=20)
+    got = detection.nms(spark.createDataFrame(rows, DET), 0.4, fold_rows=20, group_rows=20)
     assert sorted(r["det_id"] for r in got.collect()) == brute_nms(rows, 0.4)
 
 
@@ -170,10 +170,17 @@ def test_unknown_corners_and_classes_stay_on_both_paths(spark):
     rows = [(1, i, None if i % 2 else 1, float(i), 0.0, 0.0, 10.0, 10.0 + i % 3) for i in range(60)]
     rows += [(1, 900, 1, 5.0, None, 0.0, 9.0, 9.0), (1, 901, None, 5.0, 1.0, 0.0, 9.0, None)]
     boxes = _boxes(spark, rows)
-    folded, tiled = (
-        {r.det_id for r in detection.nms(boxes, 0.4, fold_rows=n).collect()} for n in (2_000, 4)
+    folded, grouped, tiled = (
+        {r.det_id for r in detection.nms(boxes, 0.4, fold_rows=n, group_rows=m).collect()}
+        for n, m in ((2_000, 2_000), (4, 2_000), (4, 4))
     )
-    assert folded == tiled == {58, 59, 900, 901}
+    assert folded == grouped == tiled == {58, 59, 900, 901}
+
+
+def test_a_long_falling_chain_is_one_pass(spark):
+    chain = [(1, i, 1, 1e6 - i, float(i), 0.0, i + 1.9, 1.0) for i in range(20_000)]
+    kept = {r.det_id for r in detection.nms(_boxes(spark, chain), 0.3).collect()}
+    assert kept == set(range(0, 20_000, 2))
 
 
 @pytest.mark.parametrize("limit", [0.0, 0.1, 0.3, 0.6])
