@@ -36,7 +36,8 @@ SECOND_PERSON = frozenset(
     "tú ti tus usted ustedes vosotros vuestro".split()
 )
 _PLAIN = str.maketrans("013457@$!", "oieastasi")
-STEM_LENGTHS = (4, 5, 6)
+STEM_LENGTHS = (4, 5, 6, 7, 8)
+STEM_WORDS = 2
 FEATURES = (
     "lexicon_density",
     "lexicon_words",
@@ -46,7 +47,6 @@ FEATURES = (
     "capitals",
     "punctuation",
     "obfuscation",
-    "log_words",
 )
 _NEAR = 3
 
@@ -68,29 +68,23 @@ def plain(word: str) -> str:
 def learn_lexicon(
     sample: DataFrame, max_terms: int = 400, min_documents: int = 4, min_share: float = 0.85
 ) -> Lexicon:
-    """Words and word beginnings that stand almost only in positive documents; reads ``max_terms`` rows."""
+    """Words and word beginnings that stand almost only in positive documents; reads ``max_terms`` rows.
+
+    A beginning counts as one when ``STEM_WORDS`` words have it, else it would
+    only say less than its one word.
+    """
     words = F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+"))
-    kinds = F.array_distinct(
-        F.flatten(
-            F.transform(
-                "words",
-                lambda w: F.filter(
-                    F.array(
-                        F.concat(F.lit("w:"), w),
-                        *(F.when(F.length(w) > k, F.concat(F.lit("s:"), F.substring(w, 1, k))) for k in STEM_LENGTHS),
-                    ),
-                    lambda t: t.isNotNull(),
-                ),
-            )
-        )
-    )
+    beginnings = [F.when(F.length("word") > k, F.concat(F.lit("s:"), F.substring("word", 1, k))) for k in STEM_LENGTHS]
+    kinds = F.array_compact(F.array(F.concat(F.lit("w:"), F.col("word")), *beginnings))
     terms = (
-        sample.select("label", words.alias("words"))
-        .select("label", F.explode(kinds).alias("term"))
-        .groupBy("term")
+        sample.select("label", F.explode(words).alias("word"))
+        .groupBy("word")
         .agg(F.sum("label").alias("positive"), F.count("*").alias("documents"))
+        .select("positive", "documents", F.explode(kinds).alias("term"))
+        .groupBy("term")
+        .agg(F.sum("positive").alias("positive"), F.sum("documents").alias("documents"), F.count("*").alias("words"))
         .where((F.col("positive") >= min_documents) & (F.col("positive") >= F.col("documents") * min_share))
-        .where(F.length("term") > 4)
+        .where((F.length("term") > 4) & (F.col("term").startswith("w:") | (F.col("words") >= STEM_WORDS)))
     )
     found = [r["term"] for r in terms.orderBy(F.desc("positive"), "term").limit(max_terms).collect()]
     return Lexicon(
@@ -100,7 +94,7 @@ def learn_lexicon(
 
 def _bits(word: str, lexicon: Lexicon) -> int:
     bare = plain(word)
-    hit = bare in lexicon.words or (bool(lexicon.stems) and any(bare[:k] in lexicon.stems for k in STEM_LENGTHS))
+    hit = bare in lexicon.words or (bool(lexicon.stems) and any(len(bare) > k and bare[:k] in lexicon.stems for k in STEM_LENGTHS))
     inner = word.strip(".,;:!?\"'()")
     odd = bool(inner) and not inner.isalpha() and any(c.isalpha() for c in inner)
     return hit | (bare in SEED_WORDS) << 1 | (bare in SECOND_PERSON) << 2 | odd << 3
@@ -151,7 +145,6 @@ def dense_features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
             chars(_UPPER) / np.maximum(chars(_LETTER), 1),
             chars(_MARK) / length,
             per_text(bits & 8 > 0) / size,
-            np.log1p(counts),
         ]
     )
 
