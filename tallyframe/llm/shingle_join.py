@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -282,44 +282,42 @@ def verified_links(pairs: DataFrame, fragments: DataFrame, like: Similarity) ->
     )
 
 
+def _bounds() -> tuple[Column, Column]:
+    return F.min("n").alias("low_n"), F.max("n").alias("high_n")
+
+
 class _Buckets:
     """Nodes that share a prefix shingle with another, with their components so far."""
 
     def __init__(self, postings: DataFrame, like: Similarity):
-        shared = postings.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1")
-        rows = postings.join(shared.select("shingle"), "shingle").withColumn("component", F.col("node"))
         self._like = like
-        self.rows = self._pruned(stage(rows, "shared-shingles"))
+        shared = postings.groupBy("shingle").agg(*_bounds(), F.count("*").alias("members")).where("members > 1")
+        rows = postings.join(shared.drop("members"), "shingle").withColumn("component", F.col("node"))
+        self.rows = self._pruned(rows)
 
     def _pruned(self, rows: DataFrame) -> DataFrame:
-        """Without buckets of one component, and nodes with too few shared shingles for any partner in a bucket.
+        """Without nodes that share too few shingles for any partner in a bucket.
 
-        ``shared`` counts a node's open buckets. How many a partner asks for is
-        least at one end of the sizes that the bucket holds and the limit allows,
-        but for one that rounding may take off in between.
+        ``shared`` counts a node's buckets, of which it has no more than prefix
+        shingles. How many a partner asks for is least at one end of the sizes
+        that the bucket holds and the limit allows, but for one that rounding
+        may take off in between.
         """
         like, n = self._like, F.col("n")
-        for _ in range(2):
-            buckets = rows.groupBy("shingle").agg(
-                *(f(c).alias(f"{k}_{c}") for c in ("component", "n") for k, f in (("low", F.min), ("high", F.max)))
-            )
-            shared = rows.groupBy("node").agg(F.count("*").alias("shared"))
-            smallest = F.greatest("low_n", F.ceil(n * like.percent / 100 - 1e-6))
-            largest = F.least("high_n", F.floor(n * 100 / like.percent + 1e-6))
-            needed = F.least(_needed(n, smallest, like), _needed(n, largest, like)) - 1
-            kept = (
-                rows.drop("shared")
-                .join(buckets.where("low_component < high_component"), "shingle")
-                .join(shared, "node")
-                .where((smallest <= largest) & (F.col("shared") >= needed))
-            )
-            rows = stage(kept.select("shingle", "node", "n", "component", "shared"), "open-buckets")
-        return rows
+        smallest = F.greatest("low_n", F.ceil(n * like.percent / 100 - 1e-6))
+        largest = F.least("high_n", F.floor(n * 100 / like.percent + 1e-6))
+        needed = F.least(_needed(n, smallest, like), _needed(n, largest, like)) - 1
+        counted = rows.withColumn("shared", F.count("*").over(Window.partitionBy("node")))
+        kept = counted.where((smallest <= largest) & (F.col("shared") >= needed))
+        return stage(kept.select("shingle", "node", "n", "component", "shared"), "open-buckets")
 
     def relabel(self, components: DataFrame) -> None:
-        """Take the components in."""
-        known = self.rows.drop("component").join(components, "node", "left")
-        self.rows = self._pruned(known.withColumn("component", F.coalesce("component", "node")))
+        """Take the components in; buckets that lie in one component are done."""
+        known = self.rows.drop("component", "shared").join(components, "node", "left")
+        known = known.withColumn("component", F.coalesce("component", "node"))
+        low, high = F.min("component").alias("low"), F.max("component").alias("high")
+        open_ = known.groupBy("shingle").agg(*_bounds(), low, high).where("low < high").drop("low", "high")
+        self.rows = self._pruned(known.join(open_, "shingle"))
 
     def crossing(self) -> int:
         """Pairs in one bucket and two components."""
@@ -369,7 +367,7 @@ def jaccard_components(
     text_col: str = "text",
     like: Similarity = Similarity(),
     pairs_per_row: int = 4,
-    max_stars: int = 2,
+    max_stars: int = 1,
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` of every row of ``docs``.
 
@@ -390,9 +388,11 @@ def jaccard_components(
     order = spark.sparkContext.broadcast(shingle_order(docs, text_col, like))
     sets = stage(_prefixes(docs, id_col, text_col, order, like), "shingle-prefixes")
     known = sets.where("n > 0 and id is not null")
-    nodes = stage(known.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n")), "shingle-nodes")
+    # Equal sets have equal prefixes, so the first is any of them.
+    one = known.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    nodes = stage(one, "shingle-nodes")
     owners = nodes.select("node", "id")
-    postings = known.join(owners, ["node", "id"]).select(F.explode("prefix").alias("shingle"), "node", "n")
+    postings = nodes.select(F.explode("prefix").alias("shingle"), "node", "n")
     buckets = _Buckets(postings, like)
     links, components = None, None
     stars = 0
