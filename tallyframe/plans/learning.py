@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import scale_features
@@ -59,21 +60,32 @@ def _train_and_test(spark, sf):
     return parts.where("part = 0"), parts.where("part = 1")
 
 
+def _judged(metrics):
+    """Each epoch's metrics held against what must be true of them: their range, and a loss that falls."""
+    value = F.col("value")
+    in_range = F.when(F.col("metric") == "accuracy", value.between(0, 1)).otherwise((value > 0) & ~F.isnan(value))
+    before = F.lag("value").over(Window.partitionBy("run", "metric").orderBy("epoch"))
+    falls = (F.col("metric") == "accuracy") | before.isNull() | (value < before)
+    return metrics.select(
+        "run", F.col("epoch").cast("bigint").alias("epoch"), "metric", in_range.alias("in_range"), falls.alias("falls")
+    )
+
+
 def train_epochs(spark, sf):
     """Metrics of every checkpoint of a three-epoch training on the test part."""
     train, test = _train_and_test(spark, sf)
     folder = fresh_path(spark, "training")
     learning.train_epochs(train, folder, 3, _LAYERS)
-    return learning.evaluate_checkpoints(spark, folder, test)
+    return _judged(learning.evaluate_checkpoints(spark, folder, test)).drop("falls")
 
 
 def resume_training(spark, sf):
-    """Two epochs, then two more from the newest checkpoint; the training log."""
-    train, _ = _train_and_test(spark, sf)
+    """Two epochs over all rows, then two more from the newest checkpoint; the training log."""
+    train = labelled(spark, sf)
     folder, log = fresh_path(spark, "training"), fresh_path(spark, "training-log")
     learning.train_epochs(train, folder, 2, _LAYERS, metrics_path=log)
     learning.train_epochs(train, folder, 4, _LAYERS, metrics_path=log)
-    return spark.read.parquet(log)
+    return _judged(spark.read.parquet(log))
 
 
 def watched_checkpoints(spark, sf):
@@ -83,7 +95,7 @@ def watched_checkpoints(spark, sf):
     metrics, state = fresh_path(spark, "stream-metrics"), fresh_path(spark, "stream-state")
     learning.train_epochs(train, folder, 2, _LAYERS)
     watch_checkpoints(test, folder, metrics, state).awaitTermination()
-    return spark.read.parquet(metrics).select("run", "epoch", "metric", "value")
+    return _judged(spark.read.parquet(metrics).select("run", "epoch", "metric", "value")).drop("falls")
 
 
 QUERIES = {
@@ -107,7 +119,13 @@ p as (select vec_id, label, max(case when rk = 1 then mlabel end) prediction,
   sum(case when mlabel = label then e end) / sum(e) p from s group by all)
 """
 
+_EPOCHS = """select '{run}' as run, epoch, metric, true as in_range{more}
+from range(1, {end}) e(epoch), (values ('accuracy'), ('cross_entropy')) m(metric)"""
+
 ORACLES = {
+    "train_epochs": _EPOCHS.format(run="test", end=4, more=""),
+    "resume_training": _EPOCHS.format(run="train", end=5, more=", true as falls"),
+    "watched_checkpoints": _EPOCHS.format(run="test", end=3, more=""),
     "scale_features": """select vec_id, generate_subscripts(embedding, 1) - 1 as position,
   round((unnest(embedding)::double / 255.0::double)::float::double, 6) + 0.0::double as value from embeddings""",
     "centroid_score": _CENTROIDS

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import threading
+import time
+from collections.abc import Callable
+
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +19,19 @@ _FILES = "path string, modificationTime timestamp, length bigint, content binary
 
 
 def watch_checkpoints(
-    test: DataFrame, directory: str, metrics_path: str, state_path: str, features: str = "features"
+    test: DataFrame,
+    directory: str,
+    metrics_path: str,
+    state_path: str,
+    features: str = "features",
+    every: str | None = None,
+    scored: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Start a stream that scores every new checkpoint on ``test`` and stops when caught up.
+    """Start a stream that scores every new checkpoint on ``test``.
 
-    The stream's own checkpoint remembers which models were seen, so a later
+    Without ``every`` it stops when caught up; with it, such as ``10 seconds``,
+    it looks for new checkpoints at that pace until it is stopped. ``scored`` is
+    called with each epoch that has been written. The stream's own checkpoint remembers which models were seen, so a later
     start takes only newer ones. A batch replaces its own folder, which makes
     a repeated batch harmless.
     """
@@ -39,11 +52,45 @@ def watch_checkpoints(
         ]
         if frames:
             combine_parts(*frames).write.mode("overwrite").parquet(f"{metrics_path}/batch={batch_id}")
+        for row in found if scored else ():
+            scored(row["epoch"])
 
     return (
         files.select("path")
         .writeStream.foreachBatch(evaluate)
         .option("checkpointLocation", state_path)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start()
     )
+
+
+def evaluate_until(
+    test: DataFrame,
+    directory: str,
+    metrics_path: str,
+    state_path: str,
+    last_epoch: int,
+    every: str = "10 seconds",
+    timeout: float | None = None,
+    features: str = "features",
+) -> bool:
+    """Score checkpoints as a training writes them, and end with that of ``last_epoch``.
+
+    False when ``timeout`` seconds pass first; a failed stream raises its error.
+    """
+    reached = threading.Event()
+
+    def scored(epoch: int) -> None:
+        if epoch >= last_epoch:
+            reached.set()
+
+    query = watch_checkpoints(test, directory, metrics_path, state_path, features, every, scored)
+    ends = time.monotonic() + timeout if timeout is not None else math.inf
+    try:
+        while not reached.wait(0.2) and time.monotonic() < ends:
+            if not query.isActive:
+                query.awaitTermination()  # raises what ended it
+                break
+    finally:
+        query.stop()
+    return reached.is_set()

@@ -1,12 +1,13 @@
 import math
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import scale_features
 from tallyframe.operators import learning
-from tallyframe.streaming.evaluator import watch_checkpoints
+from tallyframe.streaming.evaluator import evaluate_until, watch_checkpoints
 
 
 @pytest.fixture(scope="module")
@@ -99,3 +100,16 @@ def test_a_crash_between_log_and_checkpoint_leaves_no_gap(spark, tmp_path, monke
     learning.train_epochs(table, folder, 3, [2, 3], iterations=2, metrics_path=log)
     epochs = [r["epoch"] for r in spark.read.parquet(log).where("metric = 'accuracy'").collect()]
     assert sorted(epochs) == [1, 2, 3]
+
+
+def test_the_evaluator_waits_for_the_last_epoch(spark, tmp_path):
+    rows = [(float(i % 3), [float(i % 3), float(i)]) for i in range(30)]
+    table = spark.createDataFrame(rows, "label double, features array<double>")
+    folder, out = str(tmp_path / "models"), str(tmp_path / "metrics")
+    learning.train_epochs(table, folder, 1, [2, 3], iterations=2)
+    training = threading.Thread(target=learning.train_epochs, args=(table, folder, 2, [2, 3]), kwargs={"iterations": 2})
+    training.start()
+    assert evaluate_until(table, folder, out, str(tmp_path / "state"), 2, every="1 second", timeout=120)
+    training.join()
+    assert {r["epoch"] for r in spark.read.parquet(out).collect()} == {1, 2}
+    assert not evaluate_until(table, folder, out, str(tmp_path / "state"), 9, every="1 second", timeout=3)
