@@ -334,7 +334,7 @@ def _enveloped(ranked: DataFrame) -> DataFrame:
 
 
 def precision_recall_curve(scored: DataFrame, counts: DataFrame, **blocking) -> DataFrame:
-    """Every point of the per-class curve."""
+    """Every point of the per-class curve; stages the scores when called."""
     points = _enveloped(_ranked(stage(scored, "scored"), **blocking))
     return points.join(stage_side(counts, "target-counts"), "class_id").select(
         "class_id",
@@ -352,7 +352,8 @@ def average_precision(scored: DataFrame, counts: DataFrame, **blocking) -> DataF
 
     Recall moves only at true positives and the envelope is reached at one, so
     the second window reads those rows alone. A class with targets and no
-    detection has AP 0; without any detection the result is empty.
+    detection has AP 0; without any detection the result is empty. Stages the
+    scores when called.
     """
     scored = stage(scored, "scored")
     hits = _enveloped(_ranked(scored, **blocking).where(F.col("tp") == 1))

@@ -77,13 +77,13 @@ def grid_integral(
 ) -> DataFrame:
     """``(idx, x, y, area, integral)``: cumulative trapezoids over a dense index.
 
-    ``first='zero'`` starts the curve at 0; ``first='reference'`` gives the
+    ``first='zero'`` starts the curve at 0; ``first='whole_cell'`` gives the
     first point a whole cell against ``f(0)``.
     """
     h = F.lit(float(b) - float(a)) / (n - 1)
     within = Window.partitionBy(ordered.BLOCK).orderBy("idx")
     y = F.col("y")
-    starts = {"zero": F.lit(0.0), "reference": (y + f(F.lit(0.0))) / 2 * h}
+    starts = {"zero": F.lit(0.0), "whole_cell": (y + f(F.lit(0.0))) / 2 * h}
     cell = (y + F.lag("y").over(within)) / 2 * h
     cells = (
         _with_halo(grid, _block_size(n, grid, min_rows))

@@ -39,7 +39,7 @@ def _integral(spark, sf, first, **blocking):
 
 
 def grid_integral(spark, sf):
-    return _integral(spark, sf, "reference")
+    return _integral(spark, sf, "whole_cell")
 
 
 def grid_integral_zero(spark, sf):
@@ -47,7 +47,7 @@ def grid_integral_zero(spark, sf):
 
 
 def grid_integral_blocks(spark, sf):
-    return _integral(spark, sf, "reference", min_rows=500)
+    return _integral(spark, sf, "whole_cell", min_rows=500)
 
 
 def _user_series(spark, sf):
