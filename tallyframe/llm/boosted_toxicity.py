@@ -149,12 +149,10 @@ def dense_features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     )
 
 
-def with_features(docs: DataFrame, id_col: str, text_col: str, lexicon: Lexicon, *kept: str) -> DataFrame:
-    """``(id_col, *kept, features)`` of every whole text."""
-    columns = [id_col, *kept]
-    schema = T.StructType(
-        [*(docs.schema[c] for c in columns), T.StructField("features", T.ArrayType(T.DoubleType()))]
-    )
+def with_features(docs: DataFrame, text_col: str, lexicon: Lexicon, *kept: str) -> DataFrame:
+    """``(*kept, features)`` of every whole text; ``kept`` may hold the text."""
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("features", T.ArrayType(T.DoubleType()))])
+    columns = dict.fromkeys([*kept, text_col])
 
     def run(batches):
         for batch in batches:
@@ -162,9 +160,9 @@ def with_features(docs: DataFrame, id_col: str, text_col: str, lexicon: Lexicon,
                 made = dense_features(part[text_col], lexicon)
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(made.reshape(-1)), len(FEATURES))
                 listed = flat.cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in columns), listed], names=[*columns, "features"])
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), listed], names=[*kept, "features"])
 
-    return docs.select(*columns, text_col).mapInArrow(run, schema)
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -199,7 +197,7 @@ def fit_toxicity(
     sample = labelled_texts(docs, labels, label_col, id_col, text_col, max_rows)
     lexicon = learn_lexicon(sample)
     part = F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(5)) == 0
-    made = stage(with_features(sample, "id", "text", lexicon, "label").withColumn("calibrates", part), "toxic-features")
+    made = stage(with_features(sample, "text", lexicon, "id", "label").withColumn("calibrates", part), "toxic-features")
     found = {
         r["calibrates"]: r
         for r in made.groupBy("calibrates").agg(F.count("*").alias("n"), F.sum("label").alias("k")).collect()
@@ -224,17 +222,19 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     names; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return _scored(rows, model, "_id").select(F.col("_id").alias(id_col), "features", "score")
+    return _scored(rows, model, "_text", "_id").select(F.col("_id").alias(id_col), "features", "score")
 
 
 def accepted(docs: DataFrame, model: ToxicityModel, below: float, text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` whose score is below a limit, with all their columns and whatever names those have."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"))
-    return _scored(rows, model, "_row").where(F.col("score") < below).select("_row.*")
+    names = {c: f"_column{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*(F.col(c).alias(n) for c, n in names.items()))
+    scored = _scored(rows, model, names[text_col], *names.values())
+    return scored.where(F.col("score") < below).select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
-def _scored(rows: DataFrame, model: ToxicityModel, kept: str) -> DataFrame:
-    made = with_features(rows, kept, "_text", model.lexicon)
+def _scored(rows: DataFrame, model: ToxicityModel, text_col: str, *kept: str) -> DataFrame:
+    made = with_features(rows, text_col, model.lexicon, *kept)
     if model.trees is None:
         return made.withColumn("score", F.lit(float(model.base_rate)))
     margins = _margins(model.trees, made.withColumn("_kept", F.col("features")))

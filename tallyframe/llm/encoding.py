@@ -28,7 +28,10 @@ _WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
-SLICE_BYTES = 8 << 20
+# Text that a worker holds in columns of words at once; more for the tokenizer,
+# which profits from words that repeat in a slice.
+SLICE_BYTES = 2 << 20
+ENCODED_SLICE_BYTES = 4 << 20
 MAX_CACHED_WORDS = 400_000
 
 
@@ -185,7 +188,7 @@ def encoded_batches(
     """``(document ids, token ids, starts)`` for slices of bounded size."""
     encoder = _encoder(path)
     for batch in batches:
-        for part in by_size(batch, text_col):
+        for part in by_size(batch, text_col, ENCODED_SLICE_BYTES):
             ids, starts = encoder.encode(pc.fill_null(part[text_col], ""))
             if end_id is not None:
                 ids, starts = with_end_id(ids, starts, end_id)

@@ -28,7 +28,7 @@ SHAPES, TRIGRAMS = 256, 768
 COLUMNS = SHAPES + TRIGRAMS
 RANK = 48
 NEIGHBOURS = 15
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 _BLOCK = 1_000
 
 
