@@ -41,12 +41,17 @@ def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFram
 
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def stage_side(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A staged join side, marked for broadcast only when its counted rows are few.
+    """A staged join side, marked for broadcast only when its counted rows and measured bytes are few.
 
     Without the mark the join shuffles both sides, however few keys there are.
+    Bytes are those of the rows as text, so that wide keys count. Runs jobs when
+    called.
     """
     staged = stage(df, label)
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    rows, size = staged.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(staged) if rows <= max_rows and size <= MAX_BROADCAST_BYTES else staged
