@@ -32,7 +32,7 @@ _WORDS = regex.compile(
 # which profits from words that repeat in a slice.
 SLICE_BYTES = 2 << 20
 ENCODED_SLICE_BYTES = 4 << 20
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 200_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -163,6 +163,8 @@ def by_size(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Ite
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    # A worker is used again by other operators: give back what this batch took.
+    pa.default_memory_pool().release_unused()
 
 
 def binary_rows(values: np.ndarray, starts: np.ndarray) -> pa.Array:

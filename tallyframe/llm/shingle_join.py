@@ -151,8 +151,8 @@ def shingle_order(docs: DataFrame, text_col: str, like: Similarity) -> ShingleOr
         for batch in batches:
             for part in by_size(batch, text_col):
                 hashes, _ = shingle_hashes(part[text_col], like.size)
-                bins = (hashes >> np.uint64(64 - _BIN_BITS)).astype(np.int64)
-                total += np.bincount(bins, minlength=len(total)).astype(np.uint32)
+                bins, met = np.unique(hashes >> np.uint64(64 - _BIN_BITS), return_counts=True)
+                total[bins.astype(np.int64)] += met.astype(np.uint32)
         packer = zstandard.ZstdCompressor(level=1)
         chunks = total.reshape(-1, 1 << _CHUNK_BITS)
         used = np.flatnonzero(chunks.any(axis=1))
