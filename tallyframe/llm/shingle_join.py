@@ -252,6 +252,15 @@ def _long_enough(a: str, b: str, like: Similarity) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * like.percent
 
 
+def _overlap(a: Column, b: Column, like: Similarity) -> Column:
+    return F.ceil((a + b) * like.percent / (100 + like.percent) - 1e-6)
+
+
+def _behind(n: Column, like: Similarity) -> Column:
+    """Shingles behind the prefix; below 0 where the prefix is the whole set."""
+    return F.ceil(n * like.percent / 100 - 1e-6) - like.least_shared(n)
+
+
 def _needed(a: Column, b: Column, like: Similarity) -> Column:
     """Prefix shingles that two sets of these sizes must share to be similar enough.
 
@@ -259,10 +268,31 @@ def _needed(a: Column, b: Column, like: Similarity) -> Column:
     prefix shingles that the other has lie in the other's prefix, and the rest
     of the overlap lies behind its prefix.
     """
-    p, both = like.percent, 100 + like.percent
-    overlap = F.ceil((a + b) * p / both - 1e-6)
-    behind = F.greatest(*(F.ceil(n * p / 100 - 1e-6) - like.least_shared(n) for n in (a, b)), F.lit(0))
-    return F.greatest(overlap - behind, F.least(like.least_shared(a), like.least_shared(b))).cast("long")
+    behind = F.greatest(_behind(a, like), _behind(b, like), F.lit(0))
+    least = F.least(like.least_shared(a), like.least_shared(b))
+    return F.greatest(_overlap(a, b, like) - behind, least).cast("long")
+
+
+def _least_needed(n: Column, smallest: Column, largest: Column, like: Similarity) -> Column:
+    """No more than ``_needed`` of ``n`` and any size from ``smallest`` to ``largest``.
+
+    Overlap less the greatest of what may lie behind is the lesser of two
+    differences. Less what lies behind ``n`` (or 0) it grows with the partner's
+    size m, so it is least at ``smallest``. Less what lies behind m it is more
+    than ``line(m) - 2``: the overlap is rounded up, and of what lies behind a
+    ceil and a floor make less than one each. ``line`` is straight up to
+    m = shared * shared_of and from there on, bent upwards, so it is least at
+    an end or there.
+    """
+    p, bend = like.percent, F.lit(like.shared * like.shared_of)
+
+    def line(m: Column) -> Column:
+        return (n + m) * p / (100 + p) - m * p / 100 + F.greatest(F.lit(like.shared), m / like.shared_of)
+
+    straight = F.least(line(smallest), line(largest), line(F.least(F.greatest(bend, smallest), largest)))
+    first = _overlap(n, smallest, like) - F.greatest(_behind(n, like), F.lit(0))
+    least = F.least(like.least_shared(n), like.least_shared(smallest))
+    return F.greatest(F.least(first, F.floor(straight - 1e-6) - 1), least).cast("long")
 
 
 def verified_links(pairs: DataFrame, fragments: DataFrame, like: Similarity) -> DataFrame:
@@ -299,14 +329,13 @@ class _Buckets:
         """Without nodes that share too few shingles for any partner in a bucket.
 
         ``shared`` counts a node's buckets, of which it has no more than prefix
-        shingles. How many a partner asks for is least at one end of the sizes
-        that the bucket holds and the limit allows, but for one that rounding
-        may take off in between.
+        shingles. It must be no less than any partner asks for whose size the
+        bucket holds and the limit allows.
         """
         like, n = self._like, F.col("n")
         smallest = F.greatest("low_n", F.ceil(n * like.percent / 100 - 1e-6))
         largest = F.least("high_n", F.floor(n * 100 / like.percent + 1e-6))
-        needed = F.least(_needed(n, smallest, like), _needed(n, largest, like)) - 1
+        needed = _least_needed(n, smallest, largest, like)
         counted = rows.withColumn("shared", F.count("*").over(Window.partitionBy("node")))
         kept = counted.where((smallest <= largest) & (F.col("shared") >= needed))
         return stage(kept.select("shingle", "node", "n", "component", "shared"), "open-buckets")

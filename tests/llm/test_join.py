@@ -3,8 +3,10 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe.llm import shingle_join
 from tallyframe.llm.components import connected_components
@@ -111,3 +113,42 @@ def test_fragments_cut_each_set_once(spark, documents):
         parts = list(order.fragments(one))
         assert sorted(x for _, p in parts for x in p.tolist()) == one.tolist()
     assert len({f for one in sets for f, _ in order.fragments(one)}) > 4
+
+
+def test_rounding_between_the_ends_of_a_bucket_hides_no_link(spark, documents):
+    """Sizes 69 and 79, linked at the limit by 4 shared prefix shingles, in buckets with a set of 80."""
+
+    def unique(name, n):
+        return [f"{name}{i}" for i in range(n)]
+
+    both, third = unique("w", 71), unique("c", 76)
+    rows = [["x", *both], [*both, *unique("y", 11)], [*both[:7], *third]]
+    # Long texts make all but the first four shared shingles frequent.
+    rows += [[*unique(f"l{k}_", 300), *both[4:], *unique(f"m{k}_", 300), *third, *unique(f"r{k}_", 300)] for k in range(3)]
+    rows = list(enumerate(map(" ".join, rows)))
+    expected = brute(rows)
+    assert [expected[i] for i in range(3)] == [(69, 0), (79, 0), (80, 2)]
+    assert got(documents(rows)) == expected
+    assert got(documents(rows), pairs_per_row=0, max_stars=3) == expected
+
+
+@pytest.mark.parametrize(
+    "like",
+    [
+        shingle_join.Similarity(),
+        shingle_join.Similarity(size=5, percent=80),
+        shingle_join.Similarity(percent=60, shared=1, shared_of=3),
+    ],
+)
+def test_pruning_asks_for_no_more_than_any_partner(spark, like):
+    most = 240
+    sizes = spark.range(1, most + 1).select(F.col("id").alias("n"))
+    near = sizes.crossJoin(sizes.withColumnRenamed("n", "m")).where(shingle_join._long_enough("n", "m", like))
+    needed = np.full((most + 1, most + 1), np.iinfo(np.int64).max)
+    for r in near.withColumn("needed", shingle_join._needed(F.col("n"), F.col("m"), like)).toLocalIterator():
+        needed[r.n, r.m] = r.needed
+    ranges = near.withColumnRenamed("m", "low").join(near.withColumnRenamed("m", "high"), "n").where("low <= n and n <= high")
+    bound = shingle_join._least_needed(F.col("n"), F.col("low"), F.col("high"), like)
+    asked = ranges.withColumn("asked", bound).toPandas()
+    least = [needed[n, low : high + 1].min() for n, low, high in zip(asked.n, asked.low, asked.high)]
+    assert (asked.asked.to_numpy() <= np.array(least)).all()
