@@ -1,8 +1,10 @@
 """Removal of passages that stand in an earlier document, by hashing of units.
 
-A unit is a paragraph, a line, or a piece of a line. Pieces are cut at words
-whose hash is a local minimum, hence a passage is cut alike wherever it stands,
-also in the middle of a line. Units are normalised and hashed, hashes
+A unit is a paragraph, a line, or a piece. Pieces are cut at words whose hash is
+a local minimum, hence a passage is cut alike wherever it stands, also in the
+middle of a line, and at line feeds, hence a line is found between any others.
+What lies between two minima is a unit with its line feeds, too, hence a passage
+is found however its lines are wrapped. Units are normalised and hashed, hashes
 are grouped over all documents, the earliest ranked occurrence is kept, and runs
 of repeated units that are long enough are taken out of the text.
 """
@@ -49,6 +51,21 @@ def _shifted(values: np.ndarray, documents: np.ndarray, step: int, outside: np.u
     return out
 
 
+def _runs(cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word of every run that ends in a cut."""
+    last = np.flatnonzero(cut)
+    return (np.concatenate([[0], last[:-1] + 1]) if len(last) else last), last
+
+
+def _digests(hashes: np.ndarray, first: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """Hashes of runs that cover all words."""
+    if not len(first):
+        return hashes[:0]
+    place = np.arange(len(hashes)) - np.repeat(first, n_words)
+    powers = np.cumprod(np.full(int(n_words.max()) + 1, _FACTOR))
+    return mixed(np.add.reduceat(hashes * powers[place], first))
+
+
 def _plain(word: str) -> str:
     return "".join(c for c in word.lower() if c.isalnum())
 
@@ -67,20 +84,26 @@ class Units:
             cut = breaks >= 2
         else:
             cut = breaks >= 1
+        text_end = np.concatenate([documents[1:] != documents[:-1], [True]]) if n else cut
+        unwrapped = text_end
         if unit == "piece" and n:
-            cut |= _local_minima(hashes, documents, (piece_words - 1) // 2)
-        if n:
-            cut |= np.concatenate([documents[1:] != documents[:-1], [True]])
-        last = np.flatnonzero(cut)
-        first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+            unwrapped = text_end | _local_minima(hashes, documents, (piece_words - 1) // 2)
+            cut |= unwrapped
+        first, last = _runs(cut | text_end)
         self.document = documents[first]
-        self.start, self.end = starts[first], ends[last]
+        self.start, self.end, self.start_words = starts[first], ends[last], first
         self.n_words = last - first + 1
-        place = np.arange(n) - np.repeat(first, self.n_words)
-        powers = np.cumprod(np.full(int(self.n_words.max(initial=0)) + 1, _FACTOR))
-        self.digest = mixed(np.add.reduceat(hashes * powers[place], first)) if n else hashes
+        self.digest = _digests(hashes, first, self.n_words)
         # Units of each text, as bounds in the arrays above.
         self.bounds = np.searchsorted(self.document, np.arange(len(texts) + 1))
+        # Of a unit that line feeds cut apart: its parts, as bounds in the arrays above.
+        first, last = _runs(unwrapped) if unit == "piece" else (first[:0], last[:0])
+        at = np.searchsorted(self.start_words, first)
+        to = np.concatenate([at[1:], [len(self.start_words)]]) if len(at) else at
+        apart = to - at > 1
+        self.joined, self.joined_to = at[apart], to[apart]
+        self.joined_words = (last - first + 1)[apart]
+        self.joined_digest = _digests(hashes, first, last - first + 1)[apart]
 
     @staticmethod
     def _places(texts: pa.Array, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,7 +132,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def document_units(keyed: DataFrame, unit: str, piece_words: int) -> DataFrame:
-    """``(_id, _text_hash, digest, n_words, ordinal)``, a row per unit."""
+    """``(_id, _text_hash, digest, n_words, ordinal)``, a row per unit.
+
+    ``ordinal`` is twice the unit's number in its text; of a unit that line
+    feeds cut apart it is one more than that of its first part.
+    """
     schema = T.StructType(
         [
             keyed.schema["_id"],
@@ -125,13 +152,16 @@ def document_units(keyed: DataFrame, unit: str, piece_words: int) -> DataFrame:
         for batch in batches:
             for part in by_size(batch, "_text"):
                 units = Units(part["_text"], unit, piece_words)
-                rows = pa.array(units.document)
-                ordinal = np.arange(len(units.document)) - units.bounds[units.document]
+                at = np.concatenate([np.arange(len(units.document)), units.joined])
+                document = units.document[at]
+                rows = pa.array(document)
+                ordinal = 2 * (at - units.bounds[document])
+                ordinal[len(units.document) :] += 1
                 columns = [
                     part["_id"].take(rows),
                     part["_text_hash"].take(rows),
-                    pa.array(units.digest.view(np.int64)),
-                    pa.array(units.n_words.astype(np.int32)),
+                    pa.array(np.concatenate([units.digest, units.joined_digest]).view(np.int64)),
+                    pa.array(np.concatenate([units.n_words, units.joined_words]).astype(np.int32)),
                     pa.array(ordinal.astype(np.int32)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -166,7 +196,8 @@ def remove_repeats(
 ) -> DataFrame:
     """``docs`` with repeated runs of units taken out of ``text_col``.
 
-    ``unit`` is ``piece``, ``line`` or ``paragraph``. A run is a sequence of
+    ``unit`` is ``piece``, ``line`` or ``paragraph``; line feeds inside a
+    passage of pieces may differ from place to place. A run is a sequence of
     units that each stand earlier in the corpus (by id, then place), and is
     removed from ``min_words`` words on. Two columns are added: ``removed`` and
     ``kept``, lists of ``(start, end)`` code point offsets in the original text.
@@ -209,7 +240,10 @@ def _cut(part: pa.RecordBatch, text_col: str, unit: str, min_words: int, piece_w
     for i, row in enumerate(touched.tolist()):
         first, last = units.bounds[i], units.bounds[i + 1]
         gone = np.zeros(last - first + 2, bool)
-        gone[np.array(repeated[row].as_py()) + 1] = True
+        ordinals = np.array(repeated[row].as_py())
+        gone[ordinals[ordinals % 2 == 0] // 2 + 1] = True
+        for joined in np.searchsorted(units.joined, first + ordinals[ordinals % 2 == 1] // 2).tolist():
+            gone[units.joined[joined] - first + 1 : units.joined_to[joined] - first + 1] = True
         edges = np.flatnonzero(gone[1:] != gone[:-1])
         text, at, spans = texts[row], 0, []
         for begin, end in zip(edges[::2], edges[1::2], strict=True):

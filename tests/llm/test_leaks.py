@@ -169,3 +169,30 @@ def test_null_ids_rank_last(spark, documents):
     line = " ".join(words(40))
     found = {r.doc_id: r.text for r in unit_dedup.remove_repeats(documents([(None, line), (9, line)])).collect()}
     assert found == {9: line, None: ""}
+
+
+def test_passages_are_found_however_their_lines_are_wrapped(spark, documents):
+    def wrapped(text, width):
+        return "\n".join(" ".join(text[k : k + width]) for k in range(0, len(text), width))
+
+    rows, passages = {}, {}
+    for n in range(40):
+        passage = words(60)
+        for copy, width in enumerate((100, 12, 9)):
+            key = 100 * copy + n
+            rows[key] = " ".join(words(30)) + " " + wrapped(passage, width) + " " + " ".join(words(30))
+            passages[key] = set(passage)
+    # A line of 40 words stands between others each time.
+    line = words(40)
+    for key in (1000, 1001):
+        rows[key] = "\n".join(" ".join(w) for w in (words(30), line, words(30)))
+    found = {r.doc_id: r for r in unit_dedup.remove_repeats(documents(list(rows.items()))).collect()}
+    for key, row in found.items():
+        check_spans(rows[key], row)
+        gone = " ".join(rows[key][s.start : s.end] for s in row.removed).split()
+        if key < 100 or key == 1000:
+            assert not gone
+        elif key == 1001:
+            assert len(gone) >= 20 and set(gone) <= set(line)
+        else:
+            assert len(gone) >= 20 and set(gone) <= passages[key]
