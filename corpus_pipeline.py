@@ -28,7 +28,10 @@ def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go; all stay where the labels are too few to grow trees."""
     model = boosted_toxicity.fit_toxicity(docs, load(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    if model.trees is None:
+        return docs
     return boosted_toxicity.accepted(docs, model, TOXIC_FROM)
 
 

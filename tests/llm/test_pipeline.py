@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import pytest
 from llm.test_leaks import greedy
 
 
@@ -57,3 +58,11 @@ def test_documents_with_leaks_go(spark, documents, tmp_path):
     kept = corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path))
     assert 0 < len(clean) < len(rows)
     assert {r.doc_id for r in kept.collect()} == {*clean, None}
+
+
+@pytest.mark.parametrize("labels", [[], [(1, None), (2, None)], [(1, 1), (2, 1)]])
+def test_without_labels_of_both_classes_all_documents_stay(spark, documents, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(1, "a clean text"), (2, "another"), (None, None)]
+    kept = corpus_pipeline.drop_toxic(spark, documents(rows), str(tmp_path)).collect()
+    assert {(r.doc_id, r.text) for r in kept} == set(rows)
