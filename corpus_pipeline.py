@@ -1,7 +1,7 @@
 """The training-text pipeline: its stages in order, each over all its predecessor kept.
 
-Rows are told apart by ``doc_id``; rows under one id stay or go together, but for
-repeated ids in the near-copy stage, of which one row stays. Null ids stay
+Rows are told apart by ``doc_id``; rows under one id stay or go together, but in
+the near-copy stage, which looks at id and text. Null ids stay
 wherever an id decides; null texts count as empty and stay.
 """
 
@@ -21,10 +21,10 @@ TOXIC_FROM = 0.3
 NEAR = shingle_join.Similarity(size=5, percent=80)
 
 
-def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+def _without(docs: DataFrame, ids: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
     """``docs`` without the rows of some ids; the ids are broadcast when counted to be few."""
-    gone = stage_side(ids.select(F.col("doc_id").alias("_gone")).distinct(), label)
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = stage_side(ids.select(F.col(key).alias("_gone")).distinct(), label)
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,16 +36,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least id of every group of near copies stays."""
-    found = stage(shingle_join.jaccard_components(docs, like=NEAR), "near-copies")
-    kept = _without(docs, found.where("component_id <> doc_id"), "copies")
-    repeated = stage(
-        found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated-ids"
-    )
+    """One row of every group of near copies stays: that of the least id, then of the least text hash.
+
+    Several texts under one id are told apart; of rows equal in id and text one
+    stays. Rows without words or without an id stay.
+    """
+    named = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    keyed = docs.withColumn("_key", F.when(F.col("doc_id").isNotNull(), named))
+    found = stage(shingle_join.jaccard_components(keyed, "_key", like=NEAR), "near-copies")
+    kept = _without(keyed, found.where("component_id <> _key"), "copies", "_key")
+    counted = found.where("_key is not null and n_shingles > 0").groupBy("_key").agg(F.count("*").alias("n"))
+    repeated = stage(counted.where("n > 1"), "repeated-rows")
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return _without(kept, repeated, "repeated").unionByName(once)
+        return kept.select(docs.columns)
+    rows = kept.join(repeated.select("_key"), "_key", "left_semi")
+    once = rows.withColumns({"_key_id": F.col("_key.id"), "_key_hash": F.col("_key.hash")}).dropDuplicates(["_key_id", "_key_hash"])
+    return _without(kept, repeated, "repeated", "_key").select(docs.columns).unionByName(once.select(docs.columns))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

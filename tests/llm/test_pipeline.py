@@ -66,3 +66,13 @@ def test_without_labels_of_both_classes_all_documents_stay(spark, documents, tmp
     rows = [(1, "a clean text"), (2, "another"), (None, None)]
     kept = corpus_pipeline.drop_toxic(spark, documents(rows), str(tmp_path)).collect()
     assert {(r.doc_id, r.text) for r in kept} == set(rows)
+
+
+def test_different_texts_under_one_id_are_told_apart(spark, documents):
+    first, copy = words(50, "a"), [*words(49, "a"), "x"]
+    other, third = words(40, "b"), words(30, "c")
+    rows = [(1, first), (2, copy), (2, other), (3, third), (3, third), (3, other), (4, []), (4, []), (5, first), (5, copy)]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(None, " ".join(first))]
+    kept = corpus_pipeline.keep_one_of_group(spark, documents(rows), None).collect()
+    expected = [rows[0], rows[2], rows[3], rows[6], rows[7], rows[10]]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, expected))
