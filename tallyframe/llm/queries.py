@@ -10,6 +10,7 @@ from tallyframe.llm import (
     boosted_toxicity,
     chat_format,
     host_rules,
+    importance,
     license_index,
     neighbour_quality,
     packing,
@@ -17,6 +18,7 @@ from tallyframe.llm import (
     string_tiling,
     token_files,
     unit_dedup,
+    vector_codes,
 )
 from tallyframe.llm.labelled import id_fold
 from tallyframe.plans.tables import load
@@ -186,6 +188,64 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.jaccard_components(load(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(load(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
+    return coded.select("vec_id", "code", "error", "label_error", digest)
+
+
+def _op11_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every round as a pair of tables: nearest entries by brute force, then the entries' means."""
+    steps = [
+        f"""kept as (
+  select row_number() over (order by vec_id) as row, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+  from embeddings where len(embedding) > 0
+    and len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), pieces as materialized (
+  select row, p, list_slice(v, p * len(v) // {parts} + 1, (p + 1) * len(v) // {parts}) as x
+  from kept, range({parts}) as r(p)
+), book0 as materialized (
+  select p, row - 1 as e, x as y from pieces where row <= {entries}
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""near{i} as materialized (
+  select row, p, min({{'d': list_dot_product(x, x) - 2 * list_dot_product(x, y) + list_dot_product(y, y), 'e': e}}) as best
+  from pieces join book{i} using (p) group by row, p
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""sums{i} as (
+  select p, best.e as e, i, floor(sum(x[i]) / count(*)) as s
+  from near{i} join pieces using (row, p), range(1, (select max(len(x)) from pieces) + 1) as r(i) group by p, best.e, i
+), means{i} as (
+  select p, e, list(s order by i) as z from sums{i} group by p, e
+), book{i + 1} as materialized (
+  select p, e, coalesce(z, y) as y from book{i} left join means{i} using (p, e)
+)"""
+            )
+    steps.append(
+        f"""coded as (
+  select row, string_agg(printf('%02x', best.e), '' order by p) as code, sum(best.d)::bigint as error from near{rounds} group by row
+)"""
+    )
+    last = f"book{rounds}"
+    return f"""with {", ".join(steps)}
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(array_to_string(list_transform(y, lambda c: c::bigint), ','), ',' order by p, e)) from {last}) as codebooks_sha256
+from kept join coded using (row)
+"""
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, wanted = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
+    ranked = importance.importance_ranks(docs, wanted)
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat_format": op2_chat_format,
@@ -197,9 +257,12 @@ QUERIES = {
     "op8_host_rules": op8_host_rules,
     "op9_license_index": op9_license_index,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_vector_codes": op11_vector_codes,
+    "op13_importance_resample": op13_importance_resample,
 }
 
 ORACLES = {
     "op2_chat_format": OP2_SQL,
     "op8_host_rules": OP8_SQL,
+    "op11_vector_codes": _op11_sql(),
 }
