@@ -16,6 +16,7 @@ from tallyframe.llm import (
     packing,
     shingle_join,
     string_tiling,
+    substring_dedup,
     token_files,
     unit_dedup,
     vector_codes,
@@ -240,6 +241,13 @@ from kept join coded using (row)
 """
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeated_strings(load(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed")
+    n_spans = F.size("removed").cast("long").alias("n_spans")
+    return cut.select("doc_id", "n_bytes", removed, n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, wanted = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
     ranked = importance.importance_ranks(docs, wanted)
@@ -258,6 +266,7 @@ QUERIES = {
     "op9_license_index": op9_license_index,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_vector_codes": op11_vector_codes,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_importance_resample": op13_importance_resample,
 }
 
