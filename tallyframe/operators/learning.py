@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
@@ -16,11 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from tallyframe.operators.partition import combine_parts
+from tallyframe.operators.networks import SMALLEST_PROBABILITY, Network, score_models
 from tallyframe.sinks.files import write_epoch_metrics, save_checkpoint
 
-_SMALLEST_PROBABILITY = 1e-15
-
 
 # --- metrics -----------------------------------------------------------------
 
@@ -38,7 +37,7 @@ def label_probability() -> Column:
 
 def cross_entropy(predicted: DataFrame) -> DataFrame:
     """Mean negative log probability of the true label."""
-    p = F.greatest(label_probability(), F.lit(_SMALLEST_PROBABILITY))
+    p = F.greatest(label_probability(), F.lit(SMALLEST_PROBABILITY))
     return predicted.agg(F.avg(-F.log(p)).alias("cross_entropy"))
 
 
@@ -165,13 +164,28 @@ def latest_checkpoint(listing: DataFrame, keys: Sequence[str] = ()) -> DataFrame
     return listing.groupBy(*keys).agg(newest).where(F.col("path").isNotNull())
 
 
-def restore(spark: SparkSession, directory: str) -> tuple[MultilayerPerceptronClassificationModel | None, int]:
-    """The newest checkpoint and its epoch, or ``(None, 0)``."""
+def latest_checkpoint_path(spark: SparkSession, directory: str) -> tuple[str | None, int]:
+    """Path and epoch of the newest complete checkpoint, or ``(None, 0)``."""
     found = latest_checkpoint(checkpoint_listing(spark, directory)).first()
     if found is None:
         return None, 0
-    epoch = int(re.search(r"(\d+)$", found["path"]).group(1))
-    return MultilayerPerceptronClassificationModel.load(found["path"]), epoch
+    return found["path"], int(re.search(r"(\d+)$", found["path"]).group(1))
+
+
+def restore(spark: SparkSession, directory: str) -> tuple[MultilayerPerceptronClassificationModel | None, int]:
+    """The newest checkpoint and its epoch, or ``(None, 0)``."""
+    path, epoch = latest_checkpoint_path(spark, directory)
+    return (MultilayerPerceptronClassificationModel.load(path), epoch) if path else (None, 0)
+
+
+def load_network(spark: SparkSession, path: str) -> Network:
+    """Layers and weights of a checkpoint of either kind of training."""
+    state = spark.read.parquet(f"{path}/data")
+    if "layers" in state.columns:
+        row = state.select("layers", "weights").first()
+        return Network(tuple(row["layers"]), np.array(row["weights"]))
+    model = MultilayerPerceptronClassificationModel.load(path)
+    return Network(tuple(model.getLayers()), model.weights.toArray())
 
 
 # --- training ----------------------------------------------------------------
@@ -179,20 +193,8 @@ def restore(spark: SparkSession, directory: str) -> tuple[MultilayerPerceptronCl
 
 def model_metrics(model, df: DataFrame, run: str, epoch: int, features: str = "features") -> DataFrame:
     """``(run, epoch, metric, value)`` of one model on one labelled set."""
-    predicted = score(df, model, features)
-    p = F.greatest(label_probability(), F.lit(_SMALLEST_PROBABILITY))
-    hit = (F.col("prediction").cast("int") == F.col("label").cast("int")).cast("double")
-    both = predicted.agg(F.avg(hit).alias("accuracy"), F.avg(-F.log(p)).alias("cross_entropy"))
-    return both.select(
-        F.lit(run).alias("run"),
-        F.lit(epoch).alias("epoch"),
-        F.inline(
-            F.array(
-                F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
-                F.struct(F.lit("cross_entropy").alias("metric"), F.col("cross_entropy").alias("value")),
-            )
-        ),
-    )
+    network = Network(tuple(model.getLayers()), model.weights.toArray())
+    return score_models(df, [(epoch, network)], run, features)
 
 
 def train_epochs(
@@ -240,12 +242,7 @@ def train_epochs(
 def evaluate_checkpoints(
     spark: SparkSession, directory: str, test: DataFrame, features: str = "features"
 ) -> DataFrame | None:
-    """Metrics of every checkpoint on the test set; None without a checkpoint."""
+    """Metrics of every checkpoint on the test set, which is read once for all; None without a checkpoint."""
     entries = checkpoint_listing(spark, directory).orderBy("epoch").collect()
-    frames = [
-        model_metrics(
-            MultilayerPerceptronClassificationModel.load(e["path"]), test, "test", e["epoch"], features
-        )
-        for e in entries
-    ]
-    return combine_parts(*frames) if frames else None
+    models = [(e["epoch"], load_network(spark, e["path"])) for e in entries]
+    return score_models(test, models, "test", features) if models else None

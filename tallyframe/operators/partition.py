@@ -12,7 +12,8 @@ from tallyframe.operators import ordered
 _PREFIX_DIGITS = 4  # 65,536 hash buckets
 
 
-def _digest(key: str, seed: int) -> Column:
+def seeded_digest(key: str, seed: int) -> Column:
+    """The hexadecimal digest whose order is a seeded order of ``key``."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
@@ -46,7 +47,7 @@ def seeded_split(
         ends.append(total)
     if keep_rest:
         ends[-1] = n
-    hashed = df.withColumn("_md5", _digest(key, seed)).withColumn(
+    hashed = df.withColumn("_md5", seeded_digest(key, seed)).withColumn(
         "_bucket", F.substring("_md5", 1, _PREFIX_DIGITS)
     )
     running = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -72,7 +73,7 @@ def seeded_split(
 
 def seeded_buckets(df: DataFrame, key: str, fractions: Sequence[float], seed: int = 1234) -> DataFrame:
     """Add ``part`` by hash thresholds: expected sizes, one narrow pass, no shuffle."""
-    spot = F.conv(F.substring(_digest(key, seed), 1, 8), 16, 10).cast("bigint") % 10_000
+    spot = F.conv(F.substring(seeded_digest(key, seed), 1, 8), 16, 10).cast("bigint") % 10_000
     ends, total = [], 0.0
     for fraction in fractions:
         total += fraction

@@ -7,13 +7,12 @@ import threading
 import time
 from collections.abc import Callable
 
-from pyspark.ml.classification import MultilayerPerceptronClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyframe.operators.learning import model_metrics
-from tallyframe.operators.partition import combine_parts
+from tallyframe.operators.learning import load_network
+from tallyframe.operators.networks import score_models
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -33,7 +32,8 @@ def watch_checkpoints(
     it looks for new checkpoints at that pace until it is stopped. ``scored`` is
     called with each epoch that has been written. The stream's own checkpoint remembers which models were seen, so a later
     start takes only newer ones. A batch replaces its own folder, which makes
-    a repeated batch harmless.
+    a repeated batch harmless. All checkpoints of a batch are scored in one pass
+    over ``test``.
     """
     spark = test.sparkSession
     files = (
@@ -44,14 +44,10 @@ def watch_checkpoints(
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         found = batch.select(home, epoch).distinct().collect()
-        frames = [
-            model_metrics(
-                MultilayerPerceptronClassificationModel.load(row["path"]), test, "test", row["epoch"], features
-            )
-            for row in found
-        ]
-        if frames:
-            combine_parts(*frames).write.mode("overwrite").parquet(f"{metrics_path}/batch={batch_id}")
+        models = [(row["epoch"], load_network(spark, row["path"])) for row in found]
+        if models:
+            scores = score_models(test, models, "test", features)
+            scores.write.mode("overwrite").parquet(f"{metrics_path}/batch={batch_id}")
         for row in found if scored else ():
             scored(row["epoch"])
 
