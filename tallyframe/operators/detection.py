@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.boxes import CORNERS, iou
 from tallyframe.functions.joins import null_safe_join
-from tallyframe.operators import ordered
+from tallyframe.operators import ordered, suppression, tiles
 from tallyframe.operators.partition import combine_parts
 from tallyframe.staging import MAX_BROADCAST_ROWS, stage, stage_side
 
@@ -99,61 +99,27 @@ def _fold(detections: DataFrame, limit: float) -> DataFrame:
     )
 
 
-def _greedy(boxes: np.ndarray, limit: float) -> np.ndarray:
-    """Places of the kept boxes of one group, whose rows ``(x1, y1, x2, y2)`` are in order of rank.
-
-    A grid of about one cell per average box tells which kept boxes a box can
-    overlap, so the work follows the boxes near each other, and a chain of
-    overlaps is one pass however long it is.
-    """
-    x1, y1, x2, y2 = boxes.T
-    areas = (x2 - x1) * (y2 - y1)
-    solid = (x2 > x1) & (y2 > y1)  # False for an unknown corner
-    cells: dict[tuple[int, int], list[int]] = {}
-    extents = [e[solid] for e in (x2 - x1, y2 - y1)]
-    side = [max(e.mean(), e.max() / _TILES_PER_BOX) if len(e) else 1.0 for e in extents]
-    kept = []
-    for i in range(len(boxes)):
-        if not solid[i]:
-            kept.append(i)
-            continue
-        columns = range(int(x1[i] // side[0]), int(x2[i] // side[0]) + 1)
-        rows = range(int(y1[i] // side[1]), int(y2[i] // side[1]) + 1)
-        touched = [(c, r) for c in columns for r in rows]
-        near = np.array(sorted({k for cell in touched for k in cells.get(cell, ())}), np.int64)
-        if len(near):
-            width = np.maximum(np.minimum(x2[near], x2[i]) - np.maximum(x1[near], x1[i]), 0.0)
-            height = np.maximum(np.minimum(y2[near], y2[i]) - np.maximum(y1[near], y1[i]), 0.0)
-            inter = width * height
-            if (inter / (areas[near] + areas[i] - inter) > limit).any():
-                continue
-        kept.append(i)
-        for cell in touched:
-            cells.setdefault(cell, []).append(i)
-    return np.array(kept, np.int64)
-
-
 def _by_group(detections: DataFrame, limit: float) -> DataFrame:
     """Greedy suppression of groups that fit into one Arrow table."""
 
     def suppress(table: pa.Table) -> pa.Table:
-        ranked = table.sort_by([("score", "descending"), ("det_id", "ascending")])
-        corners = [ranked[c].to_numpy(zero_copy_only=False).astype(float) for c in CORNERS]
-        return ranked.take(pa.array(_greedy(np.column_stack(corners), limit)))
+        ranked, corners = suppression.ranked_corners(table)
+        ids, n = ranked["det_id"].to_numpy(), len(corners)
+        status, _ = suppression.settle(corners, limit, ids, np.ones(n, bool), np.full(n, suppression.OPEN), [None] * n)
+        return ranked.take(pa.array(np.flatnonzero(status == suppression.KEPT)))
 
     return detections.groupBy(*GROUP).applyInArrow(suppress, detections.schema)
 
 
-def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: int) -> DataFrame:
-    """Greedy suppression of groups too large for one array, tile by tile.
+def _large(detections: DataFrame, sizes: DataFrame, limit: float, tile_rows: int) -> DataFrame:
+    """Greedy suppression of groups too large for one table.
 
     A box that no better box overlaps cannot be suppressed. Two overlapping
     boxes share a tile, so the best ``_TILE_TOP`` boxes of every tile tell
-    which boxes are free in all their tiles. Each round keeps those and
-    removes what they suppress; the number of rounds follows the length of
-    overlap chains, not the number of boxes. No list is longer than
-    ``_TILE_TOP``, and the top of a tile is pruned before it is shuffled.
-    What is left goes to the fold as soon as it is small enough.
+    which boxes are free in all their tiles. A round keeps those and removes
+    what they suppress, which thins dense places fast. As soon as a round
+    leaves more than half, what is left are chains of overlaps, and these are
+    resolved in tiles of at most ``tile_rows`` boxes (``suppression``).
     """
     # Without an area, or with an unknown corner, a box overlaps nothing.
     flat = F.coalesce((F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1")), F.lit(True))
@@ -164,11 +130,10 @@ def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: in
     tile = [*GROUP, "_tx", "_ty"]
     by_score = [F.col("score").desc(), F.col("det_id").asc()]
     box = F.struct((-F.col("score")).alias("order"), "det_id", "_spots", *CORNERS)
-    while True:
+    before, rows = None, left.count()
+    while before is None or rows <= before // 2:
+        before = rows
         # One round: free boxes, what they suppress, the rest.
-        largest = left.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if largest is None or largest <= fold_rows:
-            break
         tiled = _tiled(left)
         best = (
             tiled.withColumn("_rank", F.row_number().over(Window.partitionBy(*tile).orderBy(*by_score)))
@@ -198,22 +163,28 @@ def _rounds(detections: DataFrame, sizes: DataFrame, limit: float, fold_rows: in
         settled = suppressed.unionByName(won.select("det_id")).distinct()
         kept.append(won.select(*DETECTION))
         left = stage(left.join(settled, "det_id", "left_anti"), "nms-left")
-    kept.append(_fold(left, limit))
+        rows = left.count()
+        if not rows:
+            break
+    if rows and limit > 0:
+        kept.append(suppression.suppress_in_tiles(left.select(*DETECTION), GROUP, limit, tile_rows))
+    elif rows:
+        raise ValueError("groups of this size need a limit above 0")
     return reduce(DataFrame.unionByName, [k.select(*DETECTION) for k in kept])
 
 
 def nms(
-    detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000, group_rows: int = 500_000
+    detections: DataFrame, iou_limit: float = 0.4, fold_rows: int = 2_000, group_rows: int = 20_000
 ) -> DataFrame:
     """Non-maximum suppression per image and class.
 
     By falling score, a box is dropped when it overlaps a kept box by more than
     ``iou_limit``. Groups of at most ``fold_rows`` boxes are folded as arrays
     inside the JVM; groups of at most ``group_rows`` pass through one Arrow table
-    each (tens of MB), where a chain of overlaps of any length is one pass;
-    larger ones are resolved in tiles. All three give the same result. A box
-    without an area, or with a null corner, overlaps nothing and is kept. Runs
-    jobs when called.
+    each, where a chain of overlaps of any length is one pass; larger ones are
+    resolved in tiles of at most as many boxes. All three give the same result.
+    A box without an area, or with a null corner, overlaps nothing and is kept.
+    Runs jobs when called.
     """
     boxes = detections.select(*DETECTION)
     sizes = _tile_sizes(boxes, fold_rows).drop("_max_w", "_max_h")
@@ -226,20 +197,51 @@ def nms(
     many = sizes.where(F.col("_n") > group_rows).drop("_n")
     if many.isEmpty():
         return kept
-    large = _rounds(null_safe_join(boxes, many, GROUP, "left_semi"), many, iou_limit, fold_rows)
+    large = _large(null_safe_join(boxes, many, GROUP, "left_semi"), many, iou_limit, group_rows)
     return kept.unionByName(large)
 
 
 # --- matching ---------------------------------------------------------------
 
 
-def _with_tiles(boxes: DataFrame) -> DataFrame:
-    """Rows per touched tile, with the first tile of the box."""
-    first = {
-        "_tx0": F.element_at(_span("x1", "x2", "_tile_w"), 1),
-        "_ty0": F.element_at(_span("y1", "y2", "_tile_h"), 1),
-    }
-    return _tiled(boxes.withColumns(first))
+def _dealt(boxes: DataFrame, counts: DataFrame, own: str, other: str, key: str) -> DataFrame:
+    """Rows of a tile by their own share, a copy for every share of the other side."""
+    tile = [*GROUP, *tiles.TILE]
+    shares = null_safe_join(boxes, counts, GROUP, never_null=tiles.TILE)
+    split = shares.withColumn(own, F.pmod(F.xxhash64(key), F.col(f"_n{own}")))
+    return split.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_n{other}") - 1))).drop(
+        f"_n{own}", f"_n{other}"
+    ).select(*tile, *[c for c in split.columns if c not in {*tile, f"_n{own}", f"_n{other}"}], other)
+
+
+def _met_in_tiles(
+    detections: DataFrame, targets: DataFrame, iou_limit: float, tile_targets: int, task_rows: int
+) -> DataFrame:
+    """Pairs that may overlap by the limit, in tiles with at most ``tile_targets`` target corners.
+
+    A target is in the one tile of its corner, so no pair is met twice. In a
+    dense place a tile is met by many detections: they are dealt to shares of
+    ``task_rows``, each with a copy of the tile's targets, and the targets of
+    tiles that cannot be split (equal corners) to shares of ``tile_targets``.
+    """
+    targets = stage(targets, "match-targets")
+    tree = tiles.build(targets, GROUP, tile_targets)
+    right = stage(tiles.at_home(targets, tree), "match-tiles")
+    left = stage(tiles.near(detections, tree, iou_limit), "match-near")
+    tile = [*GROUP, *tiles.TILE]
+    n_left = left.groupBy(*tile).agg(F.count(F.lit(1)).alias("_rows"))
+    n_right = right.groupBy(*tile).agg(F.count(F.lit(1)).alias("_boxes"))
+    counts = null_safe_join(n_right, n_left, GROUP, never_null=tiles.TILE).select(
+        *tile,
+        F.ceil(F.col("_rows") / task_rows).alias("_n_det"),
+        F.ceil(F.col("_boxes") / tile_targets).alias("_n_gt"),
+    )
+    counts = stage_side(counts, "match-shares")
+    left = _dealt(left, counts, "_det", "_gt", "det_id")
+    right = _dealt(right, counts, "_gt", "_det", "gt_id")
+    box = F.struct(*CORNERS).alias("_target")
+    shares = [*tiles.TILE, "_det", "_gt"]
+    return left.join(right.select(*GROUP, *shares, "gt_id", box), [*GROUP, *shares])
 
 
 def overlapping_pairs(
@@ -248,39 +250,38 @@ def overlapping_pairs(
     iou_limit: float = 0.5,
     dense_targets: int = 256,
     merge_copies: bool = False,
+    task_rows: int = 100_000,
 ) -> DataFrame:
     """``(det_id, gt_id, score, iou)`` for pairs of one image and class at or above the limit.
 
     When no image and class has more than ``dense_targets`` targets, which is
     checked first, this is one equality join. Otherwise such groups are joined
-    by tile, so only boxes near each other meet, and a pair counts in the
-    first tile both boxes touch. ``merge_copies`` then stands the lowest
-    ``gt_id`` in for all targets with the same box. At a limit of 0 every pair
-    counts, so no tile can leave one out. Runs jobs when called.
+    in the tiles of a quadtree that is as deep as the targets are dense, in
+    shares of at most ``task_rows`` detections and ``dense_targets`` targets.
+    ``merge_copies`` then stands the lowest ``gt_id`` in for all targets with
+    the same box. At a limit of 0 every pair counts, so no tile can leave one
+    out. Null images and classes match nothing. Runs jobs when called.
     """
     box = F.struct(*CORNERS).alias("_target")
-    sizes = _tile_sizes(targets, dense_targets).drop("_n")
+    detections = detections.select(*DETECTION)
+    sizes = _tile_sizes(targets, dense_targets).select(*GROUP, "_max_w", "_max_h")
     if iou_limit <= 0 or sizes.isEmpty():
-        right = targets.select(*GROUP, "gt_id", box)
-        met = detections.select(*DETECTION).join(right, GROUP)
+        met = detections.join(targets.select(*GROUP, "gt_id", box), GROUP)
     else:
         sizes = stage_side(sizes, "match-groups")
-        # Overlap at the limit needs similar sides, which bounds the tiles of a
-        # box; the margin is far above the rounding of the overlap itself.
+        few = detections.join(sizes, GROUP, "left_anti")
+        met = few.join(targets.select(*GROUP, "gt_id", box), GROUP)
+        dense = targets.join(sizes, GROUP, "left_semi").select(*GROUP, "gt_id", *CORNERS)
+        if merge_copies:
+            dense = dense.groupBy(*GROUP, *CORNERS).agg(F.min("gt_id").alias("gt_id"))
+        # Overlap at the limit needs similar sides.
         wide = iou_limit * (1 - 1e-6)
-        near = ((F.col("x2") - F.col("x1")) * wide <= F.col("_max_w")) & (
+        alike = ((F.col("x2") - F.col("x1")) * wide <= F.col("_max_w")) & (
             (F.col("y2") - F.col("y1")) * wide <= F.col("_max_h")
         )
-        if merge_copies:
-            targets = targets.groupBy(*GROUP, *CORNERS).agg(F.min("gt_id").alias("gt_id"))
-        left = detections.select(*DETECTION).join(sizes, GROUP, "left")
-        left = _with_tiles(left.where(F.col("_max_w").isNull() | near))
-        right = _with_tiles(targets.join(sizes, GROUP, "left")).select(
-            *GROUP, "_tx", "_ty", F.col("_tx0").alias("_gx0"), F.col("_ty0").alias("_gy0"), "gt_id", box
-        )
-        met = left.join(right, [*GROUP, "_tx", "_ty"]).where(
-            (F.col("_tx") == F.greatest("_tx0", "_gx0")) & (F.col("_ty") == F.greatest("_ty0", "_gy0"))
-        )
+        asked = detections.join(sizes, GROUP).where(alike).select(*DETECTION)
+        tiled = _met_in_tiles(asked, dense, iou_limit, dense_targets, task_rows)
+        met = met.unionByName(tiled.select(*met.columns))
     return (
         met.withColumn("iou", iou(F.col, F.col("_target").getField))
         .where(F.col("iou") >= F.lit(iou_limit))
@@ -289,14 +290,14 @@ def overlapping_pairs(
 
 
 def match_detections(
-    detections: DataFrame, targets: DataFrame, iou_limit: float = 0.5, dense_targets: int = 256
+    detections: DataFrame, targets: DataFrame, iou_limit: float = 0.5, dense_targets: int = 256, task_rows: int = 100_000
 ) -> DataFrame:
     """``(class_id, det_id, score, tp)``: 1 where a detection claims a target.
 
     A detection aims at the target it overlaps most (lowest id on a tie); a
     target goes to the best-scored detection that aims at it.
     """
-    pairs = overlapping_pairs(detections, targets, iou_limit, dense_targets, merge_copies=True)
+    pairs = overlapping_pairs(detections, targets, iou_limit, dense_targets, True, task_rows)
     best = pairs.groupBy("det_id", "score").agg(
         F.min_by("gt_id", F.struct(-F.col("iou"), F.col("gt_id"))).alias("gt_id")
     )

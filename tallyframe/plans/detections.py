@@ -138,7 +138,19 @@ def nms_chain(spark, sf):
         (x1 + 1.9).alias("x2"),
         F.lit(1.0).alias("y2"),
     )
-    return detection.nms(chain, 0.3, fold_rows=500).select("det_id")
+    return detection.nms(chain, 0.3, fold_rows=200, group_rows=500).select("det_id")
+
+
+def match_dense_place(spark, sf):
+    """All boxes of a class in one place of one image, each over all others: tiles, then shares of tiles."""
+    def squeezed(boxes):
+        return boxes.withColumn("image_id", F.lit(1).cast("bigint")).withColumns(
+            {c: 1000.0 + F.col(c) / 64.0 + F.lit(float(side)) for c, side in (("x1", 0), ("y1", 0), ("x2", 20), ("y2", 20))}
+        )
+
+    det, gt = squeezed(detections(spark, sf).where("det_id % 4 = 0")), squeezed(targets(spark, sf))
+    scored = detection.match_detections(det, gt, dense_targets=32, task_rows=200)
+    return scored.select("class_id", "det_id", F.col("tp").cast("bigint").alias("tp"))
 
 
 def match_limit_edge(spark, sf):
@@ -239,6 +251,7 @@ QUERIES = {
     "nms_arrow_groups": nms_arrow_groups,
     "nms_chain": nms_chain,
     "match_limit_edge": match_limit_edge,
+    "match_dense_place": match_dense_place,
     "detection_pipeline": detection_pipeline,
     "detection_pipeline_map": detection_pipeline_map,
     "iou_pairs": iou_pairs,
@@ -359,6 +372,14 @@ from events where value / 500.0::double >= 0.01::double""",
     # 0.9 / 2.9 is more than 0.3, and event ids follow each other.
     "nms_chain": "select event_id det_id from (select event_id, min(event_id) over () low from events) "
     "where (event_id - low) % 2 = 0",
+    "match_dense_place": "with "
+    + _fixture("1", where="det_id % 4 = 0").replace("x1 + det_id % 9 gx1, y1 + det_id % 5 gy1",
+      "1000 + (x1 + det_id % 9) / 64 gx1, 1000 + (y1 + det_id % 5) / 64 gy1")
+    .replace("x2 + det_id % 9 gx2, y2 + det_id % 5 gy2",
+      "1020 + (x2 + det_id % 9) / 64 gx2, 1020 + (y2 + det_id % 5) / 64 gy2")
+    .replace("pred as (select * from base", "pred as (select det_id, img, cls, score, 1000 + x1 / 64 x1, "
+      "1000 + y1 / 64 y1, 1020 + x2 / 64 x2, 1020 + y2 / 64 y2 from base")
+    + _PAIRS + " select cls class_id, det_id, tp from lab",
     "match_limit_edge": "with "
     + _fixture("user_id % 2").replace("pred as (select * from base where true)",
       "pred as (select det_id, img, cls, score, x1, y1, x1 + 4 * (x2 - x1) as x2, y2 from base)")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions import boxes
-from tallyframe.operators import detection
+from tallyframe.operators import detection, suppression, tiles
 from tallyframe.operators.partition import combine_parts
 from tallyframe.sinks.files import map_line
 
@@ -198,3 +198,69 @@ def test_pairs_at_the_limit_are_the_same_on_both_paths(spark, limit):
         for n in (256, 4)
     ]
     assert pairs[0] == pairs[1] and len(pairs[0]) >= 40
+
+
+def counted(monkeypatch, module, name):
+    calls, real = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda *args, **kw: calls.append(args) or real(*args, **kw))
+    return calls
+
+
+@pytest.mark.parametrize("gap", [0, 3_000])
+def test_a_chain_over_many_tiles_takes_few_rounds(spark, monkeypatch, gap):
+    """Rounds follow the logarithm of the tiles; ``gap`` breaks the chain once."""
+    place = lambda i: float(i + (10 if gap and i >= gap else 0))
+    chain = [(1, i, 1, 1e6 - i, place(i), 0.0, place(i) + 1.9, 1.0) for i in range(6_000)]
+    passes, writes = counted(monkeypatch, suppression, "tile_round"), counted(monkeypatch, suppression, "stage")
+    got = detection.nms(_boxes(spark, chain), 0.3, fold_rows=50, group_rows=100)
+    assert {r.det_id for r in got.collect()} == set(range(0, 6_000, 2))
+    links = [label for _, label in writes if label == "nms-links"]
+    # Sixteen-fold splits leave up to 256 tiles, two of them met by a box.
+    assert len(passes) == 1 and len(links) <= 10
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_crossing_chains_settle_in_tiles_like_one_table(spark, seed):
+    """Boxes that hang on several others of other tiles, with equal scores and both kinds of links."""
+    rng = random.Random(seed)
+    rows = [
+        (1, i, 1, float(rng.randrange(40)), x := rng.uniform(0, 120), y := rng.uniform(0, 12), x + rng.uniform(1, 6), y + rng.uniform(1, 6))
+        for i in range(700)
+    ]
+    boxes = _boxes(spark, rows).withColumn("image_id", F.lit(1).cast("long"))
+    got = suppression.suppress_in_tiles(boxes, ["image_id", "class_id"], 0.2, 15)
+    assert sorted(r["det_id"] for r in got.collect()) == brute_nms(rows, 0.2)
+
+
+def test_tiles_are_as_small_as_places_are_dense(spark):
+    rng = random.Random(4)
+    dense = [(1, i, 1, 1.0, x := 500 + rng.random() * 1e-3, y := 500 + rng.random() * 1e-3, x + 2, y + 2) for i in range(900)]
+    sparse = [(1, 1000 + i, 1, 1.0, x := rng.uniform(0, 1e4), y := rng.uniform(0, 1e4), x + 2, y + 2) for i in range(300)]
+    boxes = _boxes(spark, dense + sparse)
+    tree = tiles.build(boxes, ["image_id", "class_id"], 20)
+    home = tiles.at_home(boxes, tree)
+    sizes = [r["count"] for r in home.groupBy("image_id", "class_id", *tiles.TILE).count().collect()]
+    assert sum(sizes) == 1200 and max(sizes) <= 20
+    # Every box is sent wherever the corner of a box that overlaps it lies.
+    sent = {tuple(r) for r in tiles.near(boxes, tree, 0.5).select("det_id", *tiles.TILE).collect()}
+    at = {r["det_id"]: tuple(r)[1:] for r in home.select("det_id", *tiles.TILE).collect()}
+    rows = dense + sparse
+    pairs = [(a[1], b[1]) for a in rows[::25] for b in rows if overlap(a[4:], b[4:]) >= 0.5]
+    assert len(pairs) > 900 and all((a, *at[b]) in sent for a, b in pairs)
+
+
+def test_no_share_of_a_dense_place_is_large(spark):
+    """All boxes over each other, a third of the targets equal: no join key holds many rows of either side."""
+    rng = random.Random(8)
+    box = lambda i: (1, i, 1, rng.random(), x := rng.random(), y := rng.random(), x + 50, y + 50)
+    det = _boxes(spark, [box(i) for i in range(800)])
+    gt = _boxes(spark, [box(i) if i % 3 else (1, i, 1, 1.0, 0.5, 0.5, 50.5, 50.5) for i in range(150)], "gt_id")
+    met = detection._met_in_tiles(det, gt.drop("score"), 0.5, 16, 100).cache()
+    assert met.count() == 800 * 150 and met.select("det_id", "gt_id").distinct().count() == 800 * 150
+    share = [*tiles.TILE, "_det", "_gt"]
+    most = met.groupBy(*share).agg(F.countDistinct("det_id").alias("d"), F.countDistinct("gt_id").alias("g"))
+    d, g = most.agg(F.max("d"), F.max("g")).first()
+    assert d <= 160 and g <= 32
+    pairs = detection.overlapping_pairs(det, gt.drop("score"), 0.5, dense_targets=16, task_rows=100)
+    plain = detection.overlapping_pairs(det, gt.drop("score"), 0.5)
+    assert pairs.exceptAll(plain).isEmpty() and pairs.count() == plain.count()
