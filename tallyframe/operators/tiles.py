@@ -1,6 +1,6 @@
 """A quadtree of tiles over the corners of boxes, as deep as the boxes are dense.
 
-A tile that holds too many corners is split into sixteen, again and again, so a
+A tile that holds too many corners is split into 64, again and again, so a
 dense place gets small tiles and an empty one a large tile. The split tiles of
 each level are a table with one row per so many boxes. A box has one home tile,
 that of its corner; it is also sent to the tiles in which the corner of a box
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from tallyframe.functions.joins import null_safe_join
 from tallyframe.staging import stage_side
 
-#: Halvings of a group's extent, two per level; as fine as doubles are, nearly.
-BITS = 48
+#: Halvings of a group's extent, nearly as fine as doubles are, and halvings per level.
+BITS, STEP = 48, 3
 TILE = ["_level", "_cx", "_cy"]
 
 
@@ -39,7 +39,7 @@ def _cell(value: Column, low: str, high: str) -> Column:
 
 
 def _at_level(cell: Column, level: int) -> Column:
-    return F.shiftright(cell, BITS - 2 * level)
+    return F.shiftright(cell, BITS - STEP * level)
 
 
 def build(boxes: DataFrame, keys: Sequence[str], max_rows: int) -> Quadtree:
@@ -56,10 +56,13 @@ def build(boxes: DataFrame, keys: Sequence[str], max_rows: int) -> Quadtree:
         *keys, _cell(F.col("x1"), "_x_low", "_x_high").alias("_fx"), _cell(F.col("y1"), "_y_low", "_y_high").alias("_fy")
     )
     split = []
-    for level in range(BITS // 2):
+    for level in range(BITS // STEP):
         here = cells.withColumns({"_cx": _at_level(F.col("_fx"), level), "_cy": _at_level(F.col("_fy"), level)})
-        full = here.groupBy(*keys, "_cx", "_cy").count().where(F.col("count") > max_rows).drop("count")
-        full = stage_side(full.withColumn("_split", F.lit(True)), "split-tiles")
+        ends = [f(c).alias(f"_{name}{c}") for c in ("_fx", "_fy") for name, f in (("low", F.min), ("high", F.max))]
+        held = here.groupBy(*keys, "_cx", "_cy").agg(F.count(F.lit(1)).alias("_n"), *ends)
+        apart = (F.col("_low_fx") < F.col("_high_fx")) | (F.col("_low_fy") < F.col("_high_fy"))
+        full = held.where((F.col("_n") > max_rows) & apart).select(*keys, "_cx", "_cy", F.lit(True).alias("_split"))
+        full = stage_side(full, "split-tiles")
         if full.isEmpty():
             break
         split.append(full)
@@ -84,8 +87,8 @@ def in_tiles(boxes: DataFrame, tree: Quadtree, x: Sequence[Column], y: Sequence[
         goes_on = F.col("_split") & (F.col("_level") == level)
 
         def children(cell: str, low: str, high: str, level: int = level, goes_on: Column = goes_on) -> Column:
-            first = F.greatest(F.col(cell) * 4, _at_level(F.col(low), level + 1))
-            last = F.least(F.col(cell) * 4 + 3, _at_level(F.col(high), level + 1))
+            first = F.greatest(F.col(cell) * (1 << STEP), _at_level(F.col(low), level + 1))
+            last = F.least(F.col(cell) * (1 << STEP) + (1 << STEP) - 1, _at_level(F.col(high), level + 1))
             return F.when(goes_on, F.sequence(first, last)).otherwise(F.array(cell))
 
         placed = (

@@ -215,7 +215,7 @@ def test_a_chain_over_many_tiles_takes_few_rounds(spark, monkeypatch, gap):
     got = detection.nms(_boxes(spark, chain), 0.3, fold_rows=50, group_rows=100)
     assert {r.det_id for r in got.collect()} == set(range(0, 6_000, 2))
     links = [label for _, label in writes if label == "nms-links"]
-    # Sixteen-fold splits leave up to 256 tiles, two of them met by a box.
+    # Splits into 64 leave up to 512 tiles, two of them met by a box.
     assert len(passes) == 1 and len(links) <= 10
 
 
@@ -234,8 +234,8 @@ def test_crossing_chains_settle_in_tiles_like_one_table(spark, seed):
 
 def test_tiles_are_as_small_as_places_are_dense(spark):
     rng = random.Random(4)
-    dense = [(1, i, 1, 1.0, x := 500 + rng.random() * 1e-3, y := 500 + rng.random() * 1e-3, x + 2, y + 2) for i in range(900)]
-    sparse = [(1, 1000 + i, 1, 1.0, x := rng.uniform(0, 1e4), y := rng.uniform(0, 1e4), x + 2, y + 2) for i in range(300)]
+    dense = [(1, i, 1, 1.0, x := 500 + rng.random() * 1e-2, y := 500 + rng.random() * 1e-2, x + 2, y + 2) for i in range(900)]
+    sparse = [(1, 1000 + i, 1, 1.0, x := rng.uniform(0, 1e3), y := rng.uniform(0, 1e3), x + 2, y + 2) for i in range(300)]
     boxes = _boxes(spark, dense + sparse)
     tree = tiles.build(boxes, ["image_id", "class_id"], 20)
     home = tiles.at_home(boxes, tree)
