@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import relevance
+from tallyframe.operators import detection, relevance
+from tallyframe.plans.detections import _PAIRS
 from tallyframe.plans.tables import documents, events, labelled, load
 from tallyframe.sources import corpus, images
-from tallyframe.staging import fresh_path
+from tallyframe.staging import fresh_path, stage
 
 
 def read_several_corpora(spark, sf):
@@ -56,14 +57,60 @@ def class_names_file(spark, sf):
 
 
 def document_files(spark, sf):
-    """Names of files as documents: as many as sources, each under one name."""
+    """Documents named by their files: one folder per source, a file each, told apart by its folder."""
     path = fresh_path(spark, "sources")
     load(spark, sf, "documents").select("source", "text").repartition("source").write.partitionBy("source").text(path)
-    lines = corpus.read_corpus_lines(spark, path)
-    named = lines.select(F.regexp_extract("doc_id", r"^part-\d+-.*\.txt$", 0).alias("doc_id"), "text")
-    per_file = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    # One task writes the file of a source, and a task names all its files alike.
-    return per_file.where("doc_id <> ''").agg(F.sum("n").alias("n_lines"))
+    lines = spark.read.text(path).select("source", corpus.file_name().alias("doc_id"))
+    named = F.regexp_extract("doc_id", r"^(part)-\d+-.*(\.txt)$", 1), F.regexp_extract("doc_id", r"^(part)-\d+-.*(\.txt)$", 2)
+    # One task writes the file of a source; its number and the write's id differ from run to run.
+    per_file = lines.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    return per_file.select("source", F.concat(*named).alias("name"), "n_lines")
+
+
+def whole_corpora(spark, sf):
+    """Four folders of whole files, one of a file without content, read in one scan."""
+    path = fresh_path(spark, "whole-corpora")
+    docs = documents(spark, sf)
+    for number in range(3):
+        part = docs.where(F.col("doc_id") % 3 == number).select("doc_id", F.regexp_replace("text", "[\\r\\n]", " ").alias("text"))
+        part.repartition(2, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(f"{path}/c{number}")
+    spark.range(0, 0, 1, 1).select(F.col("id").cast("string")).write.text(f"{path}/c3")
+    read = corpus.read_corpora(spark, {f"corpus {i}": f"{path}/c{i}" for i in range(4)})
+    sizes = F.sum(F.length("text")).cast("bigint").alias("n_chars")
+    return read.groupBy("corpus_id").agg(F.count(F.lit(1)).alias("n_docs"), sizes)
+
+
+def label_files(spark, sf):
+    """Targets written as label files in shares of an image's size, read back and matched."""
+    path = fresh_path(spark, "labels")
+    boxes = events(spark, sf).where("event_id % 3 = 0").select(
+        F.format_string("img_%d", "user_id").alias("image"),
+        F.format_string("%d %.6f %.6f %.6f %.6f", F.col("event_id") % 5, *_label_numbers()).alias("value"),
+    )
+    boxes.repartition("image").write.partitionBy("image").text(path)
+    targets = images.read_detection_targets(spark, path, 416, name_col="image")
+    det = events(spark, sf).select(
+        F.format_string("img_%d", "user_id").alias("image_id"),
+        F.col("event_id").alias("det_id"),
+        (F.col("event_id") % 5).cast("int").alias("class_id"),
+        F.col("value").alias("score"),
+        *_label_corners(),
+    )
+    # Ids of targets are numbers of this reading: the claims are compared by detection alone.
+    matched = detection.match_detections(det, stage(targets, "label-targets"))
+    return matched.select("class_id", "det_id", F.col("tp").cast("bigint").alias("tp"))
+
+
+def _label_numbers():
+    """Centre and size of a box in shares of the image, all multiples of 1 / 1,600 and so exact in six decimals."""
+    i = F.col("event_id")
+    return [(400 + i * 37 % 800) / 1600.0, (400 + i * 53 % 800) / 1600.0, (160 + i % 11 * 16) / 1600.0, (160 + i % 13 * 16) / 1600.0]
+
+
+def _label_corners():
+    x, y, w, h = _label_numbers()
+    shift = (F.col("event_id") % 7) * 2.0
+    return [((x - w / 2) * 416 + shift).alias("x1"), ((y - h / 2) * 416).alias("y1"), ((x + w / 2) * 416 + shift).alias("x2"), ((y + h / 2) * 416).alias("y2")]
 
 
 QUERIES = {
@@ -72,6 +119,8 @@ QUERIES = {
     "labelled_table": labelled_table,
     "class_names_file": class_names_file,
     "document_files": document_files,
+    "whole_corpora": whole_corpora,
+    "label_files": label_files,
 }
 
 ORACLES = {
@@ -83,5 +132,18 @@ select lang corpus_id, count(*) n_words, count(distinct word) n_distinct from w
   embedding[len(embedding)] as "last" from embeddings""",
     "class_names_file": """select row_number() over (order by event_type) - 1 class_id, event_type class_name
 from (select distinct event_type from events)""",
-    "document_files": """select sum(len(string_split(text, chr(10))))::bigint n_lines from documents""",
+    "document_files": """select source, 'part.txt' as "name", sum(len(string_split(text, chr(10))))::bigint n_lines
+from documents group by source""",
+    "whole_corpora": """with d as (select doc_id % 3 c, hash(doc_id) h, length(text) + 1 n from documents)
+select 'corpus ' || c corpus_id, 2::bigint n_docs, sum(n)::bigint n_chars from d group by c
+union all select 'corpus 3', 1, 0""",
+    "label_files": """with base as (select event_id det_id, user_id img, (event_id % 5)::int cls, value score,
+  (400 + event_id * 37 % 800) / 1600.0::double x, (400 + event_id * 53 % 800) / 1600.0::double y,
+  (160 + event_id % 11 * 16) / 1600.0::double w, (160 + event_id % 13 * 16) / 1600.0::double h,
+  (event_id % 7) * 2.0::double d from events),
+pred as (select det_id, img, cls, score, (x - w / 2) * 416 + d x1, (y - h / 2) * 416 y1,
+  (x + w / 2) * 416 + d x2, (y + h / 2) * 416 y2 from base),
+gt as (select det_id gid, img, cls, (x - w / 2) * 416 gx1, (y - h / 2) * 416 gy1,
+  (x + w / 2) * 416 gx2, (y + h / 2) * 416 gy2 from base where det_id % 3 = 0)"""
+    + _PAIRS + " select cls class_id, det_id, tp from lab",
 }

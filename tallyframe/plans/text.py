@@ -10,7 +10,7 @@ from tallyframe.operators import relevance
 from tallyframe.plans.tables import documents
 from tallyframe.sinks import files as sinks
 from tallyframe.sources import corpus as sources
-from tallyframe.staging import fresh_path
+from tallyframe.staging import fresh_path, stage
 
 _LEGAL = r"""
 tok0 as (select doc_id, {extra} unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) w from documents),
@@ -178,6 +178,15 @@ def score_sinks_roundtrip(spark, sf):
     return _rounded(stored).join(lines, ["doc_id", "word"])
 
 
+def ordered_lines(spark, sf):
+    """Result lines written in one order over all files, and the position each has on reading back."""
+    path = fresh_path(spark, "ordered-lines")
+    scores = stage(relevance.tficf(documents(spark, sf)), "scores")
+    lines = scores.select("doc_id", "word", score_line("doc_id", "word", "tficf", decimals=6).alias("line"))
+    sinks.write_ordered(lines, path, "doc_id", "word")
+    return sinks.read_ordered(spark, path).select("position", "line")
+
+
 QUERIES = {
     "tficf_legal": tficf_legal,
     "tficf_raw": tficf_raw,
@@ -204,6 +213,7 @@ QUERIES = {
     "corpus_files_roundtrip": corpus_files_roundtrip,
     "corpus_whole_files": corpus_whole_files,
     "score_sinks_roundtrip": score_sinks_roundtrip,
+    "ordered_lines": ordered_lines,
 }
 
 _LANG = "with " + _LEGAL.format(extra="lang,") + """,
@@ -265,6 +275,9 @@ group by word, df, segment""",
 from documents""",
     "legal_words": "with " + _LEGAL_TOK + " select doc_id, word from tok",
     "corpus_files_roundtrip": _SOURCE_WC + "select doc_id, word, wc from wc",
+    "ordered_lines": _LEGAL_CTE
+    + """select row_number() over (order by doc_id, word) as position,
+  doc_id::varchar || '@' || word || chr(9) || printf('%.6f', s) line from score""",
     "score_sinks_roundtrip": _LEGAL_CTE
     + "select doc_id, word, round(s, 9) tficf, round(s, 9) line_tficf from score",
 }

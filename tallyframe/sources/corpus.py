@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.sources.listing import can_list, list_files, located
+
 
 def file_name() -> Column:
     """Name of the file a row comes from; the metadata column holds it URL-encoded."""
@@ -26,19 +30,33 @@ def _plain_path(encoded: Column) -> Column:
     return F.regexp_replace(decoded, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
 
-def _listed(spark: SparkSession, path: str) -> DataFrame:
-    """``(path)`` of every file, empty ones included.
+def _folder(path: Column) -> Column:
+    """A plain path without scheme and host, as a scan and a caller may spell them differently."""
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+
 
-    Scans skip empty files, so this takes the file index of a scan, which the
-    driver holds for any read of the folder.
+def _listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(path, size)`` of every file, empty ones included, listed in tasks.
+
+    In a store that only Spark opens, the names come from the file index that
+    the driver holds for any scan, and sizes from a scan of names.
     """
-    files = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "file string")
-    return files.select(_plain_path(F.col("file")).alias("path"))
+    if all(map(can_list, paths)):
+        return list_files(spark, list(paths)).select("path", "size")
+    paths = list(paths)
+    names = spark.createDataFrame([(f,) for f in spark.read.text(paths).inputFiles()], "file string")
+    filled = spark.read.format("binaryFile").load(paths).select(_plain_path(F.col("_metadata.file_path")).alias("path"), F.col("length").alias("size"))
+    listed = names.select(_plain_path(F.col("file")).alias("path")).join(filled, "path", "left")
+    return listed.select("path", F.coalesce("size", F.lit(0).cast("long")).alias("size"))
 
 
 def document_names(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id)``, one row per listed file, empty ones included; no text is read."""
-    return _listed(spark, path).select(F.substring_index("path", "/", -1).alias("doc_id"))
+    return _listed(spark, [path]).select(F.substring_index("path", "/", -1).alias("doc_id"))
+
+
+def _empty_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return _listed(spark, paths).where(F.col("size") == 0).select("path")
 
 
 def read_corpus(
@@ -49,17 +67,15 @@ def read_corpus(
     ``name_pattern`` keeps matching names only, such as ``^doc[0-9]+$``.
     ``doc_col`` names a partition folder column to use instead. A text scan
     skips files without content; they are documents too and come from the
-    listing by their whole path, so files of one name in two folders are two
-    rows.
+    listing, each as a row of its own, also under one name in two folders.
     """
     docs = _named(spark.read.text(path, wholetext=True), doc_col, name_pattern)
-    filled = spark.read.format("binaryFile").load(path).select(_plain_path(F.col("_metadata.file_path")).alias("path"))
-    empty = _listed(spark, path).join(filled, "path", "left_anti")
     if doc_col:
-        name = F.url_decode(F.regexp_extract("path", f"/{doc_col}=([^/]*)/", 1)).cast(docs.schema["doc_id"].dataType)
+        folder = F.url_decode(F.regexp_extract("path", f"/{doc_col}=([^/]*)/", 1))
+        name = folder.cast(docs.schema["doc_id"].dataType)
     else:
         name = F.substring_index("path", "/", -1)
-    named = empty.select(name.alias("doc_id"), F.lit("").alias("text"))
+    named = _empty_files(spark, [path]).select(name.alias("doc_id"), F.lit("").alias("text"))
     return docs.unionByName(_matching(named, name_pattern))
 
 
@@ -73,14 +89,33 @@ def read_corpus_lines(
     return _named(spark.read.text(path), doc_col, name_pattern)
 
 
+def _corpora_of(path: Column, paths: dict[str, str]) -> Column:
+    """The corpora whose folder holds a file; those of the deepest one where folders lie in each other."""
+    by_folder: dict[str, list[str]] = {}
+    for corpus, folder in paths.items():
+        by_folder.setdefault(located(folder).rstrip("/") + "/", []).append(corpus)
+    found = F.lit(None).cast("array<string>")
+    for folder in sorted(by_folder, key=len):
+        corpora = F.array(*map(F.lit, by_folder[folder]))
+        found = F.when(_folder(path).startswith(_folder(F.lit(folder))), corpora).otherwise(found)
+    return found
+
+
 def read_corpora(spark: SparkSession, paths: dict[str, str], lines: bool = False) -> DataFrame:
-    """``(corpus_id, doc_id, text)`` of several folders."""
-    read = read_corpus_lines if lines else read_corpus
-    corpora = [
-        read(spark, path).select(F.lit(corpus).alias("corpus_id"), "doc_id", "text")
-        for corpus, path in paths.items()
-    ]
-    combined = corpora[0]
-    for corpus in corpora[1:]:
-        combined = combined.unionByName(corpus)
-    return combined
+    """``(corpus_id, doc_id, text)`` of several folders in one scan.
+
+    Whole files need one listing besides, for all folders together, as empty
+    files are documents too. Files of a folder inside another belong to the deeper
+    one; a folder may be that of several corpora.
+    """
+    folders = list({located(folder): folder for folder in paths.values()}.values())
+    scanned = spark.read.text(folders, wholetext=not lines)
+    file = _plain_path(F.col("_metadata.file_path"))
+    docs = scanned.select(F.explode(_corpora_of(file, paths)).alias("corpus_id"), file_name().alias("doc_id"), F.col("value").alias("text"))
+    if lines:
+        return docs
+    name = F.substring_index("path", "/", -1)
+    empty = _empty_files(spark, folders).select(
+        F.explode(_corpora_of(F.col("path"), paths)).alias("corpus_id"), name.alias("doc_id"), F.lit("").alias("text")
+    )
+    return docs.unionByName(empty)

@@ -38,27 +38,33 @@ def read_class_names(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_targets(spark: SparkSession, path: str) -> DataFrame:
-    """``(image_id, class_id, x, y, w, h)`` from label files, one box per line."""
+def read_targets(spark: SparkSession, path: str, name_col: str | None = None) -> DataFrame:
+    """``(image_id, class_id, x, y, w, h)`` from label files, one box per line.
+
+    The image is the file's name without its ending, or a partition folder column.
+    """
+    name = F.col(name_col) if name_col else F.regexp_replace(file_name(), r"\.[^.]*$", "")
     fields = F.split(F.trim("value"), "\\s+")
     numbers = [fields[i].cast("double").alias(c) for i, c in enumerate(("x", "y", "w", "h"), start=1)]
     return (
         spark.read.text(path)
         .where(F.trim("value") != "")
         .select(
-            F.regexp_replace(file_name(), r"\.[^.]*$", "").alias("image_id"),
+            name.alias("image_id"),
             fields[0].cast("int").alias("class_id"),
             *numbers,
         )
     )
 
 
-def read_detection_targets(spark: SparkSession, path: str, size: float = 416) -> DataFrame:
+def read_detection_targets(
+    spark: SparkSession, path: str, size: float = 416, name_col: str | None = None
+) -> DataFrame:
     """``(image_id, gt_id, class_id, x1, y1, x2, y2)`` in pixels, as matching takes them.
 
     ``gt_id`` is unique and the same in every run over the same files.
     """
-    numbered = read_targets(spark, path).withColumn("gt_id", F.monotonically_increasing_id())
+    numbered = read_targets(spark, path, name_col).withColumn("gt_id", F.monotonically_increasing_id())
     corners = scale_boxes(xywh_to_xyxy(numbered), size)
     return corners.select("image_id", "gt_id", "class_id", "x1", "y1", "x2", "y2")
 

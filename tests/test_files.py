@@ -1,9 +1,10 @@
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators import latency, relevance, series
 from tallyframe.sinks import files as sinks
-from tallyframe.sources import corpus, images
+from tallyframe.sources import corpus, images, listing
 from tallyframe.staging import shared_dir, stage
 
 
@@ -125,3 +126,43 @@ def test_label_files_join_the_image_list(spark, tmp_path):
     rows = sorted((r.class_id, r.x1, r.y1, r.x2, r.y2) for r in joined.collect())
     assert rows == [(0, 0.0, 0.0, 50.0, 50.0), (2, 37.5, 25.0, 62.5, 75.0)]
     assert joined.select("gt_id").distinct().count() == 2
+
+
+def test_positions_are_those_of_the_order_on_reading_back(spark, tmp_path):
+    rows = [(i * 37 % 500, f"line {i}") for i in range(500)]
+    table = spark.createDataFrame(rows, "k long, line string").repartition(5)
+    sinks.write_ordered(table, str(tmp_path / "lines"), "k", files=4)
+    read = sinks.read_ordered(spark, str(tmp_path / "lines")).orderBy("position").collect()
+    assert [tuple(r) for r in read] == [(i + 1, *row) for i, row in enumerate(sorted(rows))]
+    assert len({f.name for f in (tmp_path / "lines").glob("part-*")}) > 1
+
+
+def test_files_are_listed_in_tasks(spark, tmp_path, monkeypatch):
+    for name, text in {"a/x=1/one.txt": "1", "a/two.txt": "", "b/k=_y/three.txt": "33", "a/_hidden/no.txt": "x", "a/.no": "x", "a/sub/no.txt": "x"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    monkeypatch.setattr(DataFrame, "inputFiles", None)
+    paths = [str(tmp_path / "a"), f"file:{tmp_path}/b"]
+    listed = listing.list_files(spark, paths).collect()
+    found = {(r["root"], r["path"].removeprefix(f"file://{tmp_path}/"), r["size"]) for r in listed}
+    assert found == {(paths[0], "a/x=1/one.txt", 1), (paths[0], "a/two.txt", 0), (paths[1], "b/k=_y/three.txt", 2)}
+    assert sorted(r["doc_id"] for r in corpus.document_names(spark, paths[0]).collect()) == ["one.txt", "two.txt"]
+
+
+@pytest.mark.parametrize("lines", [True, False])
+def test_corpora_are_one_scan(spark, tmp_path, lines):
+    texts = {"en/a.txt": "one\ntwo", "de/b.txt": "eins", "de/old/c.txt": "zwei", "fr/d.txt": "", "en/e f+g.txt": "three"}
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    paths = {c: str(tmp_path / c) for c in ("en", "de", "fr")} | {"old": str(tmp_path / "de" / "old"), "en too": str(tmp_path / "en")}
+    read = corpus.read_corpora(spark, paths, lines=lines)
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 1
+    expected = {("en", "a.txt", "one\ntwo"), ("de", "b.txt", "eins"), ("old", "c.txt", "zwei"), ("en", "e f+g.txt", "three")}
+    expected |= {("en too", d, t) for c, d, t in expected if c == "en"}
+    if lines:
+        expected = {(c, d, line) for c, d, t in expected for line in t.split("\n")}
+    else:
+        expected |= {("fr", "d.txt", "")}
+    assert {tuple(r) for r in read.collect()} == expected

@@ -1,5 +1,7 @@
+import hashlib
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
@@ -196,3 +198,46 @@ def test_speedup(spark):
     df = spark.createDataFrame([("serial", 10.0), ("two", 4.0), ("none", 0.0)], "variant string, seconds double")
     got = {r["variant"]: r["speedup"] for r in latency.speedup(df.withColumn("n", F.lit(1)), ["n"], "variant", "seconds", "serial").collect()}
     assert got == {"serial": 1.0, "two": 2.5, "none": None}
+
+
+def split_rows(n=400):
+    """Keys once, a key with different rows, and a third of all rows equal in every column."""
+    return [(i, i) for i in range(n // 3)] + [(-1, i) for i in range(n // 3)] + [(-2, 7)] * (n // 3)
+
+
+@pytest.mark.parametrize(("digits", "task_rows"), [(1, 3), (4, 100_000), (2, 1)])
+@pytest.mark.parametrize("fractions", [[0.5, 0.25, 0.25], [0.1] * 5, [1.0], [0.0, 0.7]])
+def test_split_refines_prefixes_and_stays_exact(spark, monkeypatch, digits, task_rows, fractions):
+    rows = split_rows()
+    table = spark.createDataFrame(rows, "k long, v long").repartition(4)
+    ranked, real = [], partition._selected
+
+    def watched(digests, places, *rest):
+        found = real(digests, places, *rest)
+        for place, (digest, n, rank) in zip(places, found):
+            below = digests.where(F.col("_digest") < digest).count()
+            assert 1 <= rank <= n and below + rank == place
+            ranked.append(n)
+        return found
+
+    monkeypatch.setattr(partition, "_selected", watched)
+    got = partition.seeded_split(table, "k", fractions, prefix_digits=digits, task_rows=task_rows).collect()
+    sizes = [int(f * len(rows)) for f in fractions]
+    assert [sum(r["part"] == i for r in got) for i in range(len(sizes))] == sizes
+    kept = Counter((r["k"], r["v"]) for r in got)
+    assert sum(kept.values()) == sum(sizes) and not kept - Counter(rows)
+    # Parts follow the seeded order of the keys.
+    order = {k: hashlib.md5(f"1234:{k}".encode()).hexdigest() for k, _ in rows}
+    by_key = sorted((order[r["k"]], r["part"]) for r in got)
+    assert [p for _, p in by_key] == sorted(p for _, p in by_key)
+
+
+def test_split_counts_prefixes_until_few_share_one(spark):
+    digests = spark.range(3_000).select(F.concat(F.md5(F.col("id").cast("string")), F.lit("0" * 16)).alias("_digest"))
+    every = sorted(r["_digest"] for r in digests.collect())
+    found = partition._selected(digests, [1, 1_500, 2_999], 1, 10)
+    assert found == [(every[p - 1], 1, 1) for p in (1, 1_500, 2_999)]
+
+
+def test_split_of_no_rows(spark):
+    assert partition.seeded_split(spark.createDataFrame([], "k long"), "k", [0.5, 0.5]).collect() == []
