@@ -113,8 +113,7 @@ def central_difference(
     ``boundary='ghost'`` evaluates ``f`` one step beyond it.
     """
     order = [x, *tie]
-    blocked = ordered.with_blocks(df, keys, order, **blocking)
-    near = ordered.with_neighbours(blocked, keys, order, [x, y])
+    near = ordered.block_scan(df, keys, order, [x, y], **blocking)
     px, py, nx, ny = (F.col(f"{side}_{c}") for side in ("prev", "next") for c in (x, y))
     cx, cy = F.col(x), F.col(y)
     if boundary == "ghost":
@@ -148,15 +147,11 @@ def cumulative_integral(
 
     ``first`` is the area credited to the first point of a key, 0 by default.
     """
-    order = [x, *tie]
-    blocked = ordered.with_blocks(df, keys, order, **blocking)
-    near = ordered.with_neighbours(blocked, keys, order, [x, y])
-    cell = (F.col(y) + F.col(f"prev_{y}")) / 2 * (F.col(x) - F.col(f"prev_{x}"))
-    start = F.lit(0.0) if first is None else first
-    cells = near.withColumn(
-        "_area", F.when(F.col(f"prev_{x}").isNull(), start).otherwise(cell)
-    )
-    total = ordered.with_running(cells, keys, order, sums={"integral": "_area"})
+    def trapezoid(before: ordered.Values, here: ordered.Values) -> Column:
+        return (here(y) + before(y)) / 2 * (here(x) - before(x))
+
+    cells = ordered.Cells("integral", trapezoid, F.lit(0.0) if first is None else first)
+    total = ordered.block_scan(df, keys, [x, *tie], [x, y], cells, **blocking)
     return total.select(*df.columns, "integral")
 
 
@@ -165,8 +160,7 @@ def neighbour_values(
 ) -> DataFrame:
     """Add the values and the steps to both neighbours."""
     order = [x, *tie]
-    blocked = ordered.with_blocks(df, keys, order, **blocking)
-    near = ordered.with_neighbours(blocked, keys, order, [x, y])
+    near = ordered.block_scan(df, keys, order, [x, y], **blocking)
     return near.select(
         *df.columns,
         f"prev_{y}",
@@ -179,7 +173,4 @@ def exclusive_offsets(
     df: DataFrame, order: Sequence[str], count: str, keys: Sequence[str] = (), **blocking
 ) -> DataFrame:
     """Add ``offset``: the sum of ``count`` over all earlier rows."""
-    blocked = ordered.with_blocks(df, keys, order, **blocking)
-    return ordered.without_blocks(
-        ordered.with_running(blocked, keys, order, sums={"offset": count}, exclusive=True)
-    )
+    return ordered.block_scan(df, keys, order, sums={"offset": count}, exclusive=True, **blocking)

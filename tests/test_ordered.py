@@ -241,3 +241,32 @@ def test_split_counts_prefixes_until_few_share_one(spark):
 
 def test_split_of_no_rows(spark):
     assert partition.seeded_split(spark.createDataFrame([], "k long"), "k", [0.5, 0.5]).collect() == []
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_a_long_series_is_read_once_and_its_blocks_twice(spark, skewed, monkeypatch, keys):
+    seen, staged, real = spark.sparkContext.accumulator(0), [], ordered.stage
+
+    def watched(df, label, *rest):
+        table = real(df, label, *rest)
+        staged.append((label, table.inputFiles()[0].rsplit("/", 2)[1] if label == "blocks" else None))
+        return table
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(ordered, "stage", watched)
+    rows, source = skewed.count(), skewed.mapInArrow(counted, skewed.schema)
+    for operator in (series.neighbour_values, series.cumulative_integral):
+        before = seen.value
+        staged.clear()
+        got = operator(source, keys, "x", "v", tie=["id"], **TINY)
+        got.collect()
+        assert seen.value - before == rows
+        folder = [name for label, name in staged if label == "blocks"]
+        assert len(folder) == 1
+        leaves = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(got._jdf.queryExecution().optimizedPlan().collectLeaves())
+        files = [leaf for leaf in leaves if folder[0] in leaf.relation().location().rootPaths().toString()]
+        assert len(files) == len(leaves) == 2
