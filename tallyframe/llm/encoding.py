@@ -32,7 +32,7 @@ _WORDS = regex.compile(
 # which profits from words that repeat in a slice.
 SLICE_BYTES = 2 << 20
 ENCODED_SLICE_BYTES = 4 << 20
-MAX_CACHED_WORDS = 200_000
+MAX_CACHED_WORDS = 400_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -86,6 +86,18 @@ class WordEncoder:
         self._starts = np.zeros(1, np.int64)
         self._lengths = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint32)
+        self._uses = np.zeros(1, np.int64)
+
+    def _forget(self) -> None:
+        """Drop the words used least, down to half the table; uses of long ago count half."""
+        rare_first = np.argsort(self._uses[1:], kind="stable") + 1
+        kept = np.sort(np.concatenate([[0], rare_first[len(rare_first) - self._max_cached // 2 :]]))
+        words = list(self._slots)
+        self._slots = _Slots()
+        self._slots.update((words[slot], i) for i, slot in enumerate(kept.tolist()))
+        self._ids, bounds = _gather(self._ids, self._starts[kept], self._lengths[kept])
+        self._starts, self._lengths = bounds[:-1], self._lengths[kept]
+        self._uses = self._uses[kept] // 2
 
     def _learn(self) -> None:
         encoded = [self._model_ids(w) for w in self._slots.new]
@@ -95,6 +107,7 @@ class WordEncoder:
         self._lengths = np.concatenate([self._lengths, lengths])
         self._ids = np.concatenate([self._ids, ids])
         self._starts = np.cumsum(self._lengths) - self._lengths
+        self._uses = np.concatenate([self._uses, np.zeros(len(lengths), np.int64)])
 
     def _encode_regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         chunks = pc.split_pattern(pc.replace_substring(texts, " ", "\x00 "), "\x00")
@@ -103,9 +116,10 @@ class WordEncoder:
         # A tab stands between two chunks; it is a word of its own and in no regular text.
         words = _WORDS.findall("\t".join(coded.dictionary.to_pylist()) + "\t")
         if len(self._slots) > self._max_cached:
-            self._clear()
+            self._forget()
         slots = np.fromiter(map(self._slots.__getitem__, words), np.int64, len(words))
         self._learn()
+        self._uses += np.bincount(slots, minlength=len(self._uses))
         closing = np.flatnonzero(slots == self._separator)
         chunk_ids, bounds = _gather(self._ids, self._starts[slots], self._lengths[slots])
         chunk_bounds = np.concatenate([[0], bounds[closing + 1]])

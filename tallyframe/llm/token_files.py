@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,13 +90,13 @@ def _slots(counts: np.ndarray) -> np.ndarray:
     return -(-counts // 4) * 4
 
 
-def _coded(encoded: DataFrame, ids_by_rank: np.ndarray, id_col: str) -> DataFrame:
-    """``(id_col, n_tokens, control, data)`` per document."""
+def _coded(encoded: DataFrame, ids_by_rank: np.ndarray, id_col: str, limits: list[int]) -> DataFrame:
+    """``(id_col, n_tokens, control, data, shard)`` per document; a shard is a range of ids, nulls in the first."""
     sc = encoded.sparkSession.sparkContext
-    shared = sc.broadcast(ids_by_rank)
+    shared = sc.broadcast((ids_by_rank, np.array(limits, np.int64)))
 
     def run(batches):
-        by_rank = shared.value
+        by_rank, limits = shared.value
         ranks = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
         ranks[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
         for batch in batches:
@@ -108,16 +109,31 @@ def _coded(encoded: DataFrame, ids_by_rank: np.ndarray, id_col: str) -> DataFram
             ]
             control, data, bounds = encode_values(values)
             rows = np.concatenate([[0], ends])
+            ids = pc.fill_null(batch[id_col], np.iinfo(np.int64).min).to_numpy()
+            shard = pa.array(np.searchsorted(limits, ids).astype(np.int32))
+            coded = [binary_rows(control, rows // 4), binary_rows(data, bounds[rows])]
             yield pa.RecordBatch.from_arrays(
-                [batch[id_col], batch["n_tokens"], binary_rows(control, rows // 4), binary_rows(data, bounds[rows])],
-                names=[id_col, "n_tokens", "control", "data"],
+                [batch[id_col], batch["n_tokens"], *coded, shard], names=[id_col, "n_tokens", "control", "data", "shard"]
             )
 
     return encoded.where("counts is null").select(id_col, "n_tokens", "ids").mapInArrow(
-        run, f"`{id_col}` long, n_tokens long, control binary, data binary"
+        run, f"`{id_col}` long, n_tokens long, control binary, data binary, shard int"
     )
 
 
+def _shard_limits(encoded: DataFrame, id_col: str, shards: int) -> list[int]:
+    """The greatest ids of all shards but the last.
+
+    Quantiles of the staged ids, a scan of one column, so that rows are not coded
+    a first time to take a sample of them.
+    """
+    shares = [i / shards for i in range(1, shards)]
+    if not shares:
+        return []
+    ids = encoded.where("n_tokens is not null").select(F.col(id_col).cast("long").alias("id"))
+    return ids.agg(F.percentile_approx("id", shares, 100 * shards)).first()[0] or []
+
+
 def _payload(rows: list[tuple], first: int) -> tuple[int, bytes]:
     keys, counts, control, data = zip(*rows, strict=True)
     ids = np.array([0 if k is None else k for k in keys], "<i8")
@@ -175,8 +191,9 @@ def write_token_files(
         compression="zstd",
     )
     ids_by_rank = frequency_ranks(encoded)
-    coded = _coded(encoded, ids_by_rank, id_col)
-    ordered = coded.repartitionByRange(id_col).sortWithinPartitions(id_col, "control", "data")
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    coded = _coded(encoded, ids_by_rank, id_col, _shard_limits(encoded, id_col, shards))
+    ordered = coded.repartitionById(shards, F.col("shard")).drop("shard").sortWithinPartitions(id_col, "control", "data")
     _blocks(ordered, block_tokens).write.option("compression", "zstd").parquet(f"{path}/blocks")
     ranks = spark.createDataFrame([(bytes(ids_by_rank.astype("<u4").tobytes()),)], "ids_by_rank binary")
     ranks.write.parquet(f"{path}/ranks")
