@@ -31,8 +31,8 @@ _WORDS = regex.compile(
 # Text that a worker holds in columns of words at once; more for the tokenizer,
 # which profits from words that repeat in a slice.
 SLICE_BYTES = 2 << 20
-ENCODED_SLICE_BYTES = 4 << 20
-MAX_CACHED_WORDS = 400_000
+ENCODED_SLICE_BYTES = 8 << 20
+MAX_CACHED_WORDS = 1_000_000
 
 
 def _byte_alphabet() -> list[str]:
