@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 from uuid import uuid4
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,7 +39,24 @@ def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFram
     path = fresh_path(df.sparkSession, label)
     writer = df.write.option("compression", compression) if compression else df.write
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[staged] = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the files of staged tables.
+
+    Only for tables that no plan still to run reads: whatever was derived from
+    them must be staged itself, or be dropped. Frames that ``stage`` did not
+    return, and tables already released, are left alone.
+    """
+    for frame in staged:
+        path = _paths.pop(frame, None)
+        if path:
+            spark = frame.sparkSession
+            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 MAX_BROADCAST_ROWS = 200_000
