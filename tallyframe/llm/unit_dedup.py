@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm.encoding import by_size
 from tallyframe.llm.words import Words, mixed, word_hash
-from tallyframe.staging import stage
+from tallyframe.staging import release, stage
 
 PIECE_WORDS = 7
 MIN_WORDS = 20
@@ -206,12 +206,13 @@ def remove_repeats(
     document: each is treated alike. Null ids rank last and are otherwise
     ordinary; a null text stays null, an empty one empty, with empty lists;
     an empty table gives no rows. Columns named like the added ones are not
-    allowed. Runs a job: units (no texts) are staged once.
+    allowed. Runs jobs: units (no texts) are staged until the repeated ones are.
     """
     if unit not in ("piece", "line", "paragraph"):
         raise ValueError(f"unit must be 'piece', 'line' or 'paragraph', not {unit!r}")
     units = stage(document_units(_keyed(docs, id_col, text_col), unit, piece_words), "units")
-    repeats = repeated_units(units)
+    repeats = stage(repeated_units(units), "unit-repeats")
+    release(units)
     rows = docs.withColumn("_key_hash", F.xxhash64(F.col(text_col)))
     found = repeats.select(F.col("_id").alias("_repeat_id"), F.col("_text_hash").alias("_repeat_hash"), "ordinals")
     joined = rows.join(
