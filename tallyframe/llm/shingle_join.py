@@ -404,7 +404,7 @@ def jaccard_components(
     id_col: str = "doc_id",
     text_col: str = "text",
     like: Similarity = Similarity(),
-    pairs_per_row: int = 4,
+    pairs_per_row: int = 0,
     max_stars: int = 1,
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` of every row of ``docs``.
@@ -414,6 +414,7 @@ def jaccard_components(
     drawn while the pairs left to compare are more than ``pairs_per_row`` per
     bucket row and stars find links, ``max_stars`` times at most; then all pairs
     left are compared. That bounds the number of rounds only: no pair is left out.
+    With the defaults one star is drawn whatever the size of the input.
 
     One row per row of ``docs``; repeated rows have one set and one component.
     Of several texts under one id each row keeps its own set. A null, empty or
