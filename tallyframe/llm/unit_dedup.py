@@ -2,11 +2,12 @@
 
 A unit is a paragraph, a line, or a piece. Pieces are cut at words whose hash is
 a local minimum, hence a passage is cut alike wherever it stands, also in the
-middle of a line, and at line feeds, hence a line is found between any others.
-What lies between two minima is a unit with its line feeds, too, hence a passage
-is found however its lines are wrapped. Units are normalised and hashed, hashes
-are grouped over all documents, the earliest ranked occurrence is kept, and runs
-of repeated units that are long enough are taken out of the text.
+middle of a line. Texts are cut into pieces twice. Once line feeds do not
+matter, hence a passage is found however its lines are wrapped. Once every line
+is cut by itself, hence the pieces of a line do not depend on the lines around
+it, and a line is found between any others. Units are normalised and hashed,
+hashes are grouped over all documents, the earliest ranked occurrence is kept,
+and runs of repeated words that are long enough are taken out of the text.
 """
 
 from __future__ import annotations
@@ -32,22 +33,31 @@ def _local_minima(hashes: np.ndarray, documents: np.ndarray, reach: int) -> np.n
     """Words whose hash, with the word before, is the least among ``reach`` neighbours on both sides.
 
     Cuts are ``2 * reach + 1`` words apart on average, never nearer than
-    ``reach + 1``, and depend on ``reach + 1`` words around them only.
+    ``reach + 1``, depend on ``reach + 1`` words around them only, and are not
+    where the text has fewer on a side.
     """
-    most = np.uint64(0xFFFFFFFFFFFFFFFF)
-    pairs = mixed(hashes * np.uint64(3) + _shifted(hashes, documents, -1, np.uint64(0)))
+    none = np.uint64(0)
+    pairs = mixed(hashes * np.uint64(3) + _shifted(hashes, documents, -1, none))
     least = np.ones(len(hashes), bool)
     for step in range(1, reach + 1):
-        least &= pairs < _shifted(pairs, documents, -step, most)
-        least &= pairs <= _shifted(pairs, documents, step, most)
-    return least
+        least &= pairs < _shifted(pairs, documents, -step, none)
+        least &= pairs <= _shifted(pairs, documents, step, none)
+    return least & _inside(documents, reach)
 
 
-def _shifted(values: np.ndarray, documents: np.ndarray, step: int, outside: np.uint64) -> np.ndarray:
-    """The value ``step`` words on in the same text, else ``outside``."""
+def _inside(groups: np.ndarray, reach: int) -> np.ndarray:
+    """Words whose hashes, of two words each, within ``reach`` are of their group alone."""
+    ones = np.ones(len(groups), np.uint64)
+    ahead = _shifted(ones, groups, reach, np.uint64(0)) if reach else ones
+    behind = _shifted(ones, groups, -reach - 1, np.uint64(0))
+    return (ahead & behind) > 0
+
+
+def _shifted(values: np.ndarray, groups: np.ndarray, step: int, outside: np.uint64) -> np.ndarray:
+    """The value ``step`` words on in the same group (groups do not interleave), else ``outside``."""
     out = np.full(len(values), outside)
     ahead, here = (slice(step, None), slice(None, -step)) if step > 0 else (slice(None, step), slice(-step, None))
-    out[here] = np.where(documents[ahead] == documents[here], values[ahead], outside)
+    out[here] = np.where(groups[ahead] == groups[here], values[ahead], outside)
     return out
 
 
@@ -58,12 +68,13 @@ def _runs(cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digests(hashes: np.ndarray, first: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-    """Hashes of runs that cover all words."""
+    """Hashes of runs of words, which may overlap."""
     if not len(first):
         return hashes[:0]
-    place = np.arange(len(hashes)) - np.repeat(first, n_words)
+    ends = np.cumsum(n_words)
+    place = np.arange(ends[-1]) - np.repeat(ends - n_words, n_words)
     powers = np.cumprod(np.full(int(n_words.max()) + 1, _FACTOR))
-    return mixed(np.add.reduceat(hashes * powers[place], first))
+    return mixed(np.add.reduceat(hashes[np.repeat(first, n_words) + place] * powers[place], ends - n_words))
 
 
 def _plain(word: str) -> str:
@@ -71,39 +82,37 @@ def _plain(word: str) -> str:
 
 
 class Units:
-    """Units of a batch of texts, with code point offsets in their texts."""
+    """Units of a batch of texts, by their first words, as runs of words with code point offsets in their texts."""
 
     def __init__(self, texts: pa.Array, unit: str, piece_words: int):
         texts = pc.fill_null(texts, "")
         words = Words(texts, lower=False)
         hashes = words.mapped(lambda w: word_hash(_plain(w)), np.uint64)
         documents = words.documents()
-        n = len(hashes)
-        starts, ends, breaks = self._places(texts, documents)
-        if unit == "paragraph":
-            cut = breaks >= 2
-        else:
-            cut = breaks >= 1
-        text_end = np.concatenate([documents[1:] != documents[:-1], [True]]) if n else cut
-        unwrapped = text_end
-        if unit == "piece" and n:
-            unwrapped = text_end | _local_minima(hashes, documents, (piece_words - 1) // 2)
-            cut |= unwrapped
-        first, last = _runs(cut | text_end)
-        self.document = documents[first]
-        self.start, self.end, self.start_words = starts[first], ends[last], first
+        self.word_bounds = words.bounds
+        self.starts, self.ends, breaks = self._places(texts, documents)
+        text_end = np.ones(len(hashes), bool)
+        text_end[:-1] = documents[1:] != documents[:-1]
+        cut = text_end | (breaks >= (2 if unit == "paragraph" else 1))
+        first, last = _runs(cut)
+        if unit == "piece":
+            reach = (piece_words - 1) // 2
+            minima = _local_minima(hashes, documents, reach)
+            lines = np.cumsum(cut) - cut
+            first, last = self._either(_runs(cut | (minima & _inside(lines, reach))), _runs(text_end | minima))
+        self.first, self.last = first, last
         self.n_words = last - first + 1
-        self.digest = _digests(hashes, first, self.n_words)
+        self.document = documents[first]
         # Units of each text, as bounds in the arrays above.
         self.bounds = np.searchsorted(self.document, np.arange(len(texts) + 1))
-        # Of a unit that line feeds cut apart: its parts, as bounds in the arrays above.
-        first, last = _runs(unwrapped) if unit == "piece" else (first[:0], last[:0])
-        at = np.searchsorted(self.start_words, first)
-        to = np.concatenate([at[1:], [len(self.start_words)]]) if len(at) else at
-        apart = to - at > 1
-        self.joined, self.joined_to = at[apart], to[apart]
-        self.joined_words = (last - first + 1)[apart]
-        self.joined_digest = _digests(hashes, first, last - first + 1)[apart]
+        self.digest = _digests(hashes, first, self.n_words)
+
+    @staticmethod
+    def _either(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Runs of both kinds, equal ones once."""
+        wide = len(a[0]) and int(a[1][-1]) + 1
+        both = np.unique(np.concatenate([a[0] * wide + a[1], b[0] * wide + b[1]]))
+        return both // max(wide, 1), both % max(wide, 1)
 
     @staticmethod
     def _places(texts: pa.Array, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,11 +141,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def document_units(keyed: DataFrame, unit: str, piece_words: int) -> DataFrame:
-    """``(_id, _text_hash, digest, n_words, ordinal)``, a row per unit.
-
-    ``ordinal`` is twice the unit's number in its text; of a unit that line
-    feeds cut apart it is one more than that of its first part.
-    """
+    """``(_id, _text_hash, digest, n_words, ordinal)``, a row per unit; ``ordinal`` is its number in its text."""
     schema = T.StructType(
         [
             keyed.schema["_id"],
@@ -152,16 +157,13 @@ def document_units(keyed: DataFrame, unit: str, piece_words: int) -> DataFrame:
         for batch in batches:
             for part in by_size(batch, "_text"):
                 units = Units(part["_text"], unit, piece_words)
-                at = np.concatenate([np.arange(len(units.document)), units.joined])
-                document = units.document[at]
-                rows = pa.array(document)
-                ordinal = 2 * (at - units.bounds[document])
-                ordinal[len(units.document) :] += 1
+                rows = pa.array(units.document)
+                ordinal = np.arange(len(units.document)) - units.bounds[units.document]
                 columns = [
                     part["_id"].take(rows),
                     part["_text_hash"].take(rows),
-                    pa.array(np.concatenate([units.digest, units.joined_digest]).view(np.int64)),
-                    pa.array(np.concatenate([units.n_words, units.joined_words]).astype(np.int32)),
+                    pa.array(units.digest.view(np.int64)),
+                    pa.array(units.n_words.astype(np.int32)),
                     pa.array(ordinal.astype(np.int32)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -186,6 +188,13 @@ def repeated_units(units: DataFrame) -> DataFrame:
     return later.groupBy("_id", "_text_hash").agg(F.sort_array(F.collect_set("ordinal")).alias("ordinals"))
 
 
+def _fresh(name: str, taken: list[str]) -> str:
+    """The name, behind as many underscores as it takes to be new."""
+    while name.lower() in (t.lower() for t in taken):
+        name = f"_{name}"
+    return name
+
+
 def remove_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -198,37 +207,45 @@ def remove_repeats(
 
     ``unit`` is ``piece``, ``line`` or ``paragraph``; line feeds inside a
     passage of pieces may differ from place to place. A run is a sequence of
-    units that each stand earlier in the corpus (by id, then place), and is
-    removed from ``min_words`` words on. Two columns are added: ``removed`` and
-    ``kept``, lists of ``(start, end)`` code point offsets in the original text.
+    words of units that each stand earlier in the corpus (by id, then place),
+    and is removed from ``min_words`` words on; a whole line of so many words
+    that stands earlier as a line is always found. Two columns are added last:
+    ``removed`` and ``kept``, lists of ``(start, end)`` code point offsets in
+    the original text.
 
     All rows and columns are returned. Rows equal in id and text are one
     document: each is treated alike. Null ids rank last and are otherwise
     ordinary; a null text stays null, an empty one empty, with empty lists;
-    an empty table gives no rows. Columns named like the added ones are not
-    allowed. Runs jobs: units (no texts) are staged until the repeated ones are.
+    an empty table gives no rows. Other columns may have any names: where one
+    is called like an added column, it stays and the added one has underscores
+    put in front. Runs jobs: units (no texts) are staged until the repeated
+    ones are.
     """
     if unit not in ("piece", "line", "paragraph"):
         raise ValueError(f"unit must be 'piece', 'line' or 'paragraph', not {unit!r}")
-    units = stage(document_units(_keyed(docs, id_col, text_col), unit, piece_words), "units")
+    names = [f"_column{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    id_, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    units = stage(document_units(_keyed(rows, id_, text), unit, piece_words), "units")
     repeats = stage(repeated_units(units), "unit-repeats")
     release(units)
-    rows = docs.withColumn("_key_hash", F.xxhash64(F.col(text_col)))
     found = repeats.select(F.col("_id").alias("_repeat_id"), F.col("_text_hash").alias("_repeat_hash"), "ordinals")
-    joined = rows.join(
-        found,
-        (rows["_key_hash"] == found["_repeat_hash"]) & rows[id_col].eqNullSafe(found["_repeat_id"]),
-        "left",
-    ).drop("_key_hash", "_repeat_id", "_repeat_hash")
+    same = F.col("_key_hash") == F.col("_repeat_hash")
+    joined = (
+        rows.withColumn("_key_hash", F.xxhash64(F.col(text)))
+        .join(found, same & F.col(id_).eqNullSafe(F.col("_repeat_id")), "left")
+        .select(*names, "ordinals")
+    )
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-    schema = T.StructType([*docs.schema.fields, T.StructField("removed", span), T.StructField("kept", span)])
+    schema = T.StructType([*rows.schema.fields, T.StructField("removed", span), T.StructField("kept", span)])
 
     def cut(batches):
         for batch in batches:
-            for part in by_size(batch, text_col):
-                yield _cut(part, text_col, unit, min_words, piece_words)
+            for part in by_size(batch, text):
+                yield _cut(part, text, unit, min_words, piece_words)
 
-    return joined.mapInArrow(cut, schema)
+    added = [_fresh(name, docs.columns) for name in ("removed", "kept")]
+    return joined.mapInArrow(cut, schema).toDF(*docs.columns, *added)
 
 
 def _cut(part: pa.RecordBatch, text_col: str, unit: str, min_words: int, piece_words: int) -> pa.RecordBatch:
@@ -239,19 +256,20 @@ def _cut(part: pa.RecordBatch, text_col: str, unit: str, min_words: int, piece_w
     kept = [[{"start": 0, "end": len(t)}] if t else [] for t in texts]
     units = Units(part[text_col].take(pa.array(touched)), unit, piece_words) if len(touched) else None
     for i, row in enumerate(touched.tolist()):
-        first, last = units.bounds[i], units.bounds[i + 1]
-        gone = np.zeros(last - first + 2, bool)
-        ordinals = np.array(repeated[row].as_py())
-        gone[ordinals[ordinals % 2 == 0] // 2 + 1] = True
-        for joined in np.searchsorted(units.joined, first + ordinals[ordinals % 2 == 1] // 2).tolist():
-            gone[units.joined[joined] - first + 1 : units.joined_to[joined] - first + 1] = True
+        word, end_word = units.word_bounds[i], units.word_bounds[i + 1]
+        at = units.bounds[i] + np.array(repeated[row].as_py())
+        # Words of repeated units: +1 where a unit begins, -1 behind it, a word of room on both sides.
+        depth = np.zeros(end_word - word + 2, np.int64)
+        np.add.at(depth, units.first[at] - word + 1, 1)
+        np.add.at(depth, units.last[at] - word + 2, -1)
+        gone = np.cumsum(depth) > 0
         edges = np.flatnonzero(gone[1:] != gone[:-1])
         text, at, spans = texts[row], 0, []
-        for begin, end in zip(edges[::2], edges[1::2], strict=True):
-            if units.n_words[first + begin : first + end].sum() < min_words:
+        for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            if end - begin < min_words:
                 continue
-            start = int(units.start[first + begin])
-            stop = int(units.start[first + end]) if first + end < last else len(text)
+            start = int(units.starts[word + begin])
+            stop = int(units.starts[word + end]) if word + end < end_word else len(text)
             removed[row].append({"start": start, "end": stop})
             if start > at:
                 spans.append({"start": at, "end": start})
