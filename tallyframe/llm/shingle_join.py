@@ -76,7 +76,8 @@ def shingle_hashes(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.diff(words.bounds)
     rolled = np.zeros(len(hashes), np.uint64)
     for k in range(size):
-        rolled[: len(hashes) - k] = rolled[: len(hashes) - k] * _FACTOR + hashes[k:]
+        full = max(0, len(hashes) - k)
+        rolled[:full] = rolled[:full] * _FACTOR + hashes[k:]
     starts = np.maximum(counts - size + 1, 0)
     whole = np.arange(len(hashes)) - np.repeat(words.bounds[:-1], counts) < np.repeat(starts, counts)
     short = (counts > 0) & (counts < size)

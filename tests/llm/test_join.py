@@ -152,3 +152,12 @@ def test_pruning_asks_for_no_more_than_any_partner(spark, like):
     asked = ranges.withColumn("asked", bound).toPandas()
     least = [needed[n, low : high + 1].min() for n, low, high in zip(asked.n, asked.low, asked.high)]
     assert (asked.asked.to_numpy() <= np.array(least)).all()
+
+
+def test_batches_of_few_words(spark):
+    texts = pa.array(["a b", None, ""])
+    hashes, bounds = shingle_join.shingle_hashes(texts, 5)
+    assert len(hashes) == 1 and bounds.tolist() == [0, 1, 1, 1]
+    docs = spark.createDataFrame([(2, "a b"), (1, "A b"), (3, "b"), (4, None)], "doc_id long, text string")
+    found = shingle_join.jaccard_components(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == [(1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 0, 4)]
