@@ -24,6 +24,7 @@ MIN_MATCH = 5
 MIN_COVERAGE = 0.5
 FIRST_LENGTH = 20
 BLOCK_BYTES = 32 << 20
+SEED_PLACES = 4_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _TILE = T.StructType([T.StructField(n, T.IntegerType()) for n in ("item_start", "doc_start", "length")])
 
@@ -110,6 +111,11 @@ def tile(item: np.ndarray, text: np.ndarray, min_match: int = MIN_MATCH) -> list
         size = max(min_match, size // 2)
 
 
+def _words(texts: pa.Array) -> Words:
+    """Words of items and of documents alike: between Unicode blanks."""
+    return Words(texts, lower=False, unicode_blanks=True)
+
+
 class SeedIndex:
     """Seeds of a block of items: hashed windows of ``min_match`` words and where they stand."""
 
@@ -117,10 +123,9 @@ class SeedIndex:
         self.min_match = min_match
         self.vocabulary: dict[str, int] = {}
         self.keys = [key for key, _ in items]
-        self.tokens = [
-            np.array([self._number(w) for w in map(plain_word, (text or "").split()) if w], np.int64)
-            for _, text in items
-        ]
+        words = _words(pa.array([text for _, text in items], pa.string()))
+        numbers = words.mapped(lambda w: self._number(p) if (p := plain_word(w)) else 0, np.int64)
+        self.tokens = [own[own > 0] for own in np.split(numbers, words.bounds[1:-1])]
         owners, places, hashes = [], [], []
         for n, tokens in enumerate(self.tokens):
             if len(tokens) >= min_match:
@@ -139,8 +144,8 @@ class SeedIndex:
         return self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
 
     def seeds(self, tokens: np.ndarray) -> np.ndarray:
-        size = len(tokens) - self.min_match + 1
-        out = np.zeros(max(0, size), np.uint64)
+        size = max(0, len(tokens) - self.min_match + 1)
+        out = np.zeros(size, np.uint64)
         for k in range(self.min_match):
             out *= _FACTOR
             out += tokens[k : k + size].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -156,26 +161,50 @@ class SeedIndex:
         inside &= document[:size] == document[len(document) - size :]
         at = np.flatnonzero(inside)
         hashes = self.seeds(tokens)[at]
+        # A seed counts once per text, so what it stands for is met once.
+        order = np.lexsort((hashes, document[at]))
+        texts, hashes = document[at][order], hashes[order]
+        fresh = np.ones(len(texts), bool)
+        fresh[1:] = (texts[1:] != texts[:-1]) | (hashes[1:] != hashes[:-1])
+        texts, hashes = texts[fresh], hashes[fresh]
         low, high = np.searchsorted(self.hashes, hashes, "left"), np.searchsorted(self.hashes, hashes, "right")
         met = np.flatnonzero(high > low)
-        counts = (high - low)[met]
+        texts, low, counts = texts[met], low[met], (high - low)[met]
+        # Whole texts in shares of about as many places of seeds; one text meets a place of an item once.
+        share = np.cumsum(counts) // SEED_PLACES
+        share = share[np.searchsorted(texts, texts, "right") - 1]
+        for part in np.split(np.arange(len(texts)), np.flatnonzero(share[1:] != share[:-1]) + 1):
+            if len(part):
+                yield from self._covered(texts[part], low[part], counts[part], min_coverage)
+
+    def _covered(
+        self, texts: np.ndarray, low: np.ndarray, counts: np.ndarray, min_coverage: float
+    ) -> Iterator[tuple[int, int]]:
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        entries = np.repeat(low[met], counts) + within
-        found = np.unique(
-            np.stack([np.repeat(document[at[met]], counts), self.owners[entries], self.places[entries]]), axis=1
-        )
-        if not found.shape[1]:
-            return
+        entries = np.repeat(low, counts) + within
+        texts, owners, places = np.repeat(texts, counts), self.owners[entries], self.places[entries]
+        order = np.lexsort((places, owners, texts))
+        texts, owners, places = texts[order], owners[order], places[order]
         # Item words under any seed: the most that tiles can cover.
-        same = (found[0, 1:] == found[0, :-1]) & (found[1, 1:] == found[1, :-1])
-        step = np.minimum(self.min_match, found[2, 1:] - found[2, :-1])
+        same = (texts[1:] == texts[:-1]) & (owners[1:] == owners[:-1])
+        step = np.minimum(self.min_match, places[1:] - places[:-1])
         covered = np.concatenate([[self.min_match], np.where(same, step, self.min_match)])
         first = np.flatnonzero(np.concatenate([[True], ~same]))
         total = np.add.reduceat(covered, first)
         for n, k in enumerate(first.tolist()):
-            item = int(found[1, k])
+            item = int(owners[k])
             if total[n] >= min_coverage * len(self.tokens[item]):
-                yield int(found[0, k]), item
+                yield int(texts[k]), item
+
+
+#: The block of items a worker met last, and its index: tasks of one worker share it.
+_latest: list = []
+
+
+def _index_of(items: list[tuple], min_match: int) -> SeedIndex:
+    if not (_latest and _latest[0] is items and _latest[1].min_match == min_match):
+        _latest[:] = [items, SeedIndex(items, min_match)]
+    return _latest[1]
 
 
 def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
@@ -235,7 +264,7 @@ def _searcher(shared, id_col: str, text_col: str, min_match: int, min_coverage:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        index = SeedIndex(shared.value, min_match)
+        index = _index_of(shared.value, min_match)
         for batch in batches:
             for part in by_size(batch, text_col):
                 rows = _search(index, part, id_col, text_col, min_coverage)
@@ -249,7 +278,7 @@ def _searcher(shared, id_col: str, text_col: str, min_match: int, min_coverage:
 
 
 def _search(index: SeedIndex, part: pa.RecordBatch, id_col: str, text_col: str, min_coverage: float) -> list[tuple]:
-    words = Words(part[text_col], lower=False)
+    words = _words(part[text_col])
     # 0: not a word of any item; -1: no letter or digit, as if it were not there.
     numbers = words.mapped(lambda w: index.vocabulary.get(p, 0) if (p := plain_word(w)) else -1, np.int64)
     real = numbers >= 0

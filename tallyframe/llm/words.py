@@ -13,10 +13,11 @@ import xxhash
 class Words:
     """The words of a batch: ``codes`` into ``vocabulary``, and where each text's words begin."""
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool = True, unicode_blanks: bool = False):
         texts = pc.fill_null(texts, "")
-        # Both functions treat ASCII alone: A-Z, and blanks 0x09-0x0D and 0x20.
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+        # ASCII functions treat ASCII alone: A-Z, and blanks 0x09-0x0D and 0x20.
+        split_at_blanks = pc.utf8_split_whitespace if unicode_blanks else pc.ascii_split_whitespace
+        split = split_at_blanks(pc.ascii_lower(texts) if lower else texts)
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         flat = split.flatten()
         full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)

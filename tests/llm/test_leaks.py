@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyframe.llm import string_tiling, unit_dedup
@@ -98,6 +99,40 @@ def test_pairs_equal_tiling_of_all_pairs(spark, documents):
     assert {(r.doc_id, r.item_id, r.coverage) for r in found.collect()} == expected
 
 
+def test_copies_with_other_blanks_are_found(spark, documents):
+    item = words(40)
+    docs = documents([(n, " ".join(words(20)) + " " + blank.join(item)) for n, blank in enumerate("\u00a0\u3000\u2028\x1c\t")])
+    items = benchmark_of(spark, [(1, " ".join(item)), (2, "\u00a0".join(item))])
+    found = string_tiling.find_leaks(docs, items).collect()
+    assert {(r.doc_id, r.item_id, r.coverage) for r in found} == {(d, i, 1.0) for d in range(5) for i in (1, 2)}
+
+
+def test_seeds_of_many_items_are_expanded_in_shares(monkeypatch):
+    common, most = words(6), []
+    items = [(n, " ".join(common + words(5))) for n in range(50)]
+    index = string_tiling.SeedIndex(items, 5)
+    texts = [common * 3 + words(4) for _ in range(40)] + [items[7][1].split()]
+    tokens = np.array([index.vocabulary.get(w, 0) for t in texts for w in t])
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    expected = set(index.pairs(tokens, bounds, 0.5))
+    assert expected == {(t, i) for t in range(41) for i in range(50)}
+    covered = string_tiling.SeedIndex._covered
+
+    def watched(self, texts, low, counts, min_coverage):
+        most.append(int(counts.sum()))
+        return covered(self, texts, low, counts, min_coverage)
+
+    monkeypatch.setattr(string_tiling.SeedIndex, "_covered", watched)
+    monkeypatch.setattr(string_tiling, "SEED_PLACES", 300)
+    assert set(index.pairs(tokens, bounds, 0.5)) == expected and len(most) > 10 and max(most) < 600
+
+
+def test_an_index_is_made_once_per_block():
+    block = [(1, " ".join(words(20)))]
+    assert string_tiling._index_of(block, 5) is string_tiling._index_of(block, 5)
+    assert string_tiling._index_of(list(block), 5) is not string_tiling._index_of(block, 4)
+
+
 def test_no_documents_or_items(spark, documents):
     item = benchmark_of(spark, [(1, " ".join(words(20)))])
     docs = documents([(1, " ".join(words(20)))])
@@ -196,3 +231,50 @@ def test_passages_are_found_however_their_lines_are_wrapped(spark, documents):
             assert len(gone) >= 20 and set(gone) <= set(line)
         else:
             assert len(gone) >= 20 and set(gone) <= passages[key]
+
+
+def test_lines_are_found_between_any_others(spark, documents):
+    """Every line of 20 words or more that stands earlier goes, whatever stands around it; no other word does."""
+    rows, repeats = {}, {}
+    for n, size in enumerate(size for size in range(20, 61, 2) for _ in range(6)):
+        line = words(size)
+        for copy in range(2):
+            key = 1000 * copy + n
+            lines = [words(RNG.randrange(1, 40)), line, words(RNG.randrange(1, 40))]
+            rows[key] = "\n".join(" ".join(w) for w in lines[n % 3 == 0 : 2 if n % 3 == 1 else 3])
+            repeats[key] = set(line)
+    found = {r.doc_id: r for r in unit_dedup.remove_repeats(documents(list(rows.items()))).collect()}
+    for key, row in found.items():
+        check_spans(rows[key], row)
+        gone = " ".join(rows[key][s.start : s.end] for s in row.removed).split()
+        assert set(gone) == (set() if key < 1000 else repeats[key])
+
+
+def test_units_equal_plain_cutting():
+    """Pieces of a text are those of the whole text and those of its lines, none twice."""
+    texts = ["\n".join(" ".join(words(RNG.randrange(0, 30))) for _ in range(RNG.randrange(1, 6))) for _ in range(60)]
+
+    def pieces(text_words):
+        units = unit_dedup.Units(pa.array([" ".join(text_words)]), "piece", 7)
+        return list(zip(units.first.tolist(), units.last.tolist(), units.digest.tolist()))
+
+    for text in texts:
+        expected, at = set(pieces(text.split())), 0
+        for line in text.split("\n"):
+            expected |= {(at + f, at + t, d) for f, t, d in pieces(line.split())}
+            at += len(line.split())
+        units = unit_dedup.Units(pa.array([text]), "piece", 7)
+        assert set(zip(units.first.tolist(), units.last.tolist(), units.digest.tolist())) == expected
+        assert len(units.first) == len(expected)
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["ordinals", "removed", "_key_hash", "_column1", "doc_id", "_id", "text", "Kept", "document", "_text_hash"]
+    line = " ".join(words(30))
+    rows = [("a", "b", 3, "d", i, "e", f"{line}\nown {i}", "f", "g", 9) for i in range(3)]
+    found = unit_dedup.remove_repeats(spark.createDataFrame(rows, names))
+    assert found.columns == [*names, "_removed", "_kept"]
+    for row in found.collect():
+        text = row.text if row.doc_id else row.text.split("\n")[-1]
+        assert text == f"own {row.doc_id}"
+        assert tuple(v for n, v in zip(names, row) if n not in ("doc_id", "text")) == ("a", "b", 3, "d", "e", "f", "g", 9)
