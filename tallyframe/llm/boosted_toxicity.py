@@ -187,16 +187,17 @@ def fit_toxicity(
     max_rows: int = MAX_ROWS,
     trees: int = 20,
     depth: int = 3,
+    max_terms: int = 400,
 ) -> ToxicityModel:
     """Fit on at most ``max_rows`` labelled documents.
 
-    Four fifths of them, by a hash of the id, grow the trees; the rest
-    calibrates. Without both classes in both parts the model is the base rate
+    Four fifths of them, by a hash of the id, choose the lexicon (``max_terms``
+    words at most) and grow the trees; the rest calibrates. Without both classes in both parts the model is the base rate
     (a half without any label).
     """
     sample = labelled_texts(docs, labels, label_col, id_col, text_col, max_rows)
-    lexicon = learn_lexicon(sample)
     part = F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(5)) == 0
+    lexicon = learn_lexicon(sample.where(~part), max_terms=max_terms)
     made = stage(with_features(sample, "text", lexicon, "id", "label").withColumn("calibrates", part), "toxic-features")
     found = {
         r["calibrates"]: r
