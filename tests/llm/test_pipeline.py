@@ -76,3 +76,43 @@ def test_different_texts_under_one_id_are_told_apart(spark, documents):
     kept = corpus_pipeline.keep_one_of_group(spark, documents(rows), None).collect()
     expected = [rows[0], rows[2], rows[3], rows[6], rows[7], rows[10]]
     assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, expected))
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    spark.createDataFrame([(1, " ".join(words(30, "i")))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_stages_take_empty_tables(spark, documents, tables):
+    for name, stage in corpus_pipeline.STAGES:
+        docs = documents([(1, "a")]).limit(0)
+        out = stage(spark, docs, tables)
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+
+
+def test_filters_return_all_columns_whatever_their_names(spark, tables):
+    names = ["_key", "removed", "_gone", "doc_id", "text", "ordinals", "_column0", "n", "_hash"]
+    texts = ["first text here", "second text here", None, ""]
+    rows = [("k", "r", "g", i, t, "o", "c", 5, "h") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0]], names)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, tables)
+        assert out.columns == names
+        expected = rows if name == "near_copies" else [*rows, rows[0]]
+        assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, expected))
+
+
+def test_repeated_passages_go_and_emptied_documents_with_them(spark, tables):
+    shared, own = " ".join(words(60, "s")), " ".join(words(30, "o"))
+    rows = [(1, shared, len(shared)), (2, f"{own}\n{shared}", 7), (3, shared, 7), (4, None, None), (5, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    found = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_repeated_passages(spark, docs, tables).collect()}
+    assert found == {1: (shared, len(shared)), 2: (f"{own}\n", len(own) + 1), 4: (None, None), 5: ("", 0)}
+
+
+def test_packing_holds_every_document_once(spark, documents, tables):
+    rows = [(n, " ".join(words(n * 40, f"p{n}_"))) for n in range(12)]
+    out = corpus_pipeline.pack(spark, documents(rows), tables)
+    assert out.count() > 0
