@@ -39,36 +39,48 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """One row of every group of near copies stays: that of the least id, then of the least text hash.
 
     Several texts under one id are told apart; of rows equal in id and text one
-    stays. Rows without words or without an id stay.
+    stays. Rows without words or without an id stay. Other columns may have any
+    names; an empty table stays empty.
     """
-    named = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    keyed = docs.withColumn("_key", F.when(F.col("doc_id").isNotNull(), named))
-    found = stage(shingle_join.jaccard_components(keyed, "_key", like=NEAR), "near-copies")
+    names = [f"_column{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    id_, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    named = F.struct(F.col(id_).alias("id"), F.xxhash64(text).alias("hash"))
+    keyed = rows.withColumn("_key", F.when(F.col(id_).isNotNull(), named))
+    found = stage(shingle_join.jaccard_components(keyed, "_key", text, like=NEAR), "near-copies")
     kept = _without(keyed, found.where("component_id <> _key"), "copies", "_key")
     counted = found.where("_key is not null and n_shingles > 0").groupBy("_key").agg(F.count("*").alias("n"))
     repeated = stage(counted.where("n > 1"), "repeated-rows")
     if repeated.isEmpty():
-        return kept.select(docs.columns)
-    rows = kept.join(repeated.select("_key"), "_key", "left_semi")
-    once = rows.withColumns({"_key_id": F.col("_key.id"), "_key_hash": F.col("_key.hash")}).dropDuplicates(["_key_id", "_key_hash"])
-    return _without(kept, repeated, "repeated", "_key").select(docs.columns).unionByName(once.select(docs.columns))
+        return kept.select(names).toDF(*docs.columns)
+    doubled = kept.join(repeated.select("_key"), "_key", "left_semi")
+    once = doubled.withColumns({"_id": F.col("_key.id"), "_hash": F.col("_key.hash")}).dropDuplicates(["_id", "_hash"])
+    others = _without(kept, repeated, "repeated", "_key")
+    return others.select(names).unionByName(once.select(names)).toDF(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of earlier documents are cut out; documents that were nothing else go."""
+    """Passages of earlier documents are cut out; documents that were nothing else go.
+
+    Null and empty texts stay, other columns may have any names, an empty table
+    stays empty.
+    """
     cut = unit_dedup.remove_repeats(docs)
-    emptied = (F.size("removed") > 0) & (F.trim(F.regexp_replace("text", "\\s+", "")) == "")
+    removed = cut.columns[-2]
+    emptied = (F.size(removed) > 0) & (F.trim(F.regexp_replace("text", "\\s+", "")) == "")
     return cut.where(~F.coalesce(emptied, F.lit(False))).select(
-        *(F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns)
+        *(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns)
     )
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose words cover half of a benchmark text; those without an id or text stay."""
     leaks = string_tiling.find_leaks(docs, load(spark, sf_dir, "benchmark"))
     return _without(docs, leaks.where("doc_id is not null"), "leaks")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of whole texts, as the packing operator returns them; an empty table gives none."""
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
