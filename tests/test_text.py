@@ -181,3 +181,15 @@ def test_null_documents_score_alike(spark):
     assert len(expected) == 3
     for score in (relevance.tf_icf_join, relevance.tficf_via_union):
         assert {(r.doc_id, r.word, round(r.tficf, 9)) for r in score(docs).collect()} == expected
+
+
+def test_a_task_counts_a_bounded_share_of_the_text(spark, monkeypatch):
+    """More text makes more tasks, not larger ones."""
+    text_of = lambda i: " ".join(f"w{i}x{k}" for k in range(50))
+    docs = spark.createDataFrame([(i, text_of(i)) for i in range(400)], "doc_id int, text string").cache()
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(relevance, "TASK_BYTES", size // 40)
+    for counted in (relevance.word_counts(docs), relevance.term_frequency(docs), relevance.tficf_via_union(docs)):
+        held = counted.groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) >= 30 and max(r["count"] for r in held) <= 20_000 // 10
+        assert counted.count() == 400 * 50
