@@ -209,3 +209,20 @@ def test_training_without_rows_and_with_null_labels(spark, table, tmp_path):
     odd = table.withColumn("label", F.expr("if(vec_id % 7 = 0, null, label)"))
     got = minibatch.train_minibatches(odd, str(tmp_path / "b"), 1, [2, 3], "vec_id", batch_size=100)
     assert got.steps == 3
+
+
+@pytest.mark.parametrize(("task_rows", "job_rows"), [(64, 128), (64, 10_000), (63, 128)])
+def test_small_batches_share_jobs(spark, table, tmp_path, monkeypatch, task_rows, job_rows):
+    """The steps are those of a loop, however many batches a job takes; 300 rows are 5 batches."""
+    monkeypatch.setattr(minibatch, "TASK_ROWS", task_rows)
+    monkeypatch.setattr(minibatch, "JOB_ROWS", job_rows)
+    calls = []
+    for name in ("step", "small_steps"):
+        real = getattr(minibatch, name)
+        monkeypatch.setattr(minibatch, name, lambda *args, real=real, name=name: calls.append(name) or real(*args))
+    got = minibatch.train_minibatches(table, str(tmp_path / "a"), 2, [2, 4, 3], "vec_id", rate=0.2, batch_size=64)
+    rows = [tuple(r) for r in table.select("vec_id", "features", "label").collect()]
+    expected = plain_training(rows, [2, 4, 3], 2, 64, 0.2, 0.9)
+    assert got.steps == expected.steps == 10
+    assert got.network.weights == pytest.approx(expected.network.weights)
+    assert calls == (["step"] * 10 if task_rows < 64 else ["small_steps"] * (6 if job_rows == 128 else 2))
