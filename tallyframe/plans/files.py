@@ -15,7 +15,7 @@ def read_several_corpora(spark, sf):
     """One folder of text lines per language, read as corpora: lines and words of each."""
     path = fresh_path(spark, "corpora")
     docs = documents(spark, sf, "lang")
-    docs.select("lang", "text").repartition("lang").write.partitionBy("lang").text(path)
+    docs.select("lang", "text").write.partitionBy("lang").text(path)
     # A language is a folder; there are as many paths to name as languages.
     langs = [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").collect()]
     lines = corpus.read_corpora(spark, {lang: f"{path}/lang={lang}" for lang in langs}, lines=True)

@@ -3,6 +3,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators import latency, relevance, series
+from tallyframe.plans import files as plans
 from tallyframe.sinks import files as sinks
 from tallyframe.sources import corpus, images, listing
 from tallyframe.staging import shared_dir, stage
@@ -166,3 +167,17 @@ def test_corpora_are_one_scan(spark, tmp_path, lines):
     else:
         expected |= {("fr", "d.txt", "")}
     assert {tuple(r) for r in read.collect()} == expected
+
+
+def test_a_language_is_written_by_several_tasks(spark, tmp_path):
+    rows = [(i, f"word{i} word", "en") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(plans, "fresh_path", lambda spark, label: f"{tmp_path}/{label}")
+        spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+        try:
+            found = plans.read_several_corpora(spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r) for r in found] == [("en", 80, 41)]
+    assert len(list((tmp_path / "corpora" / "lang=en").glob("part-*.txt"))) == 4
