@@ -264,3 +264,19 @@ def test_no_share_of_a_dense_place_is_large(spark):
     pairs = detection.overlapping_pairs(det, gt.drop("score"), 0.5, dense_targets=16, task_rows=100)
     plain = detection.overlapping_pairs(det, gt.drop("score"), 0.5)
     assert pairs.exceptAll(plain).isEmpty() and pairs.count() == plain.count()
+
+
+def test_a_detection_in_a_dense_place_meets_few_targets(spark):
+    """Each detection is over all targets; the pairs asked for hold its best ones and are few."""
+    rng = random.Random(9)
+    box = lambda i: (1, i, 1, rng.random(), x := rng.random() * 20, y := rng.random() * 20, x + 50 + rng.random(), y + 50)
+    det, gt = _boxes(spark, [box(i) for i in range(300)]), _boxes(spark, [box(i) for i in range(900)], "gt_id").drop("score")
+    plain = detection.overlapping_pairs(det, gt, 0.2)
+    few = detection.overlapping_pairs(det, gt, 0.2, dense_targets=16, merge_copies=True, best_only=True)
+    assert plain.count() == 300 * 900 and few.count() < 300 * 900 // 3
+    best = lambda pairs: {
+        r["det_id"]: tuple(r["b"]) for r in pairs.groupBy("det_id").agg(F.min(F.struct(-F.col("iou"), "gt_id")).alias("b")).collect()
+    }
+    assert best(few) == best(plain)
+    claims = [sorted(map(tuple, detection.match_detections(det, gt, 0.2, dense_targets=n).collect())) for n in (16, 1_000)]
+    assert claims[0] == claims[1]
