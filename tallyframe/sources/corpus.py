@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.sources.listing import can_list, list_files, located
+from tallyframe.sources.listing import can_list, list_files, located, read_small_files
 
 
 def file_name() -> Column:
@@ -68,7 +68,11 @@ def read_corpus(
     ``doc_col`` names a partition folder column to use instead. A text scan
     skips files without content; they are documents too and come from the
     listing, each as a row of its own, also under one name in two folders.
+    Folders of small files are listed and read in tasks (``read_small_files``).
     """
+    small = read_small_files(spark, path, doc_col) if doc_col else None
+    if small is not None:
+        return _matching(small.select(F.col(doc_col).alias("doc_id"), "text"), name_pattern)
     docs = _named(spark.read.text(path, wholetext=True), doc_col, name_pattern)
     if doc_col:
         folder = F.url_decode(F.regexp_extract("path", f"/{doc_col}=([^/]*)/", 1))

@@ -181,3 +181,30 @@ def test_a_language_is_written_by_several_tasks(spark, tmp_path):
             spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [tuple(r) for r in found] == [("en", 80, 41)]
     assert len(list((tmp_path / "corpora" / "lang=en").glob("part-*.txt"))) == 4
+
+
+def test_a_folder_per_document_is_written_and_read_in_tasks(spark, tmp_path, monkeypatch):
+    rows = [(1, "a\nb"), (1, "again"), (2, ""), (3, None), (40, "caf\u00e9 \r\n"), (None, "no id")]
+    table = spark.createDataFrame(rows, "folder long, text string").repartition(3)
+    table.repartition("folder").write.partitionBy("folder").text(f"{tmp_path}/by_spark")
+    sinks.write_folders(table, f"{tmp_path}/by_tasks", "folder", "text")
+    lines = [sorted((r["folder"], r["value"]) for r in spark.read.text(f"{tmp_path}/{k}").na.fill(-1).collect()) for k in ("by_spark", "by_tasks")]
+    assert lines[0] == lines[1]
+    (tmp_path / "by_tasks" / "folder=7").mkdir()
+    (tmp_path / "by_tasks" / "folder=7" / "empty.txt").write_text("")
+    monkeypatch.setattr(type(spark.read), "text", None)  # the driver holds no index of the files
+    docs = corpus.read_corpus(spark, f"{tmp_path}/by_tasks", doc_col="folder")
+    assert docs.schema["doc_id"].dataType.simpleString() == "int"
+    found = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert sorted(found.pop(1).splitlines()) == ["a", "again", "b"]
+    assert found == {2: "\n", 3: "\n", 40: "caf\u00e9 \r\n\n", None: "no id\n", 7: ""}
+    spark.createDataFrame([(2**40, "x")], "folder long, text string").transform(lambda t: sinks.write_folders(t, f"{tmp_path}/wide", "folder", "text") or t)
+    assert corpus.read_corpus(spark, f"{tmp_path}/wide", doc_col="folder").first()["doc_id"] == 2**40
+
+
+def test_folders_whose_names_a_scan_must_judge_are_scanned(spark, tmp_path):
+    for name in ("2024-01-02", "2024-01-03"):
+        (tmp_path / "days" / f"day={name}").mkdir(parents=True)
+        (tmp_path / "days" / f"day={name}" / "x.txt").write_text("x")
+    assert listing.read_small_files(spark, f"{tmp_path}/days", "day") is None
+    assert corpus.read_corpus(spark, f"{tmp_path}/days", doc_col="day").schema["doc_id"].dataType.simpleString() == "date"
