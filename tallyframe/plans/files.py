@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators import detection, relevance
 from tallyframe.plans.detections import _PAIRS
 from tallyframe.plans.tables import documents, events, labelled, load
+from tallyframe.sinks import files as sinks
 from tallyframe.sources import corpus, images
 from tallyframe.staging import fresh_path, stage
 
@@ -87,7 +88,7 @@ def label_files(spark, sf):
         F.format_string("img_%d", "user_id").alias("image"),
         F.format_string("%d %.6f %.6f %.6f %.6f", F.col("event_id") % 5, *_label_numbers()).alias("value"),
     )
-    boxes.repartition("image").write.partitionBy("image").text(path)
+    sinks.write_folders(boxes, path, "image", "value")
     targets = images.read_detection_targets(spark, path, 416, name_col="image")
     det = events(spark, sf).select(
         F.format_string("img_%d", "user_id").alias("image_id"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.boxes import scale_boxes, xywh_to_xyxy
 from tallyframe.sources.corpus import file_name
+from tallyframe.sources.listing import read_small_files
 
 
 def read_data_config(spark: SparkSession, path: str) -> dict[str, str]:
@@ -41,14 +42,19 @@ def read_class_names(spark: SparkSession, path: str) -> DataFrame:
 def read_targets(spark: SparkSession, path: str, name_col: str | None = None) -> DataFrame:
     """``(image_id, class_id, x, y, w, h)`` from label files, one box per line.
 
-    The image is the file's name without its ending, or a partition folder column.
+    The image is the file's name without its ending, or a partition folder column;
+    folders of small files are listed and read in tasks (``read_small_files``).
     """
     name = F.col(name_col) if name_col else F.regexp_replace(file_name(), r"\.[^.]*$", "")
     fields = F.split(F.trim("value"), "\\s+")
     numbers = [fields[i].cast("double").alias(c) for i, c in enumerate(("x", "y", "w", "h"), start=1)]
+    small = read_small_files(spark, path, name_col) if name_col else None
+    if small is None:
+        lines = spark.read.text(path)
+    else:
+        lines = small.select(name_col, F.explode(F.split("text", "\r\n|\r|\n")).alias("value"))
     return (
-        spark.read.text(path)
-        .where(F.trim("value") != "")
+        lines.where(F.trim("value") != "")
         .select(
             name.alias("image_id"),
             fields[0].cast("int").alias("class_id"),

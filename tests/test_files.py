@@ -208,3 +208,15 @@ def test_folders_whose_names_a_scan_must_judge_are_scanned(spark, tmp_path):
         (tmp_path / "days" / f"day={name}" / "x.txt").write_text("x")
     assert listing.read_small_files(spark, f"{tmp_path}/days", "day") is None
     assert corpus.read_corpus(spark, f"{tmp_path}/days", doc_col="day").schema["doc_id"].dataType.simpleString() == "date"
+
+
+def test_label_folders_are_read_in_tasks(spark, tmp_path, monkeypatch):
+    names = ["img_1", "a b+c=d/e", "50%", "img_2"]
+    rows = [(names[i % 4], f"{i} 0.5 0.5 0.25 0.5") for i in range(40)]
+    table = spark.createDataFrame(rows, "image string, value string").repartition(3)
+    sinks.write_folders(table, f"{tmp_path}/labels", "image", "value")
+    monkeypatch.setattr(type(spark.read), "text", None)
+    targets = images.read_detection_targets(spark, f"{tmp_path}/labels", 100, name_col="image")
+    assert sorted((r["image_id"], r["class_id"]) for r in targets.collect()) == sorted((n, int(v.split()[0])) for n, v in rows)
+    assert [r["gt_id"] for r in targets.collect()] == [r["gt_id"] for r in targets.collect()]
+    assert targets.select("gt_id").distinct().count() == 40
