@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.boxes import CORNERS
 from tallyframe.functions.joins import null_safe_join
 from tallyframe.operators import tiles
-from tallyframe.staging import stage
+from tallyframe.staging import stage, stage_side
 
 KEPT, DROPPED, OPEN = 1, 0, -1
 _CELLS_PER_BOX = 16
@@ -113,26 +113,39 @@ def tile_round(boxes: DataFrame, tree: tiles.Quadtree, limit: float) -> DataFram
     )
 
 
+def _led_on(state: DataFrame, to: DataFrame) -> DataFrame:
+    """``state`` with every link led one further by the state ``to`` of the boxes it names, and whether it moved."""
+    to = to.select(*[F.col(c).alias(f"_to_{c}") for c in _STATE])
+    joined = state.join(to, _linked() & (F.col("ref") == F.col("_to_det_id")), "left")
+    there = F.col("_to_status")
+    settled = F.when((there == KEPT) == F.col("same"), KEPT).otherwise(DROPPED)
+    further = (there == OPEN) & (F.col("_to_ref") != F.col("ref"))
+    return joined.select(
+        "det_id",
+        F.when(there.isNull() | (there == OPEN), F.col("status")).otherwise(settled).alias("status"),
+        F.when(further, F.col("_to_ref")).otherwise(F.col("ref")).alias("ref"),
+        F.when(further, F.col("same") == F.col("_to_same")).otherwise(F.col("same")).alias("same"),
+        F.coalesce((there != OPEN) | further, F.lit(False)).alias("moved"),
+    )
+
+
+def _linked():
+    return (F.col("status") == OPEN) & (F.col("ref") != F.col("det_id"))
+
+
 def follow_links(state: DataFrame) -> DataFrame:
-    """Every link led to a settled box, or to one that hangs on several; doubles its reach per round."""
+    """Every link led to a settled box, or to one that hangs on several; doubles its reach per round.
+
+    Rounds are over the boxes that others hang on, a few per tile, whose links name
+    such boxes only; all other links are then led on once.
+    """
+    named = stage_side(state.where(_linked()).select("ref").distinct(), "nms-named")
+    hubs = stage(state.join(named.withColumnRenamed("ref", "_named"), F.col("det_id") == F.col("_named"), "left_semi"), "nms-hubs")
     while True:
-        to = state.select(*[F.col(c).alias(f"_to_{c}") for c in _STATE])
-        linked = (F.col("status") == OPEN) & (F.col("ref") != F.col("det_id"))
-        joined = state.join(to, linked & (F.col("ref") == F.col("_to_det_id")), "left")
-        there = F.col("_to_status")
-        settled = F.when((there == KEPT) == F.col("same"), KEPT).otherwise(DROPPED)
-        further = (there == OPEN) & (F.col("_to_ref") != F.col("ref"))
-        moved = joined.select(
-            "det_id",
-            F.when(there.isNull() | (there == OPEN), F.col("status")).otherwise(settled).alias("status"),
-            F.when(further, F.col("_to_ref")).otherwise(F.col("ref")).alias("ref"),
-            F.when(further, F.col("same") == F.col("_to_same")).otherwise(F.col("same")).alias("same"),
-            F.coalesce((there != OPEN) | further, F.lit(False)).alias("moved"),
-        )
-        moved = stage(moved, "nms-links")
-        state = moved.drop("moved")
+        moved = stage(_led_on(hubs, hubs), "nms-links")
+        hubs = moved.drop("moved")
         if moved.where("moved").isEmpty():
-            return state
+            return stage(_led_on(state, stage_side(hubs, "nms-led")).drop("moved"), "nms-state")
 
 
 def suppress_in_tiles(boxes: DataFrame, keys: list[str], limit: float, tile_rows: int) -> DataFrame:

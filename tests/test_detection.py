@@ -280,3 +280,27 @@ def test_a_detection_in_a_dense_place_meets_few_targets(spark):
     assert best(few) == best(plain)
     claims = [sorted(map(tuple, detection.match_detections(det, gt, 0.2, dense_targets=n).collect())) for n in (16, 1_000)]
     assert claims[0] == claims[1]
+
+
+def test_links_of_a_chain_are_followed_from_few_boxes(spark, monkeypatch):
+    from tallyframe.operators import suppression
+
+    # Tiles of 50 boxes that hang on the last box of the tile before, in turn as it is and the other way round.
+    rows = [(0, 1, 0, True)]
+    rows += [(i, -1, (i - 1) // 50 * 50, i % 3 == 0) for i in range(1, 1001)]
+    state = spark.createDataFrame(rows + [(2000, -1, 2000, True), (2001, -1, 2000, False)], "det_id long, status int, ref long, same boolean")
+    known = {0: (1, 0, True), 2000: (-1, 2000, True), 2001: (-1, 2000, False)}
+    for i, _, ref, same in rows[1:]:
+        known[i] = (known[ref][0] if same else 1 - known[ref][0],)
+    staged = []
+
+    def noted(df, label, *rest):
+        staged.append((label, df.count()))
+        return stage(df, label, *rest)
+
+    stage = suppression.stage
+    monkeypatch.setattr(suppression, "stage", noted)
+    found = {r["det_id"]: (r["status"], r["ref"], r["same"]) for r in suppression.follow_links(state).collect()}
+    assert {k: v[: len(known[k])] for k, v in found.items()} == known
+    assert max(n for label, n in staged if label == "nms-links") <= 22
+    assert len(staged) <= 9
