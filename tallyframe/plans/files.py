@@ -69,12 +69,14 @@ def document_files(spark, sf):
 
 
 def whole_corpora(spark, sf):
-    """Four folders of whole files, one of a file without content, read in one scan."""
+    """Four folders of whole files, one of a file without content, read in one scan.
+
+    A file holds a sixth of all text, so files are compressed."""
     path = fresh_path(spark, "whole-corpora")
     docs = documents(spark, sf)
     for number in range(3):
         part = docs.where(F.col("doc_id") % 3 == number).select("doc_id", F.regexp_replace("text", "[\\r\\n]", " ").alias("text"))
-        part.repartition(2, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(f"{path}/c{number}")
+        part.repartition(2, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(f"{path}/c{number}", compression="gzip")
     spark.range(0, 0, 1, 1).select(F.col("id").cast("string")).write.text(f"{path}/c3")
     read = corpus.read_corpora(spark, {f"corpus {i}": f"{path}/c{i}" for i in range(4)})
     sizes = F.sum(F.length("text")).cast("bigint").alias("n_chars")

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -220,3 +222,14 @@ def test_label_folders_are_read_in_tasks(spark, tmp_path, monkeypatch):
     assert sorted((r["image_id"], r["class_id"]) for r in targets.collect()) == sorted((n, int(v.split()[0])) for n, v in rows)
     assert [r["gt_id"] for r in targets.collect()] == [r["gt_id"] for r in targets.collect()]
     assert targets.select("gt_id").distinct().count() == 40
+
+
+def test_whole_corpora_are_compressed_files(spark, tmp_path):
+    rows = [(i, f"text {i} " + "word " * 500) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(tuple(r) for r in plans.whole_corpora(spark, str(tmp_path)).collect())
+    sizes = [sum(len(t) + 1 for i, t in rows if i % 3 == k) for k in range(3)]
+    assert found == [*((f"corpus {k}", 2, n) for k, n in enumerate(sizes)), ("corpus 3", 1, 0)]
+    folder = max(Path(shared_dir(spark).removeprefix("file:")).glob("whole-corpora-*"), key=lambda p: p.stat().st_mtime)
+    written = [f for k in range(3) for f in (folder / f"c{k}").glob("part-*")]
+    assert len(written) == 6 and sum(f.stat().st_size for f in written) < sum(sizes) / 10
