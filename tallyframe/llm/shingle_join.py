@@ -10,7 +10,8 @@ Equal sets are one node. Only components are asked for, so a bucket of sets that
 share a prefix shingle is first met by one of its sets (a star) and pairs within
 a component are not looked at again: a group of near copies costs a number of
 pairs in line with its size, where all its pairs would cost the square. What
-still stands in different components is compared in full.
+still stands in different components meets by the shingles early enough in both
+prefixes, and is compared in full.
 """
 
 from __future__ import annotations
@@ -345,7 +346,7 @@ class _Buckets:
         needed = _least_needed(n, smallest, largest, like)
         counted = rows.withColumn("shared", F.count("*").over(Window.partitionBy("node")))
         kept = counted.where((smallest <= largest) & (F.col("shared") >= needed))
-        return stage(kept.select("shingle", "node", "n", "component", "shared"), "open-buckets")
+        return stage(kept.select("shingle", "pos", "node", "n", "component", "shared"), "open-buckets")
 
     def relabel(self, components: DataFrame) -> None:
         """Take the components in; buckets that lie in one component are done."""
@@ -380,18 +381,39 @@ class _Buckets:
             F.col("node").alias("a"), F.col("m.pivot").alias("b"), F.col("n").alias("na"), F.col("m.np").alias("nb")
         )
 
-    def pairs(self) -> DataFrame:
-        """All candidate pairs across components."""
+    def meetings(self) -> DataFrame:
+        """``(a, b, na, nb)`` of every early bucket in which two sets of different components meet.
+
+        What two sets share lies at or behind the first shingle they share, in
+        the order of each. So a linked pair meets in a bucket whose shingle stands
+        early in both, with a whole overlap from there on. Sets that differ by
+        more than the limit allows have changed shingles there, which are rare, and
+        do not meet, however many frequent ones they share.
+        """
+        like = self._like
+        latest = F.col("n") - F.ceil(F.col("n") * like.percent / 100 - 1e-6)
 
         def side(name: str) -> DataFrame:
-            renamed = {"node": name, "n": f"n{name}", "component": f"c{name}", "shared": f"s{name}"}
-            return self.rows.withColumnsRenamed(renamed)
+            renamed = {"node": name, "pos": f"p{name}", "n": f"n{name}", "component": f"c{name}", "shared": f"s{name}"}
+            return self.rows.where(F.col("pos") <= latest).withColumnsRenamed(renamed)
 
-        needed = _needed(F.col("na"), F.col("nb"), self._like)
-        crossing = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _long_enough("na", "nb", self._like)
-        met = side("a").join(side("b"), "shingle").where(crossing & (F.least("sa", "sb") >= needed))
-        counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
-        return counted.where(F.col("met") >= needed).drop("met")
+        needed = _needed(F.col("na"), F.col("nb"), like)
+        crossing = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _long_enough("na", "nb", like)
+        early = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= _overlap(F.col("na"), F.col("nb"), like)
+        met = side("a").join(side("b"), "shingle").where(crossing & early & (F.least("sa", "sb") >= needed))
+        return met.select("a", "b", "na", "nb")
+
+    def pairs(self) -> DataFrame:
+        """All candidate pairs across components: those that meet, and share enough prefix shingles in all."""
+        open_ = self.rows.groupBy("node").agg(F.collect_list("shingle").alias("open"))
+        met = (
+            self.meetings()
+            .distinct()
+            .join(open_.withColumnsRenamed({"node": "a", "open": "open_a"}), "a")
+            .join(open_.withColumnsRenamed({"node": "b", "open": "open_b"}), "b")
+        )
+        shared = F.size(F.array_intersect("open_a", "open_b"))
+        return met.where(shared >= _needed(F.col("na"), F.col("nb"), self._like)).select("a", "b", "na", "nb")
 
 
 def _struct(names) -> str:
@@ -433,7 +455,7 @@ def jaccard_components(
     nodes = stage(one, "shingle-nodes")
     release(prefixes)
     owners = stage(nodes.select("node", "id"), "shingle-owners")
-    buckets = _Buckets(nodes.select(F.explode("prefix").alias("shingle"), "node", "n"), like)
+    buckets = _Buckets(nodes.select(F.posexplode("prefix").alias("pos", "shingle"), "node", "n"), like)
     release(nodes)
     links, components = None, None
     stars = 0

@@ -161,3 +161,23 @@ def test_batches_of_few_words(spark):
     docs = spark.createDataFrame([(2, "a b"), (1, "A b"), (3, "b"), (4, None)], "doc_id long, text string")
     found = shingle_join.jaccard_components(docs).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == [(1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 0, 4)]
+
+
+def test_near_misses_of_one_group_do_not_meet(spark, documents, monkeypatch):
+    """Texts with four edits each out of forty: all share most of their prefixes, none is linked."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        text = list(base)
+        for at in rng.sample(range(40), 4):
+            text[2 + at * 3 + at // 2] = f"x{at}"
+        rows.append((i, " ".join(text)))
+    met = []
+    pairs = shingle_join._Buckets.pairs
+    monkeypatch.setattr(
+        shingle_join._Buckets, "pairs", lambda self: met.append(self.meetings().count()) or pairs(self)
+    )
+    assert got(documents(rows)) == brute(rows)
+    # Of 1,770 pairs; by every prefix shingle they share it was 36,054 rows.
+    assert len(met) == 1 and met[0] < 4000
