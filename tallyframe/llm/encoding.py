@@ -167,7 +167,13 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def by_size(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices whose ``column`` holds about ``limit`` bytes, one row at least."""
+    """Slices whose ``column`` holds about ``limit`` bytes, one row at least.
+
+    With another limit than the encoder's, the worker has gone on to an operator
+    that does not encode: the table of words it holds from earlier tasks goes.
+    """
+    if limit != ENCODED_SLICE_BYTES:
+        _encoder.cache_clear()
     if not batch.num_rows:
         return
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy().astype(np.int64))

@@ -121,3 +121,14 @@ def test_ranks_fall_with_frequency(spark, documents, tokenizer_path, plain):
         for i in plain(text):
             counts[i] += 1
     assert ranks == sorted(counts, key=lambda i: (-counts[i], i))
+
+
+def test_other_operators_drop_the_table_of_words(tokenizer_path):
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", None]})
+    held = lambda: encoding._encoder.cache_info().currsize
+    first = [(k.to_pylist(), i.tolist()) for k, i, _ in encoding.encoded_batches([batch], tokenizer_path, "doc_id", "text", 0)]
+    assert held() == 1
+    assert [p.num_rows for p in encoding.by_size(batch, "text")] == [2]
+    assert held() == 0
+    again = [(k.to_pylist(), i.tolist()) for k, i, _ in encoding.encoded_batches([batch], tokenizer_path, "doc_id", "text", 0)]
+    assert again == first
