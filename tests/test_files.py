@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from tallyframe.operators import latency, relevance, series
 from tallyframe.plans import files as plans
 from tallyframe.sinks import files as sinks
@@ -69,6 +70,36 @@ def test_score_sinks(spark, folder, tmp_path, capsys):
     assert "doc1" in capsys.readouterr().out
 
 
+def test_the_table_is_joined_with_the_lines_where_it_lies(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(200))) for i in (*range(30), 4)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    query = __spark_entry__.queries()["score_sinks_roundtrip"]
+    joined = query(spark, str(tmp_path))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan, plan
+    got = sorted((r.doc_id, r.word, r.tficf, r.line_tficf) for r in joined.collect())
+    expected = {(r.doc_id, r.word): round(r.tficf, 9) for r in relevance.tficf(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {(d, w): s for d, w, s, _ in got} == pytest.approx(expected)
+    assert all(abs(s - line) < 2e-9 for *_, s, line in got) and len(got) == len(expected)
+    assert not spark.catalog.listTables(pattern="bucketed_*")
+
+
+def test_score_tables_in_buckets_are_replaced(spark, tmp_path):
+    scores = spark.createDataFrame([(i % 7, f"w{i}", i / 8) for i in range(50)], "doc_id bigint, word string, tficf double")
+    sinks.write_scores(scores.union(scores), f"{tmp_path}/out", 3)
+    stored = sinks.write_scores(scores, f"{tmp_path}/out", 3)
+    plain = sinks.write_scores(scores, f"{tmp_path}/plain")
+    assert sorted(stored.collect()) == sorted(scores.collect()) == sorted(plain.collect())
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 50
+    for compression, ending in (("none", ".txt"), ("gzip", ".gz")):
+        sinks.write_score_lines(stored, f"{tmp_path}/{compression}", compression=compression)
+        names = [p.name for p in (tmp_path / compression).iterdir() if p.name.startswith("part-")]
+        assert names and all(name.endswith(ending) for name in names)
+    lines = [[r.value for r in spark.read.text(f"{tmp_path}/{c}").collect()] for c in ("none", "gzip")]
+    assert sorted(lines[0]) == sorted(lines[1]) and len(lines[0]) == 50
+
+
 def test_series_and_report_sinks(spark, tmp_path):
     grid = series.uniform_grid(spark, 0, 1, 5, F.sin)
     sinks.write_series(series.grid_difference(grid, F.lit(5), F.sin, 0, 1), f"{tmp_path}/fn", ("x", "y", "dy"))

@@ -1,10 +1,13 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe import tune
 from tallyframe.functions import text
 from tallyframe.operators import relevance
+from tallyframe.session import ALL_JOIN_KEYS
 
 CORPUS = [
     ("doc1", "The cat, the CAT!"),
@@ -193,3 +196,26 @@ def test_a_task_counts_a_bounded_share_of_the_text(spark, monkeypatch):
         held = counted.groupBy(F.spark_partition_id()).count().collect()
         assert len(held) >= 30 and max(r["count"] for r in held) <= 20_000 // 10
         assert counted.count() == 400 * 50
+
+
+def test_scores_in_shares_agree_and_move_no_pair(spark):
+    rows = [(i % 40 if i % 9 else None, " ".join(f"w{(i * j) % 23} v{j % 5}" for j in range(i % 30))) for i in range(60)]
+    docs = spark.createDataFrame([*rows, *rows[:7], (3, None), (4, "")], "doc_id bigint, text string")
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("l"), F.col("doc_id") % 2)))
+
+    def listed(scores):
+        return sorted(((*r[:-1], round(r.tficf, 12)) for r in scores.collect()), key=repr)
+
+    spark.conf.set(ALL_JOIN_KEYS, "false")
+    try:
+        for corpus_col in (None, "lang"):
+            assert listed(relevance.tficf(docs, corpus_col=corpus_col, shares=6)) == listed(
+                relevance.tficf(docs, corpus_col=corpus_col)
+            )
+        shared = relevance.tficf(docs, shares=6)
+        plan = shared._jdf.queryExecution().executedPlan().toString()
+    finally:
+        tune(spark)
+    # Words of a share go to their sums and back, once each; the pairs stay where they were written.
+    assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 2, plan
+    assert relevance.tficf(docs.limit(0), shares=3).count() == 0
