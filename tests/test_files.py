@@ -1,3 +1,4 @@
+import gzip
 from pathlib import Path
 
 import pytest
@@ -5,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from tallyframe import tune
 from tallyframe.operators import latency, relevance, series
 from tallyframe.plans import files as plans
+from tallyframe.session import stay_in_place
 from tallyframe.sinks import files as sinks
 from tallyframe.sources import corpus, images, listing
 from tallyframe.staging import shared_dir, stage
@@ -78,26 +81,33 @@ def test_the_table_is_joined_with_the_lines_where_it_lies(spark, tmp_path):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan, plan
     got = sorted((r.doc_id, r.word, r.tficf, r.line_tficf) for r in joined.collect())
-    expected = {(r.doc_id, r.word): round(r.tficf, 9) for r in relevance.tficf(
-        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    scores = relevance.tficf(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    expected = {(r.doc_id, r.word): round(r.tficf, 9) for r in scores}
     assert {(d, w): s for d, w, s, _ in got} == pytest.approx(expected)
     assert all(abs(s - line) < 2e-9 for *_, s, line in got) and len(got) == len(expected)
     assert not spark.catalog.listTables(pattern="bucketed_*")
 
 
-def test_score_tables_in_buckets_are_replaced(spark, tmp_path):
-    scores = spark.createDataFrame([(i % 7, f"w{i}", i / 8) for i in range(50)], "doc_id bigint, word string, tficf double")
-    sinks.write_scores(scores.union(scores), f"{tmp_path}/out", 3)
-    stored = sinks.write_scores(scores, f"{tmp_path}/out", 3)
-    plain = sinks.write_scores(scores, f"{tmp_path}/plain")
-    assert sorted(stored.collect()) == sorted(scores.collect()) == sorted(plain.collect())
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 50
-    for compression, ending in (("none", ".txt"), ("gzip", ".gz")):
-        sinks.write_score_lines(stored, f"{tmp_path}/{compression}", compression=compression)
-        names = [p.name for p in (tmp_path / compression).iterdir() if p.name.startswith("part-")]
-        assert names and all(name.endswith(ending) for name in names)
-    lines = [[r.value for r in spark.read.text(f"{tmp_path}/{c}").collect()] for c in ("none", "gzip")]
-    assert sorted(lines[0]) == sorted(lines[1]) and len(lines[0]) == 50
+def test_lines_by_share_are_sorted_over_their_folders(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(200))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    stay_in_place(spark)
+    try:
+        scores = relevance.tficf(relevance.with_shares(docs, 10), shares=10)
+        for _ in range(2):
+            stored = sinks.write_scores(scores, f"{tmp_path}/out", "share", 10)
+        for _ in range(2):
+            sinks.write_score_lines(stored, f"{tmp_path}/lines", compression="gzip", by="share")
+    finally:
+        tune(spark)
+    folders = sorted((tmp_path / "lines").glob("share=*"), key=lambda p: int(p.name.split("=")[1]))
+    files = [sorted(f.glob("part-*.gz")) for f in folders]
+    assert len(files) > 5 and all(len(found) == 1 for found in files)
+    lines = [line for (file,) in files for line in gzip.open(file, "rt", newline="\n").read().splitlines()]
+    assert lines == sorted(lines, key=lambda line: line.split("\t")[0])
+    sinks.write_score_lines(relevance.tficf(docs), f"{tmp_path}/moved")
+    assert lines == [r["value"] for r in spark.read.text(f"{tmp_path}/moved").orderBy(F.split("value", "\t")[0]).collect()]
+    assert stored.count() == spark.read.parquet(f"{tmp_path}/out").count() == len(lines)
 
 
 def test_series_and_report_sinks(spark, tmp_path):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyframe import tune
 from tallyframe.functions import text
 from tallyframe.operators import relevance
-from tallyframe.session import ALL_JOIN_KEYS
+from tallyframe.session import stay_in_place
 
 CORPUS = [
     ("doc1", "The cat, the CAT!"),
@@ -206,16 +206,21 @@ def test_scores_in_shares_agree_and_move_no_pair(spark):
     def listed(scores):
         return sorted(((*r[:-1], round(r.tficf, 12)) for r in scores.collect()), key=repr)
 
-    spark.conf.set(ALL_JOIN_KEYS, "false")
+    dealt = relevance.with_shares(docs, 6)
+    runs = {}
+    for r in dealt.collect():
+        runs.setdefault(r.share, set()).add("" if r.doc_id is None else f"{r.doc_id}@")
+    ordered = [sorted(runs[k]) for k in sorted(runs)]
+    assert len(ordered) > 3 and all(low[-1] < high[0] for low, high in zip(ordered, ordered[1:]))
+    stay_in_place(spark)
     try:
         for corpus_col in (None, "lang"):
-            assert listed(relevance.tficf(docs, corpus_col=corpus_col, shares=6)) == listed(
-                relevance.tficf(docs, corpus_col=corpus_col)
-            )
-        shared = relevance.tficf(docs, shares=6)
-        plan = shared._jdf.queryExecution().executedPlan().toString()
+            got = relevance.tficf(dealt, corpus_col=corpus_col, shares=6)
+            assert listed(got.drop("share")) == listed(relevance.tficf(docs, corpus_col=corpus_col))
+        plan = relevance.tficf(dealt, shares=6)._jdf.queryExecution().executedPlan().toString()
     finally:
         tune(spark)
     # Words of a share go to their sums and back, once each; the pairs stay where they were written.
     assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 2, plan
-    assert relevance.tficf(docs.limit(0), shares=3).count() == 0
+    empty = relevance.with_shares(docs.limit(0), 3)
+    assert relevance.tficf(empty, shares=3).count() == 0
