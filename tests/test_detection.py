@@ -304,3 +304,46 @@ def test_links_of_a_chain_are_followed_from_few_boxes(spark, monkeypatch):
     assert {k: v[: len(known[k])] for k, v in found.items()} == known
     assert max(n for label, n in staged if label == "nms-links") <= 22
     assert len(staged) <= 9
+
+
+def test_pairs_of_many_blocks_equal_the_join_and_boxes_are_written_once(spark, monkeypatch):
+    """Boxes of one place in blocks and shares of a few; before, each detection was written once per tile."""
+    from tallyframe.operators import overlaps
+
+    for name, value in (("LEAST_ROWS", 20), ("MOST_ROWS", 20), ("SHARE_ROWS", 60), ("BATCH_ROWS", 50)):
+        monkeypatch.setattr(overlaps, name, value)
+    det, gt = sample(1, 400, 1, spread=20, copies=0.1), sample(11, 300, 1, spread=20, copies=0.1)
+    # Corners that are unknown, or no finite number, and an image of its own.
+    det += [(0, 1_000, 0, 0.5, None, 0.0, 9.0, 9.0), (0, 1_001, 0, 0.5, 0.0, 0.0, float("inf"), 9.0), (7, 1_002, 0, 0.5, 0.0, 0.0, 9.0, 9.0)]
+    boxes, targets = spark.createDataFrame(det, DET), spark.createDataFrame([(r[0], r[1], r[2], *r[4:]) for r in gt], GT)
+    written = counted(monkeypatch, overlaps, "stage")
+    plain = sorted(map(tuple, detection.overlapping_pairs(boxes, targets, 0.3).collect()))
+    blocks = detection.overlapping_pairs(boxes, targets, 0.3, dense_targets=16, task_rows=8)
+    assert sorted(map(tuple, blocks.collect())) == plain
+    few = detection.overlapping_pairs(boxes, targets, 0.3, 16, True, 8, best_only=True).collect()
+    best = lambda pairs: {det_id: min((-v, gt_id) for d, gt_id, _, v in pairs if d == det_id) for det_id, *_ in pairs}
+    assert best(few) == best(plain) and len(few) < len(plain)
+    sizes = [df.count() for df, label in written if label in ("match-detections", "match-targets")]
+    assert len(sizes) == 4 and max(sizes) <= 400
+    assert max(df.count() for df, label in written if label == "match-units") > 20
+
+
+def test_few_overlaps_are_computed_in_a_dense_place(monkeypatch):
+    """4,000 detections over 6,000 targets, all over each other; before, most pairs of a place were met."""
+    import numpy as np
+
+    from tallyframe.operators import overlaps
+
+    rng = np.random.default_rng(3)
+    near = lambda n: (p := rng.random((2, n)) * 2, np.concatenate([p, p + 20 + rng.random((2, n)) / 4]))[1]
+    det, gt = near(4_000), near(6_000)
+    computed, bound = [], overlaps._bound
+    monkeypatch.setattr(overlaps, "_bound", lambda a, b: (x := bound(a, b), computed.append(x.size))[0])
+    found = {int(d): (int(t), v) for p in overlaps.meet(det, gt, 0.5, True) for d, t, v in zip(*p)}
+    assert len(found) == 4_000 and sum(computed) < 4_000 * 6_000 / 20
+    for d in range(0, 4_000, 40):
+        width = np.minimum(det[2, d], gt[2]) - np.maximum(det[0, d], gt[0])
+        height = np.minimum(det[3, d], gt[3]) - np.maximum(det[1, d], gt[1])
+        area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+        iou = width * height / (area(det[:, d]) + area(gt) - width * height)
+        assert found[d] == (iou.argmax(), iou.max())
