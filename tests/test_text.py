@@ -224,3 +224,19 @@ def test_scores_in_shares_agree_and_move_no_pair(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 2, plan
     empty = relevance.with_shares(docs.limit(0), 3)
     assert relevance.tficf(empty, shares=3).count() == 0
+
+
+def test_union_in_shares_agrees_and_moves_no_pair(spark):
+    rows = [(i % 40 if i % 9 else None, " ".join(f"w{(i * j) % 23} v{j % 5}" for j in range(i % 30))) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (3, None), (4, "")], "doc_id bigint, text string")
+    listed = lambda scores: sorted(((r.doc_id, r.word, round(r.tficf, 12)) for r in scores.collect()), key=repr)
+    dealt = relevance.with_shares(docs, 6)
+    stay_in_place(spark)
+    try:
+        got = relevance.tficf_via_union(dealt, shares=6)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert listed(got) == listed(relevance.tficf_via_union(docs))
+    finally:
+        tune(spark)
+    # Words of a share go to their sums and back, once each; both rows of a pair stay.
+    assert plan.count("Union") and len(re.findall(r"Exchange hashpartitioning\(", plan)) == 2, plan
