@@ -181,6 +181,23 @@ def test_positions_are_those_of_the_order_on_reading_back(spark, tmp_path):
     assert len({f.name for f in (tmp_path / "lines").glob("part-*")}) > 1
 
 
+def test_positions_of_rows_that_lie_in_order(spark, tmp_path):
+    """Shares of documents follow each other by number; their lines are written where they are."""
+    rows = [(i * 37 % 120 - 50, " ".join(f"w{(i * j) % 31}" for j in range(40))) for i in range(120)]
+    docs = spark.createDataFrame([*rows, (None, "a w3")], "doc_id bigint, text string").repartition(5)
+    stay_in_place(spark)
+    try:
+        scores = relevance.tficf(relevance.with_shares(docs, 9, as_lines=False), shares=9)
+        sinks.write_ordered(scores, f"{tmp_path}/lines", "doc_id", "word", by="share")
+    finally:
+        tune(spark)
+    assert len(list((tmp_path / "lines").glob("share=*"))) > 5
+    assert all(len(list(f.glob("part-*"))) == 1 for f in (tmp_path / "lines").glob("share=*"))
+    read = sinks.read_ordered(spark, f"{tmp_path}/lines", by="share").orderBy("position").collect()
+    expected = relevance.tficf(docs).orderBy("doc_id", "word").collect()
+    assert [(r.position, r.doc_id, r.word) for r in read] == [(i, r.doc_id, r.word) for i, r in enumerate(expected, 1)]
+
+
 def test_files_are_listed_in_tasks(spark, tmp_path, monkeypatch):
     for name, text in {"a/x=1/one.txt": "1", "a/two.txt": "", "b/k=_y/three.txt": "33", "a/_hidden/no.txt": "x", "a/.no": "x", "a/sub/no.txt": "x"}.items():
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
