@@ -240,3 +240,13 @@ def test_union_in_shares_agrees_and_moves_no_pair(spark):
         tune(spark)
     # Words of a share go to their sums and back, once each; both rows of a pair stay.
     assert plan.count("Union") and len(re.findall(r"Exchange hashpartitioning\(", plan)) == 2, plan
+
+
+def test_lines_give_back_their_fields(spark):
+    """Words with ``@``, and with a line separator, on which a pattern ended."""
+    rows = [(1, "a@b", 0.5), (-7, "@", 1e-17), (3, "x\u2028y", 12.25), (4, "", 0.0), (5, "\U0001f600@é", 1 / 3)]
+    scores = spark.createDataFrame(rows, "doc_id bigint, word string, tficf double")
+    lines = scores.select("*", text.score_line("doc_id", "word", "tficf").alias("line"))
+    got = lines.select("*", *[c.alias(f"c{i}") for i, c in enumerate(text.score_line_fields("line"))]).collect()
+    assert [r.line for r in got] == [f"{d}@{w}\t{s:.16f}" for d, w, s in rows]
+    assert [(int(r.c0), r.c1, r.c2) for r in got] == [(d, w, f"{s:.16f}") for d, w, s in rows]
